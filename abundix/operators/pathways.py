@@ -70,6 +70,8 @@ def gap_fill(scores: DataFrame, key_reactions: DataFrame, by: By = ()) -> DataFr
     entry with the lowest score takes the second lowest.  Otherwise nothing changes.
     """
     group = [*by, "bug", "pathway"]
+    # read in several branches below, so the scores are computed once
+    scores = cut_lineage(scores.select(*group, "reaction", "score"))
     present = scores.select(*group).distinct()
     listed = key_reactions.groupBy("pathway", "reaction").agg(F.count(F.lit(1)).alias("_times"))
     keyed = present.join(listed, "pathway").join(scores, [*group, "reaction"], "left")
@@ -100,7 +102,7 @@ def gap_fill(scores: DataFrame, key_reactions: DataFrame, by: By = ()) -> DataFr
         .where(F.col("_new").isNotNull())
         .select(*group, "reaction", "_new")
     )
-    merged = scores.select(*group, "reaction", "score").join(changed, [*group, "reaction"], "full")
+    merged = scores.join(changed, [*group, "reaction"], "full")
     return merged.withColumn("score", F.coalesce("_new", "score")).drop("_new")
 
 
@@ -411,7 +413,8 @@ def select_pathways(
     large = scores.join(many, keys, "left_semi")
     chosen = add_well_supported(parsimonious_pathways(large, pathway_reactions, by), large, pathway_reactions, by=by)
     return (
-        everything.join(many, keys, "left_semi")
-        .join(chosen, [*keys, "pathway"], "left_semi")
-        .unionByName(everything.join(many, keys, "left_anti"))
+        everything.join(many.withColumn("_many", F.lit(True)), keys, "left")
+        .join(chosen.withColumn("_chosen", F.lit(True)), [*keys, "pathway"], "left")
+        .where(F.col("_many").isNull() | F.col("_chosen"))
+        .drop("_many", "_chosen")
     )

@@ -47,10 +47,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there.
+    """Write ``df`` to the shared folder and go on from the written table.
 
-    Blocks written there survive the loss of an executor, and values that depend on
-    the physical layout (partition ids) are fixed once.
+    The files survive the loss of an executor, later reads prune columns, joins know the
+    table's size, and values that depend on the physical layout (partition ids) are fixed
+    once.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

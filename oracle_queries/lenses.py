@@ -131,9 +131,12 @@ UNION ALL SELECT pathway, f, 'f' FROM {pathway_parts}
 """
 # sparse scores: organisms that sold little miss some of the reactions
 LENSES["sparse_reaction_scores"] = """
-SELECT n_name AS bug, concat(p_type, '-', CAST(p_size % 10 AS STRING)) AS reaction, SUM(l_quantity) AS score
-FROM {shipped} WHERE l_returnflag = 'A' AND p_size > 35
-GROUP BY n_name, p_type, p_size % 10 HAVING SUM(l_quantity) > 250
+SELECT bug, reaction, score
+FROM (SELECT bug, reaction, score, AVG(score) OVER (PARTITION BY bug) AS mean
+      FROM (SELECT n_name AS bug, concat(p_type, '-', CAST(p_size % 10 AS STRING)) AS reaction, SUM(l_quantity) AS score
+            FROM {shipped} WHERE l_returnflag = 'A' AND p_size > 35
+            GROUP BY n_name, p_type, p_size % 10) AS sums) AS compared
+WHERE score > 0.7 * mean
 """
 LENSES["structured_scores"] = """
 SELECT s.bug, m.pathway, s.reaction, s.score
@@ -172,7 +175,7 @@ FROM {lineitem} GROUP BY l_returnflag
 LENSES["profile"] = """
 SELECT concat('k__Bacteria|g__', n_name, '|s__', s_name, '|t__SGB', CAST(s_suppkey AS STRING)) AS clade,
        s_acctbal / 100 AS abundance, CAST(s_nationkey AS DOUBLE) / 10 AS coverage
-FROM {supplier}
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 UNION ALL
 SELECT concat('k__Bacteria|g__', n_name), CAST(n_regionkey AS DOUBLE) + 0.5, CAST(n_nationkey AS DOUBLE)
 FROM {nation}
