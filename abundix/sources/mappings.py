@@ -169,30 +169,30 @@ def read_taxonomic_profile(spark: SparkSession, path: str | Sequence[str]) -> Da
     )
 
 
-def read_taxonomy(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Tree ``(taxid, name, rank, parent)`` and family rows of a two-section file.
+def read_taxonomy(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Tree ``(taxid, name, rank, parent)`` and family rows of two-section files.
 
-    The sections start at a line whose first field is TAXID or FAMILY; the family
-    section's other columns are named by its header line, in lower case.
+    A section starts at a line whose first field is TAXID or FAMILY; its columns are
+    named by that line, in lower case.  Every file may hold one or both sections.
     """
     lines = numbered_lines(spark, path)
     first = F.get(fields(), F.lit(0))
-    # two header lines of one file
-    headers = {
-        row["first"]: (row["index"], row["names"])
-        for row in lines.where(first.isin("TAXID", "FAMILY"))
-        .select(first.alias("first"), "index", F.transform(fields(), F.lower).alias("names"))
-        .limit(2)
-        .collect()
-    }
-
-    def section(marker: str) -> DataFrame:
-        index, names = headers[marker]
-        after = F.col("index") > index
-        other = [i for m, (i, _) in headers.items() if m != marker and i > index]
-        if other:
-            after = after & (F.col("index") < min(other))
-        rows = lines.where(after & (F.length("line") > 0))
-        return rows.select(*[F.get(fields(), F.lit(i)).alias(n) for i, n in enumerate(names)])
-
-    return section("TAXID").select("taxid", "name", "rank", "parent"), section("FAMILY")
+    marked = lines.where(first.isin("TAXID", "FAMILY"))
+    starts = marked.groupBy("file").agg(
+        *[F.min(F.when(first == m, F.col("index"))).alias(m) for m in ("TAXID", "FAMILY")]
+    )
+    # the header lines, of which there are as many as sections
+    headers = {r["marker"]: r["names"] for r in marked.select(
+        first.alias("marker"), F.transform(fields(), F.lower).alias("names")
+    ).distinct().collect()}
+    placed = lines.where(F.length("line") > 0).join(starts, "file")
+
+    def section(marker: str, other: str) -> DataFrame:
+        start, stop = F.col(marker), F.col(other)
+        inside = (F.col("index") > start) & (stop.isNull() | (stop < start) | (F.col("index") < stop))
+        return placed.where(inside).select(
+            *[F.get(fields(), F.lit(i)).alias(n) for i, n in enumerate(headers[marker])]
+        )
+
+    tree = section("TAXID", "FAMILY").select("taxid", "name", "rank", "parent")
+    return tree, section("FAMILY", "TAXID")

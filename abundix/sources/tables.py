@@ -81,11 +81,12 @@ def read_gene_table(
 
 
 def read_metadata_table(
-    spark: SparkSession, path: str, last_metadata: str
+    spark: SparkSession, path: str | Sequence[str], last_metadata: str
 ) -> tuple[DataFrame, DataFrame]:
-    """``(sample, key, value)`` metadata and ``(feature, sample, value)`` cells of one table.
+    """``(sample, key, value)`` metadata and ``(feature, sample, value)`` cells of a table.
 
-    The first line holds the sample names; rows up to ``last_metadata`` are metadata.
+    The first line holds the sample names; rows up to ``last_metadata`` are metadata.  A
+    table in several files repeats these lines in each.
     """
     lines = numbered_lines(spark, path)
     header = lines.where(F.col("index") == 0)
@@ -95,7 +96,7 @@ def read_metadata_table(
     )
     placed = lines.where((F.col("index") > 0) & (F.length("line") > 0)).join(last, "file")
     cells = _cells(placed.where(F.col("index") <= F.col("_last")), header, "key")
-    metadata = cells.select("sample", "key", F.col("_text").alias("value"))
+    metadata = cells.select("sample", "key", F.col("_text").alias("value")).distinct()
     values = _cells(placed.where(F.col("index") > F.col("_last")), header)
     number = F.coalesce(F.col("_text").try_cast("double"), F.lit(0.0))
     return metadata, values.select("feature", "sample", number.alias("value"))
@@ -113,7 +114,8 @@ def _write_tsv(df: DataFrame, path: str, partition: str | None = None, header: b
     writer = df.write.mode("errorifexists")
     if partition:
         writer = writer.partitionBy(partition)
-    options = {"sep": TAB, "header": str(header).lower(), "quote": "", "emptyValue": "", "escape": ""}
+    # plain text: no quoting, also not of a header that starts with "#"
+    options = {"sep": TAB, "header": str(header).lower(), "quote": "", "comment": "\u0001", "emptyValue": ""}
     writer.options(**options).csv(path)
 
 

@@ -214,6 +214,6 @@ GROUP BY p_brand, p_size, taxon, year(o_orderdate), month(o_orderdate)
 # letters to bases; other characters are unknown
 LENSES["genomes"] = """
 SELECT doc_id, source,
-       translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS bases
+       translate(lower(text), 'abcdefghijklmnopqrstuvwxyzß', 'ACGTACGTACGTACGTACGTACGTACN') AS bases
 FROM {documents}
 """
