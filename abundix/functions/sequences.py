@@ -13,14 +13,15 @@ BASES = "TCAG"
 GENETIC_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 UNKNOWN_RESIDUE = "X"
 
-_BASE_INDEX = np.full(256, 64, dtype=np.int64)
+# index of a codon is 16 * first + 4 * second + third; with an unknown base it is 64 or more
+_UNKNOWN = 64
+_BASE_INDEX = np.full(256, _UNKNOWN, dtype=np.int16)
 for _i, _base in enumerate(BASES):
     _BASE_INDEX[ord(_base)] = _i
-# 64 known codons; any index from 64 on contains an unknown base
 _RESIDUES = np.frombuffer(
-    (GENETIC_CODE + UNKNOWN_RESIDUE * (64 * 21 + 1)).encode(), dtype=np.uint8
+    (GENETIC_CODE + UNKNOWN_RESIDUE * (_UNKNOWN * 21 + 1)).encode(), dtype=np.uint8
 )
-_BAD = (ord("*"), ord(UNKNOWN_RESIDUE))
+_BAD = (_RESIDUES == ord("*")) | (_RESIDUES == ord(UNKNOWN_RESIDUE))
 _FRAMES = T.ArrayType(
     T.StructType([T.StructField("frame", T.IntegerType()), T.StructField("peptide", T.StringType())])
 )
@@ -33,30 +34,37 @@ def reverse_complement(sequence: Column | str) -> Column:
     return F.reverse(F.translate(known, "ACGT", "TGCA"))
 
 
-def _translate(codes: np.ndarray, frame: int) -> np.ndarray:
-    usable = (len(codes) - frame) // 3 * 3
-    if usable <= 0:
-        return _RESIDUES[:0]
-    triplets = codes[frame : frame + usable].reshape(-1, 3)
-    return _RESIDUES[triplets[:, 0] * 16 + triplets[:, 1] * 4 + triplets[:, 2]]
+def _codons(codes: np.ndarray) -> np.ndarray:
+    """Index of the codon that starts at every position."""
+    return codes[:-2] * 16 + codes[1:-1] * 4 + codes[2:] if len(codes) > 2 else codes[:0]
 
 
-def _open_frames(sequence: str) -> list[dict]:
-    codes = _BASE_INDEX[np.frombuffer(sequence.encode("ascii", "replace"), dtype=np.uint8)]
-    # with the T, C, A, G order the complement of a base swaps T-A (0-2) and C-G (1-3)
+def _open_frames(sequences: list[str]) -> list[list[dict]]:
+    """Open frames of a batch: one pass over the joined sequences, then strided slices."""
+    codes = _BASE_INDEX[np.frombuffer("".join(sequences).encode("ascii", "replace"), dtype=np.uint8)]
+    # in the order T, C, A, G the complement swaps 0-2 and 1-3
     opposite = np.where(codes < 4, (codes + 2) % 4, codes)[::-1]
+    strands = [(_RESIDUES[c], _BAD[c]) for c in (_codons(codes), _codons(opposite))]
     found = []
-    for strand, offset in ((codes, 0), (opposite, 3)):
-        for frame in range(3):
-            residues = _translate(strand, frame)
-            if not np.isin(residues, _BAD).any():
-                found.append({"frame": frame + offset, "peptide": residues.tobytes().decode()})
+    start = 0
+    for sequence in sequences:
+        stop = start + len(sequence)
+        frames = []
+        # the reverse strand of the batch holds the sequences in reverse order
+        spans = ((start, stop), (len(codes) - stop, len(codes) - start))
+        for (residues, bad), (begin, end), first in zip(strands, spans, (0, 3)):
+            for frame in range(3):
+                window = slice(begin + frame, max(begin + frame, end - 2), 3)
+                if not bad[window].any():
+                    frames.append({"frame": first + frame, "peptide": residues[window].tobytes().decode()})
+        found.append(frames)
+        start = stop
     return found
 
 
 @F.pandas_udf(_FRAMES)
 def _frames(sequence: pd.Series) -> pd.Series:
-    return sequence.map(lambda s: [] if s is None else _open_frames(s))
+    return pd.Series(_open_frames(sequence.fillna("").tolist()), index=sequence.index)
 
 
 def translate_frames(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from abundix.functions.features import OTHER
 from abundix.functions.statistics import chi2_sf, spearman_p
 from abundix.operators.scaling import distinct_weights, join_on, ordered_prefix
+from abundix.session import cut_lineage
 
 
 def average_rank(df: DataFrame, value: str = "value", within: tuple[str, ...] = (), name: str = "rank") -> DataFrame:
@@ -57,6 +58,7 @@ def spearman(table: DataFrame, metadata: DataFrame, feature: str = "feature") ->
 
     cells = table.join(ranked, "sample")
     seen = cells.groupBy(feature, "value").agg(F.count(F.lit(1)).alias("n"), F.sum("rank").alias("ranks"))
+    seen = cut_lineage(seen)
     rest = seen.groupBy(feature).agg(
         (n - F.sum("n")).cast("long").alias("n"), (rank_sum - F.sum("ranks")).alias("ranks")
     )
@@ -87,7 +89,7 @@ def kruskal_wallis(table: DataFrame, metadata: DataFrame, feature: str = "featur
     ).scalar()
     n, level_count = totals["n"], totals["levels"]
     cells = table.join(metadata.select("sample", F.col("value").alias("level")), "sample")
-    seen = cells.groupBy(feature, "level", "value").agg(F.count(F.lit(1)).alias("n"))
+    seen = cut_lineage(cells.groupBy(feature, "level", "value").agg(F.count(F.lit(1)).alias("n")))
     missing = seen.groupBy(feature).agg((n - F.sum("n")).cast("long").alias("_ties"))
     ties = (
         seen.groupBy(feature, "value")

@@ -73,23 +73,11 @@ def filter_hits(
     return out
 
 
-def merge_intervals(
-    intervals: DataFrame,
-    keys: Sequence[str],
-    start: str = "s_start",
-    stop: str = "s_end",
-    tile: int = 65_536,
-) -> DataFrame:
-    """Islands of the half-open intervals of each key: ``island_start``, ``island_stop``.
-
-    Intervals are cut at fixed tile borders and reduced to the furthest stop per start
-    before the shuffle.  A window partition is one tile, so it never holds more than
-    ``tile`` rows however many hits a gene has.  Islands that touch a tile border are
-    cut there; their lengths still add up to the length of the union.
-    """
-    keys = list(keys)
+def _islands(intervals: DataFrame, keys: list[str], start: str, stop: str, tile: int, longest: str | None) -> DataFrame:
+    """Islands within tiles: ``_tile``, ``island_start``, ``island_stop`` (and the longest ``longest``)."""
     first = F.floor(F.col(start) / tile)
     last = F.floor((F.col(stop) - 1) / tile)
+    length = F.lit(None).cast("long") if longest is None else F.col(longest)
     pieces = (
         intervals.where(F.col(stop) > F.col(start))
         .withColumn("_tile", F.explode(F.sequence(first, last)))
@@ -98,9 +86,10 @@ def merge_intervals(
             "_tile",
             F.greatest(F.col(start), F.col("_tile") * tile).cast("long").alias("_start"),
             F.least(F.col(stop), (F.col("_tile") + 1) * tile).cast("long").alias("_stop"),
+            length.alias("_length"),
         )
         .groupBy(*keys, "_tile", "_start")
-        .agg(F.max("_stop").alias("_stop"))
+        .agg(F.max("_stop").alias("_stop"), F.max("_length").alias("_length"))
     )
     ordered = Window.partitionBy(*keys, "_tile").orderBy("_start")
     reach = F.max("_stop").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
@@ -108,11 +97,42 @@ def merge_intervals(
         "_opens", (F.col("_reach").isNull() | (F.col("_start") > F.col("_reach"))).cast("int")
     )
     numbered = opened.withColumn("_island", F.sum("_opens").over(ordered))
-    return (
-        numbered.groupBy(*keys, "_tile", "_island")
-        .agg(F.min("_start").alias("island_start"), F.max("_stop").alias("island_stop"))
-        .drop("_tile", "_island")
+    return numbered.groupBy(*keys, "_tile", "_island").agg(
+        F.min("_start").alias("island_start"), F.max("_stop").alias("island_stop"), F.max("_length").alias("_length")
+    )
+
+
+def merge_intervals(
+    intervals: DataFrame,
+    keys: Sequence[str],
+    start: str = "s_start",
+    stop: str = "s_end",
+    tile: int = 65_536,
+) -> DataFrame:
+    """Islands of the half-open intervals of each key: ``island_start``, ``island_stop``.
+
+    Intervals are cut at fixed tile borders and reduced to the furthest stop per start
+    before the shuffle.  A window partition is one tile, so it never holds more than
+    ``tile`` rows however many hits a gene has.  Pieces of an island that were cut at a
+    border are put together again, one row per tile and border.
+    """
+    keys = list(keys)
+    islands = _islands(intervals, keys, start, stop, tile, None).select(*keys, "_tile", "island_start", "island_stop")
+    at_left = F.col("island_start") == F.col("_tile") * tile
+    at_right = F.col("island_stop") == (F.col("_tile") + 1) * tile
+    # pieces that touch a border continue each other; only those go through a window per key
+    inner = islands.where(~at_left & ~at_right).select(*keys, "island_start", "island_stop")
+    cut = islands.where(at_left | at_right).select(*keys, "island_start", "island_stop")
+    by_start = Window.partitionBy(*keys).orderBy("island_start")
+    joined = (
+        cut.withColumn("_before", F.lag("island_stop").over(by_start))
+        .withColumn("_opens", F.coalesce((F.col("island_start") > F.col("_before")).cast("int"), F.lit(1)))
+        .withColumn("_chain", F.sum("_opens").over(by_start))
+        .groupBy(*keys, "_chain")
+        .agg(F.min("island_start").alias("island_start"), F.max("island_stop").alias("island_stop"))
+        .drop("_chain")
     )
+    return inner.unionByName(joined)
 
 
 def subject_coverage(
@@ -124,19 +144,16 @@ def subject_coverage(
 ) -> DataFrame:
     """Covered positions and percent coverage of each gene that has a valid interval.
 
-    A gene seen with several lengths takes the longest.  Protein mode divides the
-    (nucleotide) gene length by three.
+    A gene seen with several lengths takes the longest of its valid hits.  Protein mode
+    divides the (nucleotide) gene length by three.  The hits are read once.
     """
     keys = [*by, gene]
-    covered = (
-        merge_intervals(hits, keys, tile=tile)
-        .groupBy(*keys)
-        .agg(F.sum(F.col("island_stop") - F.col("island_start")).alias("covered"))
+    out = _islands(hits, keys, "s_start", "s_end", tile, "gene_length").groupBy(*keys).agg(
+        F.sum(F.col("island_stop") - F.col("island_start")).alias("covered"), F.max("_length").alias("_length")
     )
-    lengths = hits.groupBy(*keys).agg(F.max("gene_length").alias("_length"))
     length = F.col("_length") if nucleotide else F.col("_length") / 3
     coverage = F.when(length > 0, F.col("covered") / length * 100.0).otherwise(F.lit(0.0))
-    return covered.join(lengths, keys).withColumn("coverage", coverage).drop("_length")
+    return out.withColumn("coverage", coverage).drop("_length")
 
 
 def filter_subject_coverage(

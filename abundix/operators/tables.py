@@ -27,6 +27,7 @@ from abundix.functions.features import (
 )
 from abundix.functions.statistics import log_transform
 from abundix.operators.scaling import join_on
+from abundix.session import cut_lineage
 
 _FEATURE = list(FEATURE)
 
@@ -233,14 +234,16 @@ def expand_cluster(table: DataFrame, clusters: DataFrame, requested: Sequence[st
 
 
 def rebuild_totals(strata: DataFrame) -> DataFrame:
-    """Community rows as sums of the strata, together with the strata."""
-    totals = (
-        strata.groupBy("code", "name", "sample")
+    """Community rows as sums of the strata, together with the strata.
+
+    Every row counts for its stratum and for the community in one aggregation.
+    """
+    none = F.lit(None).cast("string")
+    return (
+        strata.withColumn("stratum", F.explode(F.array("stratum", none)))
+        .groupBy(*_FEATURE, "sample")
         .agg(F.sum("value").alias("value"))
-        .withColumn("stratum", F.lit(None).cast("string"))
     )
-    columns = [*_FEATURE, "sample", "value"]
-    return totals.select(*columns).unionByName(strata.select(*columns))
 
 
 def smooth(table: DataFrame, features: DataFrame, method: str = "laplace") -> DataFrame:
@@ -304,12 +307,15 @@ def relative_expression(
     """
     if stratified:
         rna, dna = split_stratified(rna)[0], split_stratified(dna)[0]
-    features = feature_union(rna, dna)
+    features = cut_lineage(feature_union(rna, dna))
+    cells = features.agg(F.count(F.lit(1))).scalar() if method == "laplace" else F.lit(0)
+    added = F.coalesce(F.min(F.when(F.col("value") > 0, F.col("value"))), F.lit(0.0))
 
     def prepare(table: DataFrame, value: str) -> DataFrame:
         smoothed = smooth(table, features, method)
-        counted = smoothed if method == "laplace" else table
-        totals = counted.groupBy("sample").agg(F.sum("value").alias(f"_{value}_total"))
+        # laplace adds the same amount to every cell of a sample
+        totals = table.groupBy("sample").agg(F.sum("value").alias("_sum"), added.alias("_added"))
+        totals = totals.select("sample", (F.col("_sum") + F.col("_added") * cells).alias(f"_{value}_total"))
         rows = rebuild_totals(smoothed) if stratified else smoothed
         return rows.withColumnRenamed("value", value).join(totals, "sample")
 
@@ -348,9 +354,10 @@ def strain_profiles(
         .where((F.col("_count") >= min_count) & (F.col("_mean") >= min_mean))
         .select("species", "sample")
     )
+    samples = cut_lineage(samples)
     counts = samples.groupBy("species").agg(F.count(F.lit(1)).alias("_samples"))
     counts = counts.where(F.col("_samples") >= min_samples)
-    covered = rows.join(samples, ["species", "sample"], "left_semi").join(counts, "species")
+    covered = cut_lineage(rows.join(samples, ["species", "sample"], "left_semi").join(counts, "species"))
     gene = ["species", "code", "name", "stratum"]
     share = F.count(nonzero) / (F.lit(1e-10) + F.first("_samples"))
     genes = covered.groupBy(*gene).agg(share.alias("prevalence"))

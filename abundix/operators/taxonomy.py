@@ -90,18 +90,20 @@ def taxon_map(
     strata = table.select(F.col("stratum").alias("key")).where(F.col("stratum").contains("g__")).distinct()
     strata = strata.withColumn("genus", genus_of("key"))
     if rank == "Genus":
+        by_family = cut_lineage(by_family)
         taxa = taxon_at_rank(by_family, taxonomy, rank)
         inferred = strata.select("key", F.col("genus").alias("taxon"))
         return by_family.join(taxa, "taxid").select("key", "taxon").unionByName(inferred)
     by_genus = strata.withColumn("genus", F.replace("genus", F.lit("g__"), F.lit(""))).join(
         unique_genera(taxonomy), "genus"
     )
-    keyed = by_family.select("key", "taxid").unionByName(by_genus.select("key", "taxid"))
+    keyed = cut_lineage(by_family.select("key", "taxid").unionByName(by_genus.select("key", "taxid")))
     return keyed.join(taxon_at_rank(keyed, taxonomy, rank), "taxid").select("key", "taxon")
 
 
 def drop_rare_taxa(mapping: DataFrame, threshold: float = 1e-3) -> DataFrame:
     """Drop map entries whose taxon holds less than ``threshold`` of the entries."""
+    mapping = cut_lineage(mapping)
     total = mapping.agg(F.count(F.lit(1))).scalar()
     common = mapping.groupBy("taxon").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") / total >= threshold)
     return mapping.join(common.select("taxon"), "taxon", "left_semi").select("key", "taxon")

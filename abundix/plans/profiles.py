@@ -10,6 +10,7 @@ from abundix.functions.alignments import ADJUSTED_CPM
 from abundix.functions.features import ALL, READS_UNMAPPED, UNGROUPED, UNINTEGRATED, UNMAPPED
 from abundix.operators import associations, contributions, hits as hit_ops, pathways as pw, tables
 from abundix.operators.ordering import feature_sort, profile_order
+from abundix.session import cut_lineage
 from abundix.sources.tables import read_feature_table
 
 By = Sequence[str]
@@ -51,7 +52,9 @@ def profile_gene_families(
     kept = hit_ops.filter_hits(hits, identity, evalue, query_coverage)
     if subject_coverage is not None:
         kept = hit_ops.filter_subject_coverage(kept, subject_coverage, nucleotide=nucleotide, by=by)
-    scores = hit_ops.gene_scores(kept, normalization, by)
+        # read for the query totals and for the weights, so the coverage is worked out once
+        kept = cut_lineage(kept.select(*by, "query", "gene", "bug", "matches", "gene_length", "aligned_length"))
+    scores = cut_lineage(hit_ops.gene_scores(kept, normalization, by))
     if normalization == ADJUSTED_CPM:
         scores = hit_ops.adjusted_cpm(scores, by)
     table = scores_to_table(scores, "gene", by).where(F.col("value") > 0)
@@ -97,9 +100,12 @@ def profile_pathways(
     by: By = (),
 ) -> DataFrame:
     """Pathway abundances with UNMAPPED and UNINTEGRATED rows, in output order."""
-    reactions = pw.reaction_scores(gene_scores, reaction_genes, by)
-    selected = pw.select_pathways(reactions, pathway_reactions, parsimony, by=by)
+    # each stage is read by several later ones, so it is written once
+    gene_scores = cut_lineage(gene_scores)
+    reactions = cut_lineage(pw.reaction_scores(gene_scores, reaction_genes, by))
+    selected = cut_lineage(pw.select_pathways(reactions, pathway_reactions, parsimony, by=by))
     abundance, used = pathway_abundance(selected, pathway_reactions, pathway_nodes, fill_gaps, by)
+    abundance = cut_lineage(abundance)
     present = pw.present_reactions(used, abundance, by)
     genes = pw.genes_in_pathways(gene_scores, reaction_genes, present, used, by)
     rest = pw.unmapped_unintegrated(abundance, genes, unaligned, by)
