@@ -18,6 +18,8 @@ from abundix.session import cut_lineage
 def average_rank(df: DataFrame, value: str = "value", within: tuple[str, ...] = (), name: str = "rank") -> DataFrame:
     """Rank of each row in its group, ties sharing their mean rank."""
     keys = list(within)
+    # ranks are joined back by value, so the values are computed once
+    df = cut_lineage(df)
     blocks = distinct_weights(df, keys, value)
     ranks = blocks.select(
         *keys, value, (F.col("before") + (F.col("n") + 1) / 2.0).alias(name)
@@ -46,15 +48,12 @@ def spearman(table: DataFrame, metadata: DataFrame, feature: str = "feature") ->
     sample.  A constant feature has a null ``rho``.
     """
     ranked = average_rank(metadata.select("sample", F.col("value").alias("meta")), "meta", name="rank")
-    ranked = ranked.select("sample", "rank")
+    ranked = cut_lineage(ranked.select("sample", "rank"))
+    # one row: the number of samples and the sums of their ranks and squared ranks
     totals = ranked.agg(
-        F.struct(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.sum("rank").alias("sum"),
-            F.sum(F.col("rank") * F.col("rank")).alias("squares"),
-        )
-    ).scalar()
-    n, rank_sum, squares = totals["n"], totals["sum"], totals["squares"]
+        F.count(F.lit(1)).cast("double"), F.sum("rank"), F.sum(F.col("rank") * F.col("rank"))
+    ).first()
+    n, rank_sum, squares = (F.lit(float(total or 0)) for total in totals)
 
     cells = table.join(ranked, "sample")
     seen = cells.groupBy(feature, "value").agg(F.count(F.lit(1)).alias("n"), F.sum("rank").alias("ranks"))
@@ -84,10 +83,10 @@ def kruskal_wallis(table: DataFrame, metadata: DataFrame, feature: str = "featur
     A feature with one distinct value has no statistic and is left out.
     """
     levels = metadata.groupBy(F.col("value").alias("level")).agg(F.count(F.lit(1)).alias("_size"))
-    totals = levels.agg(
-        F.struct(F.sum("_size").cast("double").alias("n"), F.count(F.lit(1)).alias("levels"))
-    ).scalar()
-    n, level_count = totals["n"], totals["levels"]
+    levels = cut_lineage(levels)
+    # one row: the number of samples and of levels
+    totals = levels.agg(F.sum("_size"), F.count(F.lit(1))).first()
+    n, level_count = F.lit(float(totals[0] or 0)), F.lit(totals[1]).cast("long")
     cells = table.join(metadata.select("sample", F.col("value").alias("level")), "sample")
     seen = cut_lineage(cells.groupBy(feature, "level", "value").agg(F.count(F.lit(1)).alias("n")))
     missing = seen.groupBy(feature).agg((n - F.sum("n")).cast("long").alias("_ties"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from abundix.functions.features import OTHER, UNCLASSIFIED
 from abundix.operators.scaling import sorted_position, with_group_totals
+from abundix.session import cut_lineage
 
 _BLOCK = 256
 _CHUNK = 4096
@@ -35,6 +36,7 @@ def top_taxa(table: DataFrame, n: int) -> DataFrame:
 
     ``unclassified`` stays apart.  ``other`` is written only if it is not all zero.
     """
+    table = cut_lineage(table)
     # every stratum is averaged over the same samples, so the sum ranks like the mean
     sums = table.where(F.col("stratum") != UNCLASSIFIED).groupBy("stratum").agg(F.sum("value").alias("_sum"))
     best = sums.orderBy(F.col("_sum").desc(), F.col("stratum").desc()).limit(n)
@@ -147,6 +149,8 @@ def braycurtis(table: DataFrame, relative: bool = True) -> DataFrame:
     cells = table.groupBy("stratum", "sample").agg(F.sum("value").alias("value")).where(F.col("value") > 0)
     if relative:
         cells = contribution_scaling(cells, "totalsum")
+    # read for the sizes, the blocks and the totals
+    cells = cut_lineage(cells)
     samples = cells.agg(F.count_distinct("sample")).scalar()
     strata = cells.agg(F.approx_count_distinct("stratum")).scalar()
 

@@ -172,6 +172,7 @@ def contribution_table(
         rows = rows.groupBy("stratum", "sample").agg(F.sum("value").alias("value"))
     if remove_zeros:
         rows = contributions.drop_zero_samples(rows)
+    rows = cut_lineage(rows)
     order = contributions.order_samples(rows, sort, metadata, listed)
     scaled = contributions.contribution_scaling(contributions.top_taxa(rows, taxa), scaling)
     out = scaled.join(order, "sample")

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from abundix.functions.features import UNCLASSIFIED
-from abundix.sources.text import fields, numbered_lines, raw_lines
+from abundix.sources.text import fields, placed_lines, raw_lines
 
 _NODES = (
     "pathway string, node_id int, parent_id int, depth int, `join` string, reaction string, is_key boolean"
@@ -151,11 +151,11 @@ def read_polymap(
 def read_names(spark: SparkSession, path: str) -> DataFrame:
     """``id, name``; the last line of an id wins."""
     f = fields(F.rtrim("line"))
-    rows = numbered_lines(spark, path).select(
-        F.get(f, F.lit(0)).alias("id"), F.get(f, F.lit(1)).alias("name"), "file", "index"
+    rows = placed_lines(spark, path).select(
+        F.get(f, F.lit(0)).alias("id"), F.get(f, F.lit(1)).alias("name"), "file", "at"
     )
     named = rows.where((F.length("id") > 0) & F.col("name").isNotNull())
-    return named.groupBy("id").agg(F.max_by("name", F.struct("file", "index")).alias("name"))
+    return named.groupBy("id").agg(F.max_by("name", F.struct("file", "at")).alias("name"))
 
 
 def read_taxonomic_profile(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -175,11 +175,11 @@ def read_taxonomy(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataF
     A section starts at a line whose first field is TAXID or FAMILY; its columns are
     named by that line, in lower case.  Every file may hold one or both sections.
     """
-    lines = numbered_lines(spark, path)
+    lines = placed_lines(spark, path)
     first = F.get(fields(), F.lit(0))
     marked = lines.where(first.isin("TAXID", "FAMILY"))
     starts = marked.groupBy("file").agg(
-        *[F.min(F.when(first == m, F.col("index"))).alias(m) for m in ("TAXID", "FAMILY")]
+        *[F.min(F.when(first == m, F.col("at"))).alias(m) for m in ("TAXID", "FAMILY")]
     )
     # the header lines, of which there are as many as sections
     headers = {r["marker"]: r["names"] for r in marked.select(
@@ -189,7 +189,7 @@ def read_taxonomy(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataF
 
     def section(marker: str, other: str) -> DataFrame:
         start, stop = F.col(marker), F.col(other)
-        inside = (F.col("index") > start) & (stop.isNull() | (stop < start) | (F.col("index") < stop))
+        inside = (F.col("at") > start) & (stop.isNull() | (stop < start) | (F.col("at") < stop))
         return placed.where(inside).select(
             *[F.get(fields(), F.lit(i)).alias(n) for i, n in enumerate(headers[marker])]
         )

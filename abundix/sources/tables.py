@@ -21,7 +21,7 @@ from abundix.functions.features import (
     split_feature,
 )
 from abundix.operators.ordering import feature_sort_keys, profile_order
-from abundix.sources.text import TAB, base_name, fields, numbered_lines
+from abundix.sources.text import TAB, base_name, fields, placed_lines
 
 _FEATURE = list(FEATURE)
 
@@ -30,7 +30,7 @@ def _cells(lines: DataFrame, header: DataFrame, name: str = "feature") -> DataFr
     """Cells of tab separated rows, named by the header line of their file."""
     names = header.select("file", F.posexplode(fields()).alias("_at", "sample")).where(F.col("_at") > 0)
     cells = lines.select(
-        "file", "index", F.get(fields(), F.lit(0)).alias(name), F.posexplode(fields()).alias("_at", "_text")
+        "file", F.get(fields(), F.lit(0)).alias(name), F.posexplode(fields()).alias("_at", "_text")
     ).where(F.col("_at") > 0)
     return cells.join(names, ["file", "_at"]).drop("_at")
 
@@ -41,13 +41,16 @@ def read_cells(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     The header is the last of the leading ``#`` lines, or the first line when there is
     none.  Unreadable values are 0.  ``source`` is the file's base name.
     """
-    lines = numbered_lines(spark, path)
-    data = lines.where(~F.col("line").startswith("#"))
-    first = data.groupBy("file").agg(F.min("index").alias("_first"))
-    header_at = first.select("file", F.greatest(F.col("_first") - 1, F.lit(0)).alias("_header"))
-    placed = lines.join(header_at, "file")
-    header = placed.where(F.col("index") == F.col("_header"))
-    rows = placed.where((F.col("index") > F.col("_header")) & (F.length("line") > 0))
+    lines = placed_lines(spark, path)
+    # the leading lines are in the first split of a file, where ids are consecutive
+    start = lines.where(F.col("block") == 0)
+    comment = F.col("line").startswith("#")
+    found = start.groupBy("file").agg(
+        F.greatest(F.min(F.when(~comment, F.col("at.id"))) - 1, F.min("at.id")).alias("_header")
+    )
+    header = start.join(found, "file").where(F.col("at.id") == F.col("_header"))
+    below = (F.col("block") > 0) | (F.col("at.id") > F.col("_header"))
+    rows = lines.join(found, "file").where(below & (F.length("line") > 0))
     value = F.coalesce(F.col("_text").try_cast("double"), F.lit(0.0))
     return _cells(rows, header).select("feature", "sample", value.alias("value"), base_name("file").alias("source"))
 
@@ -88,16 +91,17 @@ def read_metadata_table(
     The first line holds the sample names; rows up to ``last_metadata`` are metadata.  A
     table in several files repeats these lines in each.
     """
-    lines = numbered_lines(spark, path)
-    header = lines.where(F.col("index") == 0)
+    lines = placed_lines(spark, path)
     name = F.get(fields(), F.lit(0))
-    last = lines.where((F.col("index") > 0) & (name == last_metadata)).groupBy("file").agg(
-        F.min("index").alias("_last")
+    found = lines.groupBy("file").agg(
+        F.min("at").alias("_header"), F.min(F.when(name == last_metadata, F.col("at"))).alias("_last")
     )
-    placed = lines.where((F.col("index") > 0) & (F.length("line") > 0)).join(last, "file")
-    cells = _cells(placed.where(F.col("index") <= F.col("_last")), header, "key")
+    placed = lines.where(F.length("line") > 0).join(found, "file")
+    header = placed.where(F.col("at") == F.col("_header"))
+    rows = placed.where(F.col("at") > F.col("_header"))
+    cells = _cells(rows.where(F.col("at") <= F.col("_last")), header, "key")
     metadata = cells.select("sample", "key", F.col("_text").alias("value")).distinct()
-    values = _cells(placed.where(F.col("index") > F.col("_last")), header)
+    values = _cells(rows.where(F.col("at") > F.col("_last")), header)
     number = F.coalesce(F.col("_text").try_cast("double"), F.lit(0.0))
     return metadata, values.select("feature", "sample", number.alias("value"))
 

@@ -18,20 +18,29 @@ def raw_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
+def placed_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Lines with their place ``at`` in their file; places compare in file order.
+
+    A split is read by one task in file order, and a frame keeps its list of splits, so
+    places found in one scan can be compared with those of another scan of the frame.
+    """
+    at = F.struct("block", F.monotonically_increasing_id().alias("id"))
+    return raw_lines(spark, path).select("file", "block", at.alias("at"), "line")
+
+
 def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Lines with their 0-based ``index`` in their file.
+    """Lines with their 0-based ``index`` in their file, from two scans.
 
-    A split is read by one task in file order, so ids are counted within each split and
-    only one row per split is needed to add up the offsets.
+    Only one row per split is needed to add up the offsets.
     """
-    lines = raw_lines(spark, path).withColumn("_id", F.monotonically_increasing_id())
+    lines = placed_lines(spark, path)
     splits = lines.groupBy("file", "block").agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines")
+        F.min("at.id").alias("_first"), F.count(F.lit(1)).alias("_lines")
     )
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_offset", F.coalesce(F.sum("_lines").over(earlier), F.lit(0))).drop("_lines")
     return lines.join(splits, ["file", "block"]).select(
-        "file", (F.col("_id") - F.col("_first") + F.col("_offset")).alias("index"), "line"
+        "file", (F.col("at.id") - F.col("_first") + F.col("_offset")).alias("index"), "line"
     )
 
 

@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from abundix.session import apply_conf
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -52,7 +54,7 @@ def query(name: str, sql: str | None = None):
     def register(function: Callable[[Views], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, folder: function(Views(spark, folder))
+        QUERIES[name] = lambda spark, folder: function(Views(apply_conf(spark), folder))
         if sql is not None:
             ORACLES[name] = sql.format(**{n: lens_sql(n) for n in _names(sql)})
         return function
