@@ -303,8 +303,19 @@ def genes_in_pathways(
     )
 
 
+def with_unaligned(df: DataFrame, unaligned: int | float | DataFrame = 0, by: By = ()) -> DataFrame:
+    """Add ``unaligned`` reads: one number, or a frame ``(*by, unaligned)`` for many samples."""
+    if not isinstance(unaligned, DataFrame):
+        return df.withColumn("unaligned", F.lit(float(unaligned)))
+    counts = unaligned.select(*by, F.col("unaligned").cast("double").alias("unaligned"))
+    return df.join(counts, list(by), "left").withColumn("unaligned", F.coalesce("unaligned", F.lit(0.0)))
+
+
 def unmapped_unintegrated(
-    pathway_abundance: DataFrame, gene_abundance: DataFrame, unaligned: int | float = 0, by: By = ()
+    pathway_abundance: DataFrame,
+    gene_abundance: DataFrame,
+    unaligned: int | float | DataFrame = 0,
+    by: By = (),
 ) -> DataFrame:
     """Compression, unintegrated and (for ``all``) unmapped amount per organism.
 
@@ -316,13 +327,13 @@ def unmapped_unintegrated(
     compression = F.when(F.col("in_pathways") != 0, F.col("_pathways") / F.col("in_pathways")).otherwise(F.lit(0.0))
     zero = F.lit(0.0)
     return (
-        totals.join(gene_abundance, keys, "left")
+        with_unaligned(totals.join(gene_abundance, keys, "left"), unaligned, by)
         .withColumn("compression", F.coalesce(compression, zero))
         .select(
             *keys,
             "compression",
             (F.col("compression") * F.coalesce("remaining", zero)).alias("unintegrated"),
-            F.when(F.col("bug") == ALL, F.col("compression") * F.lit(float(unaligned))).alias("unmapped"),
+            F.when(F.col("bug") == ALL, F.col("compression") * F.col("unaligned")).alias("unmapped"),
         )
     )
 

@@ -33,6 +33,15 @@ def _special_row(df: DataFrame, code: str, value, by: By) -> DataFrame:
     return df.select(*by, F.lit(code).alias("code"), none.alias("name"), none.alias("stratum"), value.alias("value"))
 
 
+def _unaligned_rows(table: DataFrame, unaligned: int | float | DataFrame, code: str, by: By) -> DataFrame:
+    """The unaligned reads of every sample as a special row."""
+    if by:
+        samples = table.select(*by).distinct()
+    else:
+        samples = table.sparkSession.range(1).select()
+    return _special_row(pw.with_unaligned(samples, unaligned, by), code, F.col("unaligned"), by)
+
+
 def profile_gene_families(
     hits: DataFrame,
     normalization: str = ADJUSTED_CPM,
@@ -41,12 +50,13 @@ def profile_gene_families(
     query_coverage: float | None = None,
     subject_coverage: float | None = None,
     nucleotide: bool = False,
+    unaligned: int | float | DataFrame = 0,
     by: By = (),
     ordered: bool = True,
 ) -> DataFrame:
     """Filtered, weighted and normalised gene families with their strata.
 
-    The scale to a million belongs to the written profile; pathways use the unscaled
+    The unaligned reads come first, as READS_UNMAPPED and as a plain count.  The scale to a million belongs to the written profile; pathways use the unscaled
     ``gene_scores``.
     """
     kept = hit_ops.filter_hits(hits, identity, evalue, query_coverage)
@@ -58,17 +68,25 @@ def profile_gene_families(
     if normalization == ADJUSTED_CPM:
         scores = hit_ops.adjusted_cpm(scores, by)
     table = scores_to_table(scores, "gene", by).where(F.col("value") > 0)
+    table = table.unionByName(_unaligned_rows(table, unaligned, READS_UNMAPPED, by))
     return profile_order(table, by, (READS_UNMAPPED,)) if ordered else table
 
 
 def profile_reactions(
-    gene_scores: DataFrame, reaction_genes: DataFrame, digits: int = 10, by: By = ()
+    gene_scores: DataFrame,
+    reaction_genes: DataFrame,
+    unaligned: int | float | DataFrame = 0,
+    digits: int = 10,
+    by: By = (),
 ) -> DataFrame:
-    """Reaction abundances with the unused gene abundance as UNGROUPED."""
+    """Reaction abundances with the unaligned reads as UNMAPPED and the unused gene
+    abundance as UNGROUPED."""
+    gene_scores = cut_lineage(gene_scores)
     reactions = scores_to_table(pw.reaction_scores(gene_scores, reaction_genes, by), "reaction", by)
     unused = pw.unintegrated_genes(gene_scores, reaction_genes, by).withColumn("reaction", F.lit(UNGROUPED))
     unused = scores_to_table(unused, "reaction", by, "unintegrated")
     table = tables.nonzero_at_precision(reactions, digits).unionByName(unused)
+    table = table.unionByName(_unaligned_rows(gene_scores, unaligned, UNMAPPED, by))
     return profile_order(table, by, (UNMAPPED, UNGROUPED))
 
 
@@ -93,7 +111,7 @@ def profile_pathways(
     pathway_reactions: DataFrame,
     pathway_nodes: DataFrame | None = None,
     names: DataFrame | None = None,
-    unaligned: int | float = 0,
+    unaligned: int | float | DataFrame = 0,
     parsimony: bool = True,
     fill_gaps: bool = True,
     digits: int = 10,

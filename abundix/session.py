@@ -42,8 +42,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in one folder per application."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/abundix-{application}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -26,10 +26,16 @@ c AS (SELECT code, stratum, value / (SELECT sum(value) FROM s WHERE stratum IS N
 """
 
 
-@query("profile_gene_families", f"WITH {KEPT} SELECT code, stratum, round(value, 4) AS value FROM c")
+@query(
+    "profile_gene_families",
+    f"""
+WITH {KEPT} SELECT code, stratum, round(value, 4) AS value FROM c
+UNION ALL SELECT 'READS_UNMAPPED', NULL, 1234.0::DOUBLE
+""",
+)
 def profile_gene_families(v):
     out = p.profile_gene_families(
-        v["protein_hits"], identity=70, evalue=0.06, query_coverage=20, subject_coverage=20
+        v["protein_hits"], identity=70, evalue=0.06, query_coverage=20, subject_coverage=20, unaligned=1234
     )
     return out.select("code", "stratum", F.round("value", 4).alias("value"))
 
@@ -47,14 +53,15 @@ REACTIONS = """
 SELECT reaction AS code, CASE WHEN bug <> 'all' THEN bug END AS stratum, score AS value FROM {reaction_scores}
 UNION ALL SELECT 'UNGROUPED', CASE WHEN bug <> 'all' THEN bug END, sum(score) FROM {organism_genes}
           WHERE gene NOT IN (SELECT gene FROM {reaction_genes}) GROUP BY bug
+UNION ALL SELECT 'UNMAPPED', NULL, 321.0::DOUBLE
 """
 
 
 @query(
-    "profile_reactions", _ordered(REACTIONS, "CASE r.code WHEN 'UNGROUPED' THEN 1 ELSE 2 END").replace("ORDER BY CASE r.code", "ORDER BY CASE code")
+    "profile_reactions", _ordered(REACTIONS, "CASE code WHEN 'UNMAPPED' THEN 0 WHEN 'UNGROUPED' THEN 1 ELSE 2 END")
 )
 def profile_reactions(v):
-    return p.profile_reactions(v["organism_genes"], v["reaction_genes"]).drop("name")
+    return p.profile_reactions(v["organism_genes"], v["reaction_genes"], 321).drop("name")
 
 
 # flat pathways without the parsimony step, which has no SQL

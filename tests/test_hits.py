@@ -129,5 +129,18 @@ def test_a_read_can_be_aligned_and_unaligned(frame):
 
 
 def test_profile_order(two_hits):
-    lines = profile_gene_families(two_hits, RPK).orderBy("position").collect()
-    assert [(r["code"], r["stratum"]) for r in lines] == [("a", None), ("a", "b"), ("b", None), ("b", "b")]
+    lines = profile_gene_families(two_hits, RPK, unaligned=5).orderBy("position").collect()
+    assert [(r["code"], r["stratum"]) for r in lines] == [
+        ("READS_UNMAPPED", None), ("a", None), ("a", "b"), ("b", None), ("b", "b")
+    ]
+    assert lines[0]["value"] == 5.0
+
+
+def test_profile_of_many_samples(two_hits, frame):
+    both = two_hits.withColumn("sample", F.lit("x")).unionByName(two_hits.withColumn("sample", F.lit("y")))
+    counts = frame([("x", 7)], "sample string, unaligned long")
+    lines = profile_gene_families(both, by=["sample"], unaligned=counts)
+    first = as_dict(lines.where("position = 1"), "sample", "value")
+    assert first == {"x": 7.0, "y": 0.0}
+    total = lines.where("stratum is null and position > 1").groupBy("sample").agg(F.sum("value").alias("v"))
+    assert as_dict(total, "sample", "v") == pytest.approx({"x": 1e6, "y": 1e6})

@@ -207,3 +207,25 @@ def test_pathway_profile(frame):
         ("p", None, 6.0),
         ("p", "x", 6.0),
     ]
+
+
+def test_profiles_of_samples_together_are_those_of_each_alone(frame):
+    rng = random.Random(7)
+    genes = [(s, b, f"g{g}", float(rng.randint(1, 20))) for s in "xy" for b in ("b1", "b2", "all") for g in range(12)
+             if rng.random() < 0.8]
+    scores = frame(genes, "sample string, bug string, gene string, score double")
+    reactions = frame([(f"r{g // 2}", f"g{g}") for g in range(10)], "reaction string, gene string")
+    structures = frame([("p", "r0 ( r1 , r2 ) -r3"), ("q", "r3 r4")], "pathway string, structure string")
+    nodes = pathway_nodes(structures)
+    members = frame([("p", f"r{i}") for i in range(4)] + [("q", "r3"), ("q", "r4")], "pathway string, reaction string")
+    counts = frame([("x", 10), ("y", 20)], "sample string, unaligned long")
+    together = p.profile_pathways(scores, reactions, members, nodes, unaligned=counts, by=["sample"])
+    got = as_dict(together, ("sample", "code", "stratum"), "value")
+    mixed = p.profile_reactions(scores, reactions, counts, by=["sample"])
+    got_reactions = as_dict(mixed, ("sample", "code", "stratum"), "value")
+    for sample, count in (("x", 10), ("y", 20)):
+        own = scores.where(F.col("sample") == sample).drop("sample")
+        alone = as_dict(p.profile_pathways(own, reactions, members, nodes, unaligned=count), ("code", "stratum"), "value")
+        assert {k[1:]: v for k, v in got.items() if k[0] == sample} == pytest.approx(alone)
+        alone = as_dict(p.profile_reactions(own, reactions, count), ("code", "stratum"), "value")
+        assert {k[1:]: v for k, v in got_reactions.items() if k[0] == sample} == pytest.approx(alone)
