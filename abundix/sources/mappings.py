@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from abundix.functions.features import UNCLASSIFIED
+from abundix.session import cut_lineage
 from abundix.sources.text import fields, placed_lines, raw_lines
 
 _NODES = (
@@ -98,7 +99,10 @@ def pathway_tree(pathway: str, structure: str, known: frozenset[str] = frozenset
 
 
 def pathway_nodes(structures: DataFrame, known_reactions: frozenset[str] = frozenset()) -> DataFrame:
-    """Node table of ``structures(pathway, structure)``, one line of text per pathway."""
+    """Node table of ``structures(pathway, structure)``, one line of text per pathway.
+
+    The table is written once, as the evaluation of the trees reads it in many branches.
+    """
 
     def trees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -111,7 +115,7 @@ def pathway_nodes(structures: DataFrame, known_reactions: frozenset[str] = froze
             frame["parent_id"] = frame["parent_id"].astype("Int32")
             yield frame
 
-    return structures.select("pathway", "structure").mapInPandas(trees, _NODES)
+    return cut_lineage(structures.select("pathway", "structure").mapInPandas(trees, _NODES))
 
 
 def read_pathway_nodes(
