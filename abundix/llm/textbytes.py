@@ -65,12 +65,13 @@ class Text(NamedTuple):
 
 
 class Words(NamedTuple):
-    """Where each word starts and ends in ``Text.data``, its row, and its hash."""
+    """Where each word starts and ends in ``Text.data``, its row, its hash, and the hashes of its first bytes."""
 
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
     code: np.ndarray
+    heads: tuple[np.ndarray, ...] = ()
 
 
 def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[Text]:
@@ -110,11 +111,29 @@ def _stretches(space: np.ndarray, breaks: np.ndarray) -> Iterator[tuple[int, int
         low = high
 
 
-def words(text: Text, fold: np.ndarray = PLAIN) -> Words:
-    """All words of the rows, in order; ``fold`` maps bytes before hashing (``LOWER``: A-Z to a-z)."""
+def _trimmed(data: np.ndarray, s: np.ndarray, e: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans without bytes of ``edge`` at their ends; a span of nothing else stays as it is."""
+    a, b = s.copy(), e.copy()
+    for move, at, step in ((a, lambda: a, 1), (b, lambda: b - 1, -1)):
+        todo = np.flatnonzero(a < b)
+        while len(todo):
+            todo = todo[edge[data[at()[todo]]]]
+            move[todo] += step
+            todo = todo[a[todo] < b[todo]]
+    empty = a >= b
+    a[empty], b[empty] = s[empty], e[empty]
+    return a, b
+
+
+def words(text: Text, fold: np.ndarray = PLAIN, edge: np.ndarray | None = None, heads: tuple[int, ...] = ()) -> Words:
+    """All words of the rows, in order.
+
+    ``fold`` maps bytes before hashing (``LOWER``: A-Z to a-z), ``edge`` marks bytes to leave out of
+    the hash at both ends of a word, ``heads`` asks for hashes of the first bytes (of all, if fewer).
+    """
     data, offsets = text.data, text.offsets
     space = SPACE[data]
-    starts, ends, codes = [], [], []
+    starts, ends, codes, firsts = [], [], [], []
     row_start = np.zeros(len(data) + 1, dtype=bool)
     row_start[offsets] = True
     for low, high in _stretches(space, offsets):
@@ -128,15 +147,19 @@ def words(text: Text, fold: np.ndarray = PLAIN) -> Words:
         up, down = _POWERS.upto(high - low)
         total = np.zeros(high - low + 1, dtype=np.uint64)
         np.cumsum(_BYTE_VALUE[fold[data[low:high]]] * up[: high - low], out=total[1:])
-        codes.append(mix((total[e] - total[s]) * down[s]))
+        a, b = (s, e) if edge is None else _trimmed(data[low:high], s, e, edge)
+        codes.append(mix((total[b] - total[a]) * down[a]))
+        firsts.append([mix((total[np.minimum(a + n, b)] - total[a]) * down[a]) for n in heads])
         starts.append(s + low)
         ends.append(e + low)
     if not starts:
         none = np.zeros(0, dtype=np.int64)
-        return Words(none, none, none, np.zeros(0, dtype=np.uint64))
+        nothing = np.zeros(0, dtype=np.uint64)
+        return Words(none, none, none, nothing, (nothing,) * len(heads))
     start = np.concatenate(starts)
     row = np.searchsorted(offsets, start, side="right") - 1
-    return Words(start, np.concatenate(ends), row, np.concatenate(codes))
+    first = tuple(np.concatenate([f[i] for f in firsts]) for i in range(len(heads)))
+    return Words(start, np.concatenate(ends), row, np.concatenate(codes), first)
 
 
 def row_bounds(found: Words, rows: int) -> np.ndarray:
