@@ -33,7 +33,7 @@ SAMPLE = 500
 MAX_LANGUAGES = 500
 VIEWS = 4
 EPOCHS = 12
-_BATCH = 256
+_BATCH = 32
 _PAD = 32
 
 
@@ -134,10 +134,10 @@ def window_bytes(text: textbytes.Text, start: np.ndarray, length: np.ndarray) ->
 def _logits(net: Network, tables: list[np.ndarray], x: np.ndarray) -> np.ndarray:
     n, places = len(x), WINDOW - max(WIDTHS) + 1
     total = FILTERS * len(WIDTHS)
-    answers = tables[0][x[:, :places]]
+    answers = np.take(tables[0], x[:, :places], axis=0)
     for k in range(1, max(WIDTHS)):
         own = tables[k].shape[1]
-        answers[:, :, total - own :] += tables[k][x[:, k : k + places]]
+        answers[:, :, total - own :] += np.take(tables[k], x[:, k : k + places], axis=0)
     return np.maximum(answers.max(axis=1) + net.shifts, 0) @ net.output + net.bias
 
 
