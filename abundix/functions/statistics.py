@@ -14,85 +14,101 @@ from pyspark.sql import Column, functions as F, types as T
 
 from abundix.functions.features import _col
 
-_MAX_TERMS = 10_000
+_CLOSE = 1e-14
+_TINY = 1e-300
 
 
 def _lgamma(values: np.ndarray) -> np.ndarray:
     return np.fromiter((math.lgamma(v) for v in values), dtype=float, count=len(values))
 
 
-def _lower_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularised lower incomplete gamma by its power series."""
-    out = np.zeros(len(x))
-    live = (x > 0) & (a > 0)
-    out[(x > 0) & (a <= 0)] = 1.0
-    if not live.any():
-        return out
-    a, x = a[live], x[live]
-    log_scale = a * np.log(x) - x - _lgamma(a + 1)
-    term = np.ones(len(x))
-    total = np.ones(len(x))
-    shift = np.zeros(len(x))
-    for i in range(1, _MAX_TERMS):
-        term = term * x / (a + i)
-        total = total + term
-        big = total > 1e250
-        if big.any():
-            term[big] *= 1e-250
-            total[big] *= 1e-250
-            shift[big] += 250 * math.log(10)
-        if np.all(term < total * 1e-15):
-            break
-    out[live] = np.minimum(1.0, np.exp(log_scale + np.log(total) + shift))
+def _density(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """x^a e^-x / Gamma(a + 1).
+
+    For a above 20 by Stirling's series in the distance of x from a, as the plain logarithms
+    of large values cancel.
+    """
+    small = a < 20
+    out = np.empty(len(a))
+    sa, sx = a[small], x[small]
+    out[small] = np.exp(sa * np.log(sx) - sx - _lgamma(sa + 1))
+    la, lx = a[~small], x[~small]
+    off = (lx - la) / la
+    apart = off - np.log1p(off)
+    correction = 1 / (12 * la) - 1 / (360 * la**3) + 1 / (1260 * la**5) - 1 / (1680 * la**7)
+    out[~small] = np.exp(-la * apart - correction) / np.sqrt(2 * np.pi * la)
     return out
 
 
-def _upper_gamma(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularised upper incomplete gamma; continued fraction in the far tail."""
-    out = 1.0 - _lower_gamma(a, x)
-    far = x > a + 1
-    if far.any():
-        fa, fx = a[far], x[far]
-        tiny = 1e-300
-        b = fx + 1 - fa
-        c = np.full(len(fx), 1 / tiny)
-        d = 1 / b
-        h = d.copy()
-        for i in range(1, 500):
-            an = -i * (i - fa)
-            b = b + 2
-            d = an * d + b
-            d = np.where(np.abs(d) < tiny, tiny, d)
-            c = b + an / c
-            c = np.where(np.abs(c) < tiny, tiny, c)
-            d = 1 / d
-            step = d * c
-            h = h * step
-            if np.all(np.abs(step - 1) < 1e-15):
-                break
-        out[far] = np.exp(-fx + fa * np.log(fx) - _lgamma(fa)) * h
-    return out
+def _series(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """P(a, x) for x up to a + 1, where the terms fall; every value runs until its terms no longer count."""
+    total, term = np.ones(len(a)), np.ones(len(a))
+    live, i = np.arange(len(a)), 0
+    while len(live):
+        i += 1
+        term[live] *= x[live] / (a[live] + i)
+        total[live] += term[live]
+        live = live[term[live] > total[live] * _CLOSE * 0.01]
+    return np.minimum(1.0, _density(a, x) * total)
+
+
+def _fraction(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Q(a, x) for x above a + 1 by the continued fraction, each value until it stands still."""
+    b = x + 1 - a
+    c, d = np.full(len(a), 1 / _TINY), 1 / b
+    h = d.copy()
+    live, i = np.arange(len(a)), 0
+    while len(live):
+        i += 1
+        an = -i * (i - a[live])
+        b[live] += 2
+        dl = an * d[live] + b[live]
+        dl = 1 / np.where(np.abs(dl) < _TINY, _TINY, dl)
+        cl = b[live] + an / c[live]
+        cl = np.where(np.abs(cl) < _TINY, _TINY, cl)
+        step = dl * cl
+        c[live], d[live] = cl, dl
+        h[live] *= step
+        live = live[np.abs(step - 1) > _CLOSE]
+    return np.clip(_density(a, x) * a * h, 0.0, 1.0)
+
+
+def _gamma_parts(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Regularised lower and upper incomplete gamma; each from the side on which it loses nothing."""
+    lower = np.where((x > 0) & (a <= 0), 1.0, 0.0)
+    live = (x > 0) & (a > 0)
+    upper = 1 - lower
+    infinite = live & np.isinf(x)
+    lower[infinite], upper[infinite] = 1.0, 0.0
+    near = np.flatnonzero(live & ~infinite & (x <= a + 1))
+    far = np.flatnonzero(live & ~infinite & (x > a + 1))
+    lower[near] = _series(a[near], x[near])
+    upper[near] = 1 - lower[near]
+    upper[far] = _fraction(a[far], x[far])
+    lower[far] = 1 - upper[far]
+    return lower, upper
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    tiny = 1e-300
     c = np.ones(len(x))
     d = 1 - (a + b) * x / (a + 1)
-    d = 1 / np.where(np.abs(d) < tiny, tiny, d)
+    d = 1 / np.where(np.abs(d) < _TINY, _TINY, d)
     h = d.copy()
-    for m in range(1, 1000):
+    live, m = np.arange(len(x)), 0
+    while len(live):
+        m += 1
+        al, bl, xl = a[live], b[live], x[live]
         for coefficient in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
+            m * (bl - m) * xl / ((al + 2 * m - 1) * (al + 2 * m)),
+            -(al + m) * (al + bl + m) * xl / ((al + 2 * m) * (al + 2 * m + 1)),
         ):
-            d = 1 + coefficient * d
-            d = 1 / np.where(np.abs(d) < tiny, tiny, d)
-            c = 1 + coefficient / c
-            c = np.where(np.abs(c) < tiny, tiny, c)
-            step = d * c
-            h = h * step
-        if np.all(np.abs(step - 1) < 1e-15):
-            break
+            dl = 1 + coefficient * d[live]
+            dl = 1 / np.where(np.abs(dl) < _TINY, _TINY, dl)
+            cl = 1 + coefficient / c[live]
+            cl = np.where(np.abs(cl) < _TINY, _TINY, cl)
+            c[live], d[live] = cl, dl
+            h[live] *= dl * cl
+        live = live[np.abs(dl * cl - 1) > _CLOSE]
     return h
 
 
@@ -118,7 +134,7 @@ def _chi2_cdf(x: pd.Series, k: pd.Series) -> pd.Series:
     x, k = x.astype(float), k.astype(float)
     known = (x.notna() & k.notna()).to_numpy()
     out = np.full(len(x), np.nan)
-    out[known] = _lower_gamma(k.to_numpy()[known] / 2, x.to_numpy()[known] / 2)
+    out[known] = _gamma_parts(k.to_numpy()[known] / 2, x.to_numpy()[known] / 2)[0]
     return pd.Series(out).where(known, None)
 
 
@@ -127,7 +143,7 @@ def _chi2_sf(x: pd.Series, k: pd.Series) -> pd.Series:
     x, k = x.astype(float), k.astype(float)
     known = (x.notna() & k.notna()).to_numpy()
     out = np.full(len(x), np.nan)
-    out[known] = _upper_gamma(k.to_numpy()[known] / 2, x.to_numpy()[known] / 2)
+    out[known] = _gamma_parts(k.to_numpy()[known] / 2, x.to_numpy()[known] / 2)[1]
     return pd.Series(out).where(known, None)
 
 

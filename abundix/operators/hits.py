@@ -21,7 +21,6 @@ from abundix.functions.alignments import (
 )
 from abundix.functions.features import ALL, UNCLASSIFIED
 from abundix.functions.references import annotated_id, annotated_length
-from abundix.operators.scaling import with_group_totals
 
 By = Sequence[str]
 
@@ -166,9 +165,10 @@ def filter_subject_coverage(
 
 def query_weights(hits: DataFrame, by: By = ()) -> DataFrame:
     """Add ``weight``: the hit's share of its query's total score, 1 for a single hit."""
-    scored = hits.withColumn("_score", hit_score("matches"))
-    scored = with_group_totals(
-        scored, [*by, "query"], _total=F.sum("_score"), _hits=F.count(F.lit(1))
+    # a read has few hits, so its total is a window over them: one scan, one shuffle
+    same = Window.partitionBy(*by, "query")
+    scored = hits.withColumn("_score", hit_score("matches")).withColumns(
+        {"_total": F.sum("_score").over(same), "_hits": F.count(F.lit(1)).over(same)}
     )
     share = F.when(F.col("_total") > 0, F.col("_score") / F.col("_total")).otherwise(F.lit(0.0))
     return scored.withColumn(

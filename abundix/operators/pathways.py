@@ -48,13 +48,12 @@ def reaction_scores(
     )
 
 
-def unintegrated_genes(gene_scores: DataFrame, reaction_genes: DataFrame, by: By = ()) -> DataFrame:
-    """Per organism, the summed score of genes that belong to no reaction."""
-    return (
-        gene_scores.join(reaction_genes.select("gene"), "gene", "left_anti")
-        .groupBy(*by, "bug")
-        .agg(F.sum("score").alias("unintegrated"))
-    )
+def unintegrated_genes(gene_scores: DataFrame, reaction_genes: DataFrame | None = None, by: By = ()) -> DataFrame:
+    """Per organism, the summed score of genes that belong to no reaction; without a gene map, of all genes."""
+    outside = gene_scores
+    if reaction_genes is not None:
+        outside = gene_scores.join(reaction_genes.select("gene"), "gene", "left_anti")
+    return outside.groupBy(*by, "bug").agg(F.sum("score").alias("unintegrated"))
 
 
 def reactions_to_pathways(scores: DataFrame, pathway_reactions: DataFrame) -> DataFrame:
@@ -70,40 +69,52 @@ def gap_fill(scores: DataFrame, key_reactions: DataFrame, by: By = ()) -> DataFr
     entry with the lowest score takes the second lowest.  Otherwise nothing changes.
     """
     group = [*by, "bug", "pathway"]
-    # read in several branches below, so the scores are computed once
-    scores = cut_lineage(scores.select(*group, "reaction", "score"))
-    present = scores.select(*group).distinct()
-    listed = key_reactions.groupBy("pathway", "reaction").agg(F.count(F.lit(1)).alias("_times"))
-    keyed = present.join(listed, "pathway").join(scores, [*group, "reaction"], "left")
-    keyed = keyed.withColumn("_score", F.coalesce("score", F.lit(0.0)))
-    positive = F.col("_score") > 0
-
-    lowest = keyed.groupBy(*group).agg(
-        F.sum("_times").alias("_keys"),
-        F.coalesce(F.sum(F.when(positive, F.col("_times"))), F.lit(0)).alias("_found"),
-        F.min(F.when(positive, F.col("_score"))).alias("_low"),
-    )
-    keyed = keyed.join(lowest, group)
-    at_low = F.col("_score") == F.col("_low")
-    second = keyed.groupBy(*group).agg(
-        F.sum(F.when(at_low, F.col("_times"))).alias("_at_low"),
-        F.min(F.when(positive & ~at_low, F.col("_score"))).alias("_next"),
+    # a pathway lists few reactions, so its scores and its key entries are small arrays
+    listed = key_reactions.groupBy("pathway").agg(F.collect_list("reaction").alias("_listed"))
+    listed = listed.select(
+        "pathway",
+        F.transform(
+            F.array_distinct("_listed"),
+            lambda r: F.struct(r.alias("reaction"), F.size(F.filter("_listed", lambda x: x == r)).alias("times")),
+        ).alias("_listed"),
     )
-    fills_gap = (F.col("_keys") - F.col("_found") == 1) & F.col("_low").isNotNull() & ~positive
-    raises = (
-        (F.col("_keys") == F.col("_found"))
-        & at_low
-        & (F.col("_at_low") == 1)
-        & F.col("_next").isNotNull()
+    rows = scores.groupBy(*group).agg(F.collect_list(F.struct("reaction", "score")).alias("_rows"))
+    rows = rows.join(listed, "pathway", "left").withColumn("_listed", F.coalesce("_listed", F.expr("array()").cast(
+        "array<struct<reaction:string,times:int>>"
+    )))
+
+    def score_of(reaction: Column) -> Column:
+        return F.array_max(F.transform(F.filter("_rows", lambda x: x["reaction"] == reaction), lambda x: x["score"]))
+
+    def times(entries: Column) -> Column:
+        return F.aggregate(entries, F.lit(0), lambda n, k: n + k["times"])
+
+    rows = rows.withColumn(
+        "_keyed",
+        F.transform("_listed", lambda k: F.struct(k["reaction"].alias("reaction"), k["times"].alias("times"), score_of(k["reaction"]).alias("score"))),
+    ).withColumn("_found", F.filter("_keyed", lambda k: k["score"] > 0))
+    rows = rows.withColumn("_low", F.array_min(F.transform("_found", lambda k: k["score"])))
+    rows = rows.withColumns(
+        {
+            "_next": F.array_min(F.transform(F.filter("_found", lambda k: k["score"] > F.col("_low")), lambda k: k["score"])),
+            "_gaps": times(F.col("_keyed")) - times(F.col("_found")),
+            "_at_low": times(F.filter("_found", lambda k: k["score"] == F.col("_low"))),
+        }
     )
-    changed = (
-        keyed.join(second, group)
-        .withColumn("_new", F.when(fills_gap, F.col("_low")).when(raises, F.col("_next")))
-        .where(F.col("_new").isNotNull())
-        .select(*group, "reaction", "_new")
+    fills_gap = (F.col("_gaps") == 1) & F.col("_low").isNotNull()
+    raises = (F.col("_gaps") == 0) & (F.col("_at_low") == 1) & F.col("_next").isNotNull()
+    missing = F.filter("_keyed", lambda k: F.coalesce(k["score"] <= 0, F.lit(True)))
+    lowest = F.filter("_found", lambda k: k["score"] == F.col("_low"))
+    rows = rows.withColumns(
+        {
+            "_changed": F.when(fills_gap, F.get(missing["reaction"], F.lit(0))).when(raises, F.get(lowest["reaction"], F.lit(0))),
+            "_new": F.when(fills_gap, F.col("_low")).when(raises, F.col("_next")),
+        }
     )
-    merged = scores.join(changed, [*group, "reaction"], "full")
-    return merged.withColumn("score", F.coalesce("_new", "score")).drop("_new")
+    others = F.filter("_rows", lambda x: F.col("_changed").isNull() | (x["reaction"] != F.col("_changed")))
+    changed = F.when(F.col("_changed").isNotNull(), F.array(F.struct(F.col("_changed").alias("reaction"), F.col("_new").alias("score"))))
+    out = F.concat(others, F.coalesce(changed, F.slice(others, 1, 0)))
+    return rows.select(*group, F.inline(out))
 
 
 def key_reactions(pathway_nodes: DataFrame) -> DataFrame:
@@ -279,14 +290,20 @@ def present_reactions(scores: DataFrame, pathway_abundance: DataFrame, by: By =
 
 def genes_in_pathways(
     gene_scores: DataFrame,
-    reaction_genes: DataFrame,
+    reaction_genes: DataFrame | None,
     reactions_present: DataFrame,
     bugs: DataFrame,
     by: By = (),
 ) -> DataFrame:
-    """Per organism with pathways: score of the distinct genes behind them, and the rest."""
+    """Per organism with pathways: score of the distinct genes behind them, and the rest.
+
+    Without a gene map the reactions are genes.
+    """
     keys = [*by, "bug"]
-    genes = reactions_present.join(reaction_genes.select("reaction", "gene"), "reaction").select(*keys, "gene").distinct()
+    if reaction_genes is None:
+        genes = reactions_present.select(*keys, F.col("reaction").alias("gene")).distinct()
+    else:
+        genes = reactions_present.join(reaction_genes.select("reaction", "gene"), "reaction").select(*keys, "gene").distinct()
     within = gene_scores.join(genes, [*keys, "gene"], "left_semi").groupBy(*keys).agg(F.sum("score").alias("_in"))
     totals = gene_scores.groupBy(*keys).agg(F.sum("score").alias("_sum"))
     zero = F.lit(0.0)

@@ -24,27 +24,31 @@ _FEATURE = list(FEATURE)
 
 
 def lineage(
-    taxids: DataFrame, taxonomy: DataFrame, taxid: str = "taxid", root: str = ROOT, max_depth: int = 200
+    taxids: DataFrame, taxonomy: DataFrame, taxid: str = "taxid", root: str = ROOT
 ) -> DataFrame:
     """Ancestors of each distinct taxid, itself included: ``step, ancestor, rank, name``.
 
     One equi-join with the tree per level, over the taxids that have not reached the
     root yet; every level is written once, so the plan does not grow with the depth.
+    The tree may have any depth; a walk that comes to a node twice is an error.
     """
     nodes = taxonomy.select(
         F.col("taxid").alias("ancestor"), "rank", F.col("name"), F.col("parent").alias("_parent")
     ).where(F.col("ancestor") != root)
     frontier = taxids.select(F.col(taxid).alias("taxid")).distinct().select("taxid", F.col("taxid").alias("ancestor"))
-    out = None
-    for step in range(max_depth):
+    out, step = None, 0
+    while True:
         level = cut_lineage(frontier.join(nodes, "ancestor"))
         if level.isEmpty():
             break
         found = level.select("taxid", F.lit(step).alias("step"), "ancestor", "rank", "name")
         out = found if out is None else out.unionByName(found)
         frontier = level.select("taxid", F.col("_parent").alias("ancestor"))
-    else:
-        raise ValueError(f"the taxonomy is deeper than {max_depth} levels or has a cycle")
+        step += 1
+        if step >= 64 and step & (step - 1) == 0:
+            again = out.groupBy("taxid", "ancestor").count().where(F.col("count") > 1)
+            if not again.isEmpty():
+                raise ValueError("the taxonomy has a cycle")
     if out is None:
         return frontier.join(nodes, "ancestor").select(
             "taxid", F.lit(0).alias("step"), "ancestor", "rank", "name"

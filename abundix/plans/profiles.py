@@ -62,8 +62,6 @@ def profile_gene_families(
     kept = hit_ops.filter_hits(hits, identity, evalue, query_coverage)
     if subject_coverage is not None:
         kept = hit_ops.filter_subject_coverage(kept, subject_coverage, nucleotide=nucleotide, by=by)
-        # read for the query totals and for the weights, so the coverage is worked out once
-        kept = cut_lineage(kept.select(*by, "query", "gene", "bug", "matches", "gene_length", "aligned_length"))
     scores = cut_lineage(hit_ops.gene_scores(kept, normalization, by))
     if normalization == ADJUSTED_CPM:
         scores = hit_ops.adjusted_cpm(scores, by)
@@ -74,7 +72,7 @@ def profile_gene_families(
 
 def profile_reactions(
     gene_scores: DataFrame,
-    reaction_genes: DataFrame,
+    reaction_genes: DataFrame | None = None,
     unaligned: int | float | DataFrame = 0,
     digits: int = 10,
     by: By = (),
@@ -107,7 +105,7 @@ def pathway_abundance(
 
 def profile_pathways(
     gene_scores: DataFrame,
-    reaction_genes: DataFrame,
+    reaction_genes: DataFrame | None,
     pathway_reactions: DataFrame,
     pathway_nodes: DataFrame | None = None,
     names: DataFrame | None = None,
@@ -117,7 +115,10 @@ def profile_pathways(
     digits: int = 10,
     by: By = (),
 ) -> DataFrame:
-    """Pathway abundances with UNMAPPED and UNINTEGRATED rows, in output order."""
+    """Pathway abundances with UNMAPPED and UNINTEGRATED rows, in output order.
+
+    Without ``reaction_genes`` the pathways are defined on genes.
+    """
     # each stage is read by several later ones, so it is written once
     gene_scores = cut_lineage(gene_scores)
     reactions = cut_lineage(pw.reaction_scores(gene_scores, reaction_genes, by))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,7 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """The folder named by ``spark.checkpoint.dir``, or set as the context's checkpoint folder."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -34,17 +33,25 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
-    if not (context.master or "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="abundix-")
-    context.setCheckpointDir(folder)
-    return folder
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, in one folder per application."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark).rstrip('/')}/abundix-{application}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/abundix-{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this application has written to the shared folder.
+
+    Frames that still read from it can no longer be computed.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -185,18 +185,36 @@ def read_taxonomy(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataF
     starts = marked.groupBy("file").agg(
         *[F.min(F.when(first == m, F.col("at"))).alias(m) for m in ("TAXID", "FAMILY")]
     )
-    # the header lines, of which there are as many as sections
-    headers = {r["marker"]: r["names"] for r in marked.select(
-        first.alias("marker"), F.transform(fields(), F.lower).alias("names")
-    ).distinct().collect()}
+    # a file's own header line says where its columns are
+    headers = marked.select("file", first.alias("marker"), F.transform(fields(), F.lower).alias("_names"))
+    headers = headers.groupBy("file", "marker").agg(F.first("_names").alias("_names"))
+    # the names of all columns, of which there are as many as a line has
+    columns: dict[str, list[str]] = {}
+    for row in headers.select("marker", F.posexplode("_names").alias("at", "name")).groupBy("marker", "name").agg(
+        F.min("at").alias("at")
+    ).orderBy("at", "name").collect():
+        columns.setdefault(row["marker"], []).append(row["name"])
     placed = lines.where(F.length("line") > 0).join(starts, "file")
 
     def section(marker: str, other: str) -> DataFrame:
         start, stop = F.col(marker), F.col(other)
         inside = (F.col("at") > start) & (stop.isNull() | (stop < start) | (F.col("at") < stop))
-        return placed.where(inside).select(
-            *[F.get(fields(), F.lit(i)).alias(n) for i, n in enumerate(headers[marker])]
+        own = headers.where(F.col("marker") == marker).select("file", "_names")
+        return placed.where(inside).join(own, "file").select(
+            *[F.get(fields(), F.array_position("_names", n).cast("int") - 1).alias(n) for n in columns[marker]]
         )
 
     tree = section("TAXID", "FAMILY").select("taxid", "name", "rank", "parent")
     return tree, section("FAMILY", "TAXID")
+
+
+def pathway_members(reactions: DataFrame, nodes: DataFrame, ec_separator: str = ",") -> tuple[DataFrame, DataFrame]:
+    """``(pathway, gene)`` and the same for EC numbers, from ``read_reactions`` and pathway nodes or flat pathways.
+
+    An optional reaction is a member like any other.  A reaction's EC list is split.
+    """
+    entries = nodes.where(F.col("reaction").isNotNull()).select("pathway", "reaction").distinct()
+    genes = entries.join(reactions.select("reaction", "gene"), "reaction").select("pathway", "gene").distinct()
+    ecs = reactions.select("reaction", F.explode(F.split("ec", ec_separator)).alias("gene"))
+    ecs = ecs.where(F.length("gene") > 0).distinct()
+    return genes, entries.join(ecs, "reaction").select("pathway", "gene").distinct()

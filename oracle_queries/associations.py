@@ -34,15 +34,28 @@ def average_rank(v):
     return a.average_rank(v["customer_features"], within=("feature",))
 
 
-@query(
-    "spearman",
+# two-sided t tail for whole degrees of freedom d: finite sums in cos^2 = 1 - rho^2, one for even and one for odd d
+SPEARMAN = (
     DENSE.format(meta="customer_balance")
     + RANKS.format(more=META_RANK)
-    + "SELECT feature, round(corr(rank, meta_rank), 6) AS rho, count(*) AS samples FROM r GROUP BY feature",
+    + """,
+c AS (SELECT feature, corr(rank, meta_rank) AS rho, count(*) AS samples, count(*) - 2 AS d FROM r GROUP BY feature),
+pv AS (SELECT feature, rho, samples, 1 - CASE WHEN d % 2 = 0
+    THEN abs(rho) * list_sum(list_transform(range(0, d // 2), lambda i:
+         exp(lgamma(i + 0.5) - lgamma(0.5) - lgamma(i + 1.0) + i * ln(1 - rho * rho))))
+    ELSE 2 / pi() * (asin(abs(rho)) + abs(rho) * sqrt(1 - rho * rho) * list_sum(list_transform(range(0, (d - 1) // 2), lambda i:
+         exp(lgamma(1.5) + lgamma(i + 1.0) - lgamma(i + 1.5) + i * ln(1 - rho * rho))))) END AS p_value FROM c)
+"""
+)
+
+
+@query(
+    "spearman",
+    SPEARMAN + "SELECT feature, round(rho, 6) AS rho, samples, round(p_value, 6) AS p_value FROM pv",
 )
 def spearman(v):
     out = a.spearman(v["customer_features"], v["customer_balance"])
-    return out.select("feature", F.round("rho", 6).alias("rho"), "samples")
+    return out.select("feature", F.round("rho", 6).alias("rho"), "samples", F.round("p_value", 6).alias("p_value"))
 
 
 LENSES["partial_balance"] = """

@@ -87,13 +87,13 @@ SELECT concat(p_type, '-', CAST(p_size % 10 AS STRING)) AS reaction,
 FROM {part} WHERE p_size > 40
 """
 LENSES["pathway_reactions"] = """
-SELECT DISTINCT p_brand AS pathway, concat(p_type, '-', CAST(p_size % 10 AS STRING)) AS reaction
-FROM {part} WHERE p_size < 25
+SELECT DISTINCT concat(p_brand, '.', CAST(p_size AS STRING)) AS pathway, concat(p_type, '-', CAST(p_size % 10 AS STRING)) AS reaction
+FROM {part}
 """
 LENSES["organism_genes"] = """
 SELECT CASE WHEN grouping(n_name) = 1 THEN 'all' ELSE n_name END AS bug,
        concat('g', CAST(p_partkey AS STRING)) AS gene, SUM(l_quantity) AS score
-FROM {shipped} WHERE l_returnflag = 'R'
+FROM {shipped}
 GROUP BY GROUPING SETS ((n_name, p_partkey), (p_partkey))
 """
 LENSES["reaction_scores"] = """
@@ -106,16 +106,31 @@ SELECT s.bug, p.pathway, s.reaction, s.score
 FROM {reaction_scores} AS s JOIN {pathway_reactions} AS p ON s.reaction = p.reaction
 """
 
+# finer reactions, of which a supplier's parts show most but not all
+LENSES["fine_reaction_genes"] = """
+SELECT concat(p_type, '-', CAST(p_size AS STRING)) AS reaction, concat('g', CAST(p_partkey AS STRING)) AS gene FROM {part}
+"""
+LENSES["fine_pathways"] = """
+SELECT DISTINCT p_brand AS pathway, concat(p_type, '-', CAST(p_size AS STRING)) AS reaction FROM {part}
+"""
+LENSES["observed_reactions"] = """
+SELECT s_name AS bug, concat(p_type, '-', CAST(p_size AS STRING)) AS reaction, SUM(l_quantity) AS score
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey
+GROUP BY s_name, p_type, p_size
+"""
+
 # one tree per brand: a b ( c , d ) ( e + -f ), a reaction of each part type
 LENSES["pathway_parts"] = """
-SELECT p_brand AS pathway,
-       coalesce(min(CASE WHEN p_type = 'ECONOMY' THEN concat(p_type, '-', CAST(p_size % 10 AS STRING)) END), 'none-a') AS a,
-       coalesce(max(CASE WHEN p_type = 'LARGE' THEN concat(p_type, '-', CAST(p_size % 10 AS STRING)) END), 'none-b') AS b,
-       coalesce(min(CASE WHEN p_type = 'MEDIUM' THEN concat(p_type, '-', CAST(p_size % 10 AS STRING)) END), 'none-c') AS c,
-       coalesce(max(CASE WHEN p_type = 'PROMO' THEN concat(p_type, '-', CAST(p_size % 10 AS STRING)) END), 'none-d') AS d,
-       coalesce(min(CASE WHEN p_type = 'SMALL' THEN concat(p_type, '-', CAST(p_size % 10 AS STRING)) END), 'none-e') AS e,
-       coalesce(max(CASE WHEN p_type = 'STANDARD' THEN concat(p_type, '-', CAST(p_size % 10 AS STRING)) END), 'none-f') AS f
-FROM {part} WHERE p_size > 30 GROUP BY p_brand
+SELECT pathway,
+       coalesce(max_by(reaction, part) FILTER (WHERE type = 'ECONOMY'), 'none-a') AS a,
+       coalesce(max_by(reaction, part) FILTER (WHERE type = 'LARGE'), 'none-b') AS b,
+       coalesce(max_by(reaction, part) FILTER (WHERE type = 'MEDIUM'), 'none-c') AS c,
+       coalesce(max_by(reaction, part) FILTER (WHERE type = 'PROMO'), 'none-d') AS d,
+       coalesce(max_by(reaction, part) FILTER (WHERE type = 'SMALL'), 'none-e') AS e,
+       coalesce(max_by(reaction, part) FILTER (WHERE type = 'STANDARD'), 'none-f') AS f
+FROM (SELECT p_brand AS pathway, p_partkey AS part, p_type AS type,
+             concat(p_type, '-', CAST(p_size AS STRING)) AS reaction FROM {part}) AS parts
+GROUP BY pathway
 """
 LENSES["pathway_structures"] = """
 SELECT pathway, concat(a, ' ', b, ' ( ', c, ' , ', d, ' ) ( ', e, ' + -', f, ' )') AS structure
@@ -129,18 +144,9 @@ UNION ALL SELECT pathway, d, 'd' FROM {pathway_parts}
 UNION ALL SELECT pathway, e, 'e' FROM {pathway_parts}
 UNION ALL SELECT pathway, f, 'f' FROM {pathway_parts}
 """
-# sparse scores: organisms that sold little miss some of the reactions
-LENSES["sparse_reaction_scores"] = """
-SELECT bug, reaction, score
-FROM (SELECT bug, reaction, score, AVG(score) OVER (PARTITION BY bug) AS mean
-      FROM (SELECT n_name AS bug, concat(p_type, '-', CAST(p_size % 10 AS STRING)) AS reaction, SUM(l_quantity) AS score
-            FROM {shipped} WHERE l_returnflag = 'A' AND p_size > 35
-            GROUP BY n_name, p_type, p_size % 10) AS sums) AS compared
-WHERE score > 0.7 * mean
-"""
 LENSES["structured_scores"] = """
 SELECT s.bug, m.pathway, s.reaction, s.score
-FROM {sparse_reaction_scores} AS s JOIN {structured_members} AS m ON s.reaction = m.reaction
+FROM {observed_reactions} AS s JOIN {structured_members} AS m ON s.reaction = m.reaction
 """
 
 # taxonomy: region -> nation -> supplier

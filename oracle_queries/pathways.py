@@ -186,36 +186,47 @@ def chi2(v):
     return v["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", p.alias("p"))
 
 
-# medians are real numbers, so the leaf probabilities come from the power series
+# medians are real numbers, so the leaf probabilities come from the power series; all terms around its
+# largest one are added, so their number follows the values and nothing is cut off
 SERIES = """
-list_sum(list_transform(range(0, 1500), lambda i:
-  CASE WHEN x > 0 THEN exp((k + i) * ln(x) - x - lgamma(k + i + 1)) ELSE 0 END))
+list_sum(list_transform(
+  range(CAST(greatest(0, floor(x - k - 12 * sqrt(x) - 30)) AS BIGINT), CAST(ceil(greatest(0, x - k) + 12 * sqrt(x + k) + 80) AS BIGINT)),
+  lambda i: CASE WHEN x > 0 THEN exp((k + i) * ln(x) - x - lgamma(k + i + 1)) ELSE 0 END))
 """
 
 
-@query(
-    "structured_pathway_coverage",
-    _tree(
+def _coverage_sql(times: int, having: str = "") -> str:
+    leaves = _tree(
         FILLED
-        + """,
-med AS (SELECT bug, median(score) / 2 AS k FROM {structured_scores} GROUP BY bug),
-vals AS (SELECT f.bug, f.pathway, f.reaction, score / 2 AS x, k FROM f JOIN med ON f.bug = med.bug),
+        + f""",
+med AS (SELECT bug, median(score) * {times} / 2 AS k FROM {{structured_scores}} GROUP BY bug),
+vals AS (SELECT f.bug, f.pathway, f.reaction, score * {times} / 2 AS x, k FROM f JOIN med ON f.bug = med.bug),
 uniq AS (SELECT DISTINCT x, k FROM vals),
 prob AS (SELECT x, k, """
         + SERIES
         + """ AS p FROM uniq),
 f2 AS (SELECT v.bug, v.pathway, v.reaction, p FROM vals AS v JOIN prob ON v.x = prob.x AND v.k = prob.k)""",
         "coalesce(f.p, 0)",
-    ).replace("DISTINCT bug, pathway FROM f)", "DISTINCT bug, pathway FROM f2)").replace(
-        "LEFT JOIN f ON f.bug = p.bug", "LEFT JOIN f2 AS f ON f.bug = p.bug"
     )
-    + "SELECT bug, pathway, round(score, 6) AS coverage FROM z",
-)
+    leaves = leaves.replace("DISTINCT bug, pathway FROM f)", "DISTINCT bug, pathway FROM f2)")
+    leaves = leaves.replace("LEFT JOIN f ON f.bug = p.bug", "LEFT JOIN f2 AS f ON f.bug = p.bug")
+    return leaves + "SELECT bug, pathway, round(score, 6) AS coverage FROM z" + having
+
+
+@query("structured_pathway_coverage", _coverage_sql(1))
 def structured_pathway_coverage(v):
     out = pw.structured_pathway_coverage(v["structured_scores"], _nodes(v))
     return out.withColumn("coverage", F.round("coverage", 6))
 
 
+@query("structured_pathway_coverage_large", _coverage_sql(1000))
+def structured_pathway_coverage_large(v):
+    """Abundant reactions: the same scores times 1000."""
+    scores = v["structured_scores"].withColumn("score", F.col("score") * 1000)
+    out = pw.structured_pathway_coverage(scores, _nodes(v))
+    return out.withColumn("coverage", F.round("coverage", 6))
+
+
 LENSES["pathway_abundance"] = """
 SELECT bug, pathway, SUM(score) - AVG(SUM(score)) OVER (PARTITION BY bug) AS score
 FROM {pathway_scores} GROUP BY bug, pathway
@@ -271,20 +282,41 @@ def unmapped_unintegrated(v):
     )
 
 
-# organisms differ in the reactions they show, so their covers differ
-LENSES["observed_reactions"] = """
-SELECT bug, reaction, score
-FROM (SELECT bug, reaction, score, AVG(score) OVER (PARTITION BY bug) AS mean
-      FROM (SELECT n_name AS bug, concat(p_type, '-', CAST(p_size % 10 AS STRING)) AS reaction, SUM(l_quantity) AS score
-            FROM {shipped} WHERE l_returnflag = 'N' AND p_size > 15
-            GROUP BY n_name, p_type, p_size % 10) AS sums) AS compared
-WHERE score > mean
-"""
-
-
-@query("parsimonious_pathways")
+def cover_sql(observed: str, members: str) -> str:
+    """Tables up to ``cover(bug, pathway)``: sole owners first, then one pathway at a time, the one with the most
+    uncovered reactions, by name among equals.  An organism's pathways and open reactions are lists in one row.
+    """
+    return f"""
+cv_edges AS (SELECT DISTINCT o.bug, p.pathway, o.reaction FROM {observed} AS o JOIN {members} AS p ON p.reaction = o.reaction),
+cv_sole AS (SELECT DISTINCT bug, pathway FROM (SELECT bug, min(pathway) AS pathway FROM cv_edges GROUP BY bug, reaction HAVING count(*) = 1) AS u),
+cv_open AS (SELECT bug, list(DISTINCT reaction) AS remaining FROM cv_edges AS e
+            WHERE NOT EXISTS (SELECT 1 FROM cv_edges AS c JOIN cv_sole AS s ON s.bug = c.bug AND s.pathway = c.pathway
+                              WHERE c.bug = e.bug AND c.reaction = e.reaction) GROUP BY bug),
+cv_owned AS (SELECT bug, pathway, list(reaction) AS r FROM cv_edges GROUP BY bug, pathway),
+cv_sets AS (SELECT bug, list(struct_pack(p := pathway, r := r)) AS ps FROM cv_owned GROUP BY bug),
+cv_greedy AS (
+    SELECT s.bug, ps, CAST(NULL AS VARCHAR) AS pathway, remaining FROM cv_sets AS s JOIN cv_open AS o ON o.bug = s.bug
+    UNION ALL
+    SELECT bug, ps, best.p, list_filter(remaining, lambda x: NOT list_contains(best.r, x))
+    FROM (SELECT bug, ps, remaining, list_sort(list_transform(ps, lambda e:
+              struct_pack(n := -len(list_intersect(e.r, remaining)), p := e.p, r := e.r)))[1] AS best
+          FROM cv_greedy WHERE len(remaining) > 0) AS picked),
+cover AS (SELECT bug, pathway FROM cv_sole UNION SELECT bug, pathway FROM cv_greedy WHERE pathway IS NOT NULL)"""
+
+
+def supported_sql(observed: str, members: str, share: float = 0.5) -> str:
+    return f"""
+SELECT o.bug, p.pathway FROM (SELECT DISTINCT bug, reaction FROM {observed}) AS o JOIN {members} AS p ON p.reaction = o.reaction
+JOIN (SELECT pathway, count(*) AS size FROM {members} GROUP BY pathway) AS n ON n.pathway = p.pathway
+GROUP BY o.bug, p.pathway HAVING count(*) >= min(size) * {share}"""
+
+
+COVER = "WITH RECURSIVE" + cover_sql("{observed_reactions}", "{fine_pathways}")
+
+
+@query("parsimonious_pathways", COVER + " SELECT bug, pathway FROM cover")
 def parsimonious_pathways(v):
-    return pw.parsimonious_pathways(v["observed_reactions"], v["pathway_reactions"])
+    return pw.parsimonious_pathways(v["observed_reactions"], v["fine_pathways"])
 
 
 @query(
@@ -294,42 +326,51 @@ def parsimonious_pathways(v):
 def uncovered_reactions(v):
     """Reactions of each organism that have a pathway but none among the chosen ones: always 0."""
     observed = v["observed_reactions"]
-    covered = pw.parsimonious_pathways(observed, v["pathway_reactions"]).join(v["pathway_reactions"], "pathway")
-    owned = observed.join(v["pathway_reactions"].select("reaction"), "reaction", "left_semi")
+    covered = pw.parsimonious_pathways(observed, v["fine_pathways"]).join(v["fine_pathways"], "pathway")
+    owned = observed.join(v["fine_pathways"].select("reaction"), "reaction", "left_semi")
     missed = owned.join(covered, ["bug", "reaction"], "left_anti").groupBy("bug").agg(F.count(F.lit(1)).alias("_n"))
     return (
         observed.select("bug").distinct().join(missed, "bug", "left").select("bug", F.coalesce("_n", F.lit(0)).alias("uncovered"))
     )
 
 
-@query(
-    "well_supported_pathways",
-    """
-WITH n AS (SELECT pathway, count(*) AS size FROM {pathway_reactions} GROUP BY pathway)
-SELECT bug, p.pathway FROM {observed_reactions} AS o JOIN {pathway_reactions} AS p ON p.reaction = o.reaction
-JOIN n ON n.pathway = p.pathway GROUP BY bug, p.pathway HAVING count(*) >= min(size) * 0.5
-""",
-)
+@query("well_supported_pathways", supported_sql("{observed_reactions}", "{fine_pathways}", 0.9))
 def well_supported_pathways(v):
-    return pw.well_supported_pathways(v["observed_reactions"], v["pathway_reactions"])
+    return pw.well_supported_pathways(v["observed_reactions"], v["fine_pathways"], 0.9)
 
 
-@query("add_well_supported")
+@query(
+    "add_well_supported",
+    COVER + " SELECT bug, pathway FROM cover UNION " + supported_sql("{observed_reactions}", "{fine_pathways}", 0.9),
+)
 def add_well_supported(v):
-    observed, members = v["observed_reactions"], v["pathway_reactions"]
-    return pw.add_well_supported(pw.parsimonious_pathways(observed, members), observed, members)
+    observed, members = v["observed_reactions"], v["fine_pathways"]
+    return pw.add_well_supported(pw.parsimonious_pathways(observed, members), observed, members, 0.9)
+
+
+def selected_sql(observed: str, members: str, more_than: int) -> str:
+    """Tables up to ``selected(bug, pathway, reaction, score)``."""
+    return f"""{cover_sql(observed, members)},
+kept AS (SELECT bug, pathway FROM cover UNION {supported_sql(observed, members)}),
+many AS (SELECT bug FROM {observed} GROUP BY bug HAVING count(*) > {more_than}),
+selected AS (SELECT o.bug, p.pathway, o.reaction, o.score FROM {observed} AS o JOIN {members} AS p ON p.reaction = o.reaction
+             LEFT JOIN kept ON kept.bug = o.bug AND kept.pathway = p.pathway
+             WHERE o.bug NOT IN (SELECT bug FROM many) OR kept.bug IS NOT NULL)"""
 
 
-@query("select_pathways")
+@query(
+    "select_pathways",
+    "WITH RECURSIVE" + selected_sql("{observed_reactions}", "{fine_pathways}", 250) + " SELECT bug, pathway, reaction, score FROM selected",
+)
 def select_pathways(v):
-    return pw.select_pathways(v["observed_reactions"], v["pathway_reactions"], more_than=20)
+    return pw.select_pathways(v["observed_reactions"], v["fine_pathways"], more_than=250)
 
 
 @query(
     "select_pathways_all",
     """
-SELECT bug, pathway, o.reaction, score FROM {observed_reactions} AS o JOIN {pathway_reactions} AS p ON p.reaction = o.reaction
+SELECT bug, pathway, o.reaction, score FROM {observed_reactions} AS o JOIN {fine_pathways} AS p ON p.reaction = o.reaction
 """,
 )
 def select_pathways_all(v):
-    return pw.select_pathways(v["observed_reactions"], v["pathway_reactions"], parsimony=False)
+    return pw.select_pathways(v["observed_reactions"], v["fine_pathways"], parsimony=False)

@@ -64,7 +64,7 @@ def profile_reactions(v):
     return p.profile_reactions(v["organism_genes"], v["reaction_genes"], 321).drop("name")
 
 
-# flat pathways without the parsimony step, which has no SQL
+# flat pathways without the parsimony step
 ABUNDANCE = """
 n AS (SELECT pathway, count(*) AS size FROM {pathway_reactions} GROUP BY pathway),
 r AS (SELECT s.bug, s.pathway, score, size, row_number() OVER (PARTITION BY s.bug, s.pathway ORDER BY score DESC) AS place
@@ -98,14 +98,87 @@ def profile_pathways(v):
     return out.select("code", "name", "stratum", F.round("value", 4).alias("value"))
 
 
-@query("profile_pathways_structured")
-def profile_pathways_structured(v):
-    """Structured pathways with parsimony and gap filling."""
-    out = p.profile_pathways(
-        v["organism_genes"], v["reaction_genes"], v["structured_members"].select("pathway", "reaction"),
+# structured pathways with parsimony and gap filling
+_TREE = sql_p._tree(sql_p.FILLED, "coalesce(f.score, 0)").replace("WITH k AS", "k AS").replace("{structured_scores}", "selected")
+STRUCTURED = (
+    "WITH RECURSIVE rs AS (SELECT o.bug, r.reaction, sum(o.score) AS score FROM {organism_genes} AS o"
+    " JOIN {fine_reaction_genes} AS r ON r.gene = o.gene GROUP BY o.bug, r.reaction),"
+    " mem AS (SELECT DISTINCT pathway, reaction FROM {structured_members}),"
+    + sql_p.selected_sql("rs", "mem", 3)
+    + ","
+    + _TREE.strip()
+    + """,
+present AS (SELECT DISTINCT s.bug, s.reaction FROM selected AS s JOIN z ON z.bug = s.bug AND z.pathway = s.pathway WHERE z.score > 0 AND s.score > 0),
+inside AS (SELECT bug, sum(score) AS score FROM {organism_genes} AS o WHERE EXISTS (
+       SELECT 1 FROM present JOIN {fine_reaction_genes} AS rg ON rg.reaction = present.reaction
+       WHERE present.bug = o.bug AND rg.gene = o.gene) GROUP BY bug),
+rest AS (SELECT o.bug, sum(o.score) - coalesce(min(i.score), 0) AS remaining, coalesce(min(i.score), 0) AS within
+         FROM {organism_genes} AS o LEFT JOIN inside AS i ON i.bug = o.bug GROUP BY o.bug),
+comp AS (SELECT z.bug, CASE WHEN min(within) <> 0 THEN sum(z.score) / min(within) ELSE 0 END AS k, min(remaining) AS remaining
+         FROM z JOIN rest ON rest.bug = z.bug WHERE z.score > 0 GROUP BY z.bug),
+rows_out AS (
+    SELECT pathway AS code, CASE WHEN bug <> 'all' THEN bug END AS stratum, score AS value FROM z WHERE round(score, 10) > 0
+    UNION ALL SELECT 'UNINTEGRATED', CASE WHEN bug <> 'all' THEN bug END, k * remaining FROM comp
+    UNION ALL SELECT 'UNMAPPED', NULL, k * 750 FROM comp WHERE bug = 'all')
+SELECT code, stratum, round(value, 4) AS value FROM rows_out
+"""
+)
+
+
+def _structured(v):
+    return p.profile_pathways(
+        v["organism_genes"], v["fine_reaction_genes"], v["structured_members"].select("pathway", "reaction"),
         sql_p._nodes(v), unaligned=750,
     )
-    return out.select("code", "stratum", F.round("value", 4).alias("value"), "position")
+
+
+@query("profile_pathways_structured", STRUCTURED)
+def profile_pathways_structured(v):
+    """Structured pathways with parsimony and gap filling."""
+    return _structured(v).select("code", "stratum", F.round("value", 4).alias("value"))
+
+
+# pathways defined on genes: every gene of a pathway is one of its reactions, none is integrated
+LENSES["pathway_genes_flat"] = """
+SELECT DISTINCT concat(p_brand, '.', CAST(p_size AS STRING)) AS pathway, concat('g', CAST(p_partkey AS STRING)) AS reaction FROM {part}
+"""
+
+
+@query(
+    "profile_reactions_of_genes",
+    """
+SELECT gene AS code, CASE WHEN bug <> 'all' THEN bug END AS stratum, score AS value FROM {organism_genes}
+UNION ALL SELECT 'UNGROUPED', CASE WHEN bug <> 'all' THEN bug END, sum(score) FROM {organism_genes} GROUP BY bug
+UNION ALL SELECT 'UNMAPPED', NULL, 321.0::DOUBLE
+""",
+)
+def profile_reactions_of_genes(v):
+    return p.profile_reactions(v["organism_genes"], None, 321).drop("name", "position")
+
+
+@query(
+    "profile_pathways_of_genes",
+    """
+WITH s AS (SELECT o.bug, p.pathway, p.reaction, o.score FROM {organism_genes} AS o JOIN {pathway_genes_flat} AS p ON p.reaction = o.gene),
+n AS (SELECT pathway, count(*) AS size FROM {pathway_genes_flat} GROUP BY pathway),
+r AS (SELECT s.bug, s.pathway, score, size, row_number() OVER (PARTITION BY s.bug, s.pathway ORDER BY score DESC) AS place FROM s JOIN n ON n.pathway = s.pathway),
+a AS (SELECT bug, pathway, sum(score) FILTER (WHERE place <= size - size // 2) / min(size - size // 2) AS score FROM r GROUP BY bug, pathway),
+k AS (SELECT a.bug, sum(a.score) / min(total) AS k FROM a JOIN (SELECT bug, sum(score) AS total FROM {organism_genes} GROUP BY bug) AS t ON t.bug = a.bug GROUP BY a.bug)
+SELECT pathway AS code, CASE WHEN bug <> 'all' THEN bug END AS stratum, round(score, 4) AS value FROM a
+UNION ALL SELECT 'UNINTEGRATED', CASE WHEN bug <> 'all' THEN bug END, 0.0::DOUBLE FROM k
+UNION ALL SELECT 'UNMAPPED', NULL, round(k * 750, 4) FROM k WHERE bug = 'all'
+""",
+)
+def profile_pathways_of_genes(v):
+    """No gene map: every gene is in a pathway, so nothing is left unintegrated."""
+    out = p.profile_pathways(v["organism_genes"], None, v["pathway_genes_flat"], unaligned=750, parsimony=False)
+    return out.select("code", "stratum", F.round("value", 4).alias("value"))
+
+
+@query("profile_pathway_coverage_structured", sql_p._coverage_sql(1, " WHERE round(score, 10) > 0"))
+def profile_pathway_coverage_structured(v):
+    out = p.profile_pathway_coverage(v["structured_scores"], v["structured_members"], sql_p._nodes(v))
+    return out.withColumn("coverage", F.round("coverage", 6))
 
 
 @query(
@@ -143,10 +216,19 @@ def associate(v):
     return out.withColumns({"h": F.round("h", 4), "p_value": F.round("p_value", 6), "q_value": F.round("q_value", 6)})
 
 
-@query("associate_continuous")
+@query(
+    "associate_continuous",
+    sql_a.SPEARMAN
+    + """,
+rk AS (SELECT *, row_number() OVER (ORDER BY p_value, feature) AS at_rank, count(*) OVER () AS tests FROM pv WHERE p_value IS NOT NULL),
+q AS (SELECT *, min(p_value * tests / at_rank) OVER (ORDER BY at_rank DESC ROWS UNBOUNDED PRECEDING) AS q_value FROM rk)
+SELECT feature, round(rho, 6) AS rho, samples, round(p_value, 6) AS p_value, round(q_value, 6) AS q_value FROM q WHERE q_value <= 1.0
+""",
+)
 def associate_continuous(v):
     metadata = v["customer_balance"].withColumn("value", F.col("value").cast("string"))
-    return p.associate(v["customer_features"], metadata, "continuous", fdr=1.0)
+    out = p.associate(v["customer_features"], metadata, "continuous", fdr=1.0)
+    return out.select("feature", *[F.round(c, 6).alias(c) for c in ("rho", "p_value", "q_value")], "samples")
 
 
 @query(

@@ -7,6 +7,7 @@ into an operator's input.  ``{name}`` refers to a table or to another lens.
 from __future__ import annotations
 
 import string
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,15 @@ def _names(text: str) -> list[str]:
     return list(dict.fromkeys(name for _, name, _, _ in string.Formatter().parse(text) if name))
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings; a local one without a shared folder gets a temporary one."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+        if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="abundix-"))
+    return apply_conf(spark)
+
+
 class Views:
     """The lenses of one scale folder as DataFrames."""
 
@@ -54,7 +64,7 @@ def query(name: str, sql: str | None = None):
     def register(function: Callable[[Views], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, folder: function(Views(apply_conf(spark), folder))
+        QUERIES[name] = lambda spark, folder: function(Views(prepared(spark), folder))
         if sql is not None:
             ORACLES[name] = sql.format(**{n: lens_sql(n) for n in _names(sql)})
         return function

@@ -15,11 +15,11 @@ SELECT DISTINCT concat(p_brand, CASE WHEN p_size > 25 THEN concat(': ', p_name,
 FROM {shipped}
 """
 LENSES["groups"] = """
-SELECT DISTINCT p_brand AS code, concat('group ', p_type) AS "group" FROM {part} WHERE p_size > 48
+SELECT DISTINCT p_brand AS code, concat('group ', p_type) AS "group" FROM {part} WHERE p_brand <> 'Brand#5'
 """
 LENSES["groups"] = LENSES["groups"].replace('"group"', "grp")
 LENSES["brand_names"] = """
-SELECT DISTINCT p_brand AS key, p_name AS value FROM {part} WHERE p_size = 11
+SELECT DISTINCT p_brand AS key, p_type AS value FROM {part} WHERE p_brand <> 'Brand#5'
 """
 LENSES["clusters"] = """
 SELECT DISTINCT concat('cluster ', p_name) AS key, p_brand AS value FROM {part}

@@ -143,7 +143,7 @@ UNION ALL SELECT concat('r', CAST(r_regionkey AS STRING)), r_name, 'family', '13
 UNION ALL SELECT concat('n', CAST(n_nationkey AS STRING)), concat('genus ', n_name),
                  CASE WHEN n_nationkey < 5 THEN 'no rank' ELSE 'genus' END, concat('r', CAST(n_regionkey AS STRING)) FROM {nation}
 UNION ALL SELECT concat('s', CAST(s_suppkey AS STRING)), s_name, 'species', concat('n', CAST(s_nationkey AS STRING))
-          FROM {supplier} WHERE s_acctbal > 0
+          FROM {supplier} WHERE s_suppkey <> 5
 """
 LENSES["species_table"] = """
 SELECT p_brand AS code, CAST(NULL AS STRING) AS name,
@@ -158,7 +158,7 @@ GROUP BY GROUPING SETS ((p_brand, l_returnflag, s_name, l_linestatus))
     "expand_lineage",
     """
 WITH named AS (SELECT concat('g__X.s__', s_name) AS stratum, s_name,
-  CASE WHEN s_acctbal > 0 THEN concat('family__', r_name,
+  CASE WHEN s_suppkey <> 5 THEN concat('family__', r_name,
        CASE WHEN n_nationkey < 5 THEN '' ELSE concat('|genus__genus ', n_name) END, '|species__', s_name) ELSE s_name END AS label
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 SELECT code, CASE WHEN t.stratum = 'unclassified' THEN t.stratum ELSE label END AS stratum, sample, value
@@ -220,10 +220,10 @@ SELECT CAST(p_partkey AS STRING) AS id, concat(CAST(p_partkey AS STRING), ' ', u
 FROM {part}
 """
 LENSES["sequence_taxa"] = """
-SELECT CAST(p_partkey AS STRING) AS reference, concat(p_brand, ' of ', 'Small') AS bug FROM {part} WHERE p_size < 10
+SELECT CAST(p_partkey AS STRING) AS reference, concat(p_brand, ' of ', p_type) AS bug FROM {part} WHERE p_partkey <> 10
 """
 LENSES["wanted_genera"] = """
-SELECT DISTINCT split_part(p_name, ' ', 1) AS genus FROM {part} WHERE p_size = 50 AND p_type = 'SMALL'
+SELECT split_part(p_name, ' ', 1) AS genus FROM {part} GROUP BY split_part(p_name, ' ', 1) HAVING avg(p_size) > 25.5
 UNION SELECT 'large'
 """
 
