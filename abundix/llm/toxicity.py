@@ -6,6 +6,9 @@ sentences, 1 - product(1 - p).  The weights are trained from document labels thr
 on a bounded sample, so no sentence needs a label, and the trained sentences' probabilities then
 locate what offends.
 
+Only features that toxic documents of the sample have more often than chance allows get a weight;
+they are found from counts per feature, so the driver sees no texts and few numbers.
+
 The sample: at most ``SAMPLE`` toxic and twice as many other labelled documents, of at most
 ``SAMPLE_BYTES`` bytes each, first by a hash of the id.  Everything else sees all of all texts.
 
@@ -26,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from abundix.llm import textbytes
+from abundix.session import cut_lineage
 
 SAMPLE = 2_000
 SAMPLE_BYTES = 100_000
@@ -74,14 +78,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _telling(doc_of: np.ndarray, features: np.ndarray, toxic: np.ndarray, least: float) -> np.ndarray:
-    """Features more frequent in toxic documents than chance allows (likelihood ratio of at least ``least``)."""
-    seen = np.unique(features * len(toxic) + doc_of)
-    feature, label = seen // len(toxic), toxic[seen % len(toxic)]
-    size = 1 << BITS
-    hit = np.bincount(feature, weights=label, minlength=size)
-    miss = np.bincount(feature, minlength=size) - hit
-    n, k = float(toxic.sum()), float(len(toxic) - toxic.sum())
+def telling(hit: np.ndarray, miss: np.ndarray, n: float, k: float, least: float = 18.0) -> np.ndarray:
+    """Features more frequent in toxic documents than chance allows (likelihood ratio of at least ``least``).
+
+    ``hit`` of ``n`` toxic and ``miss`` of ``k`` other documents have the feature.
+    """
 
     def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12)), 0.0)
@@ -96,17 +97,16 @@ def train(
     sentence: np.ndarray,
     doc: np.ndarray,
     toxic: np.ndarray,
+    kept: np.ndarray,
     rounds: int = 300,
     rate: float = 0.2,
     decay: float = 1e-5,
-    least: float = 18.0,
 ) -> Model:
     """Fit by projected Adam on the noisy-or likelihood, whole sample per step; weights are not negative.
 
     ``features`` and ``sentence``: one entry per (sentence, feature); ``doc``: of each sentence;
-    ``toxic``: of each document.
+    ``toxic``: of each document; ``kept``: the features that get a weight.
     """
-    kept = _telling(doc[sentence], features, toxic, least)
     index = np.full(1 << BITS, -1)
     index[kept] = np.arange(len(kept))
     use = index[features] >= 0
@@ -143,31 +143,61 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     chosen = F.broadcast(some.withColumnRenamed("doc_id", "_id"))  # at most three times ``sample`` rows of two numbers
     rows = short.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, F.col("doc_id") == F.col("_id"))
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents per feature and label; feature -1 counts all documents."""
+        size = 1 << BITS
+        for batch in batches:
+            toxic = batch.column(1).to_numpy(zero_copy_only=False) == 1
+            for part in textbytes.slices(batch.column(0)):
+                s = _sentences(part)
+                own = toxic[part.first : part.first + part.rows]
+                seen = np.unique(s.features + (s.found.row << BITS)[:, None])
+                of = own[seen >> BITS]
+                hit = np.bincount(seen[of] & (size - 1), minlength=size)
+                miss = np.bincount(seen[~of] & (size - 1), minlength=size)
+                some = np.flatnonzero(hit + miss)
+                yield pa.record_batch(
+                    {
+                        "feature": pa.array(np.append(some, -1), pa.int64()),
+                        "hit": pa.array(np.append(hit[some], own.sum()), pa.int64()),
+                        "miss": pa.array(np.append(miss[some], (~own).sum()), pa.int64()),
+                    }
+                )
+
+    rows = cut_lineage(rows.select("text", "_toxic"))
+    counts = rows.mapInArrow(counted, "feature long, hit long, miss long").groupBy("feature").agg(F.sum("hit").alias("hit"), F.sum("miss").alias("miss"))
+    counts = counts.toPandas().set_index("feature").reindex(range(-1, 1 << BITS), fill_value=0)  # as many rows as the table
+    hit, miss = counts["hit"].to_numpy(dtype=float), counts["miss"].to_numpy(dtype=float)
+    if not (hit[0] and miss[0]):
+        return Model(np.zeros(1 << BITS, dtype=np.float32), -30.0)
+    kept = telling(hit[1:], miss[1:], hit[0], miss[0])
+    wanted = np.zeros(1 << BITS, dtype=bool)
+    wanted[kept] = True
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textbytes.slices(batch.column(0)):
                 s = _sentences(part)
-                at = np.searchsorted(s.found.row, np.arange(part.rows + 1))
+                word, column = np.nonzero(wanted[s.features])
+                feature, sentence = s.features[word, column], s.sentence[word]
+                at = np.searchsorted(s.found.row[word], np.arange(part.rows + 1))
                 low = np.searchsorted(s.row, np.arange(part.rows + 1))
                 yield pa.record_batch(
                     {
                         "toxic": batch.column(1).slice(part.first, part.rows).cast(pa.int32()),
                         "sentences": pa.array(np.diff(low), pa.int64()),
-                        "sentence": pa.array([(s.sentence[a:b] - c).astype("<i4").tobytes() for a, b, c in zip(at[:-1], at[1:], low[:-1])], pa.binary()),
-                        "features": pa.array([s.features[a:b].astype("<i4").tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                        "sentence": pa.array([(sentence[a:b] - c).astype("<i4").tobytes() for a, b, c in zip(at[:-1], at[1:], low[:-1])], pa.binary()),
+                        "features": pa.array([feature[a:b].astype("<i4").tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()),
                     }
                 )
 
-    got = rows.select("text", "_toxic").mapInArrow(run, "toxic int, sentences long, sentence binary, features binary").toPandas()
+    got = rows.mapInArrow(run, "toxic int, sentences long, sentence binary, features binary").toPandas()
     toxic = (got["toxic"].to_numpy(dtype=np.int64) == 1).astype(np.int64)
-    if len(got) == 0 or toxic.min() == toxic.max():
-        return Model(np.zeros(1 << BITS, dtype=np.float32), -30.0)
     starts = np.concatenate([[0], np.cumsum(got["sentences"].to_numpy())])
-    width = len(HEADS) + 1
     sentence = np.concatenate([np.frombuffer(b, "<i4") + a for b, a in zip(got["sentence"], starts[:-1])])
     features = np.concatenate([np.frombuffer(b, "<i4") for b in got["features"]]).astype(np.int64)
     doc = np.repeat(np.arange(len(got)), np.diff(starts))
-    return train(features, np.repeat(sentence, width).astype(np.int64), doc, toxic)
+    return train(features, sentence.astype(np.int64), doc, toxic, kept)
 
 
 def _scored(model: Model, part: textbytes.Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
