@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from abundix.llm import textbytes
+from abundix.llm import textbytes, urlfilter
 from abundix.llm.components import connected_components
 from abundix.session import cut_lineage
 
@@ -248,7 +248,11 @@ def _entries(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                     }
                 )
 
-    rows = docs.join(wanted.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
+    # a Bloom filter of bounded size keeps the texts of other documents out of the shuffle
+    ids = cut_lineage(wanted.select(F.col("doc").alias("doc_id")))
+    words = min(urlfilter.bloom_words(ids.count()), urlfilter.MAX_WORDS)
+    maybe = cut_lineage(urlfilter.bloom_filter(ids.withColumnRenamed("doc_id", "key"), 0, words))
+    rows = docs.where(urlfilter.bloom_passes(F.col("doc_id"), 0, maybe, words)).join(ids, "doc_id", "left_semi").select("doc_id", "text")
     return rows.mapInArrow(run, "doc long, n long, bitmap binary, shingles binary")
 
 
@@ -381,7 +385,8 @@ def _unsettled(members: DataFrame, hubs: DataFrame, labels: DataFrame) -> DataFr
     named = named.select("run", "doc", F.coalesce("component", "doc").alias("component"))
     hub = hubs.select("run", F.col("hub").alias("doc")).join(named.select("run", "doc", "component"), ["run", "doc"])
     hub = hub.select("run", F.col("component").alias("main"))
-    named = named.join(hub, "run").withColumn("settled", (F.col("component") == F.col("main")).cast("long"))
+    # a join of its own stage, so that a run of many documents can be split
+    named = cut_lineage(named.join(hub, "run").withColumn("settled", (F.col("component") == F.col("main")).cast("long")))
     sizes = named.groupBy("run").agg(F.sum("settled").alias("inside"), F.sum(1 - F.col("settled")).alias("outside")).where("outside > 0")
     small = F.col("inside") + F.col("outside") <= BLOCK
     sizes = sizes.select(

@@ -56,8 +56,13 @@ def _positions(key: Column, level: int, bits: int) -> list[Column]:
     return [F.pmod(first + step * i, F.lit(bits).cast("long")) for i in range(HASHES)]
 
 
-def _bits(keys: DataFrame, level: int, words: int) -> DataFrame:
-    """One row with the filter as an array of 64-bit words; ``words`` is checked by the caller."""
+def bloom_words(count: int) -> int:
+    """64-bit words of a filter for so many keys."""
+    return -(-count * BITS_PER_KEY // 64) + 1
+
+
+def bloom_filter(keys: DataFrame, level: int, words: int) -> DataFrame:
+    """One row with the filter of ``key`` as an array of 64-bit words; ``words`` is checked by the caller."""
     spots = keys.select(F.explode(F.array(*_positions(F.col("key"), level, words * 64))).alias("spot"))
     spots = spots.select(F.shiftright("spot", 6).alias("word"), F.expr("shiftleft(1L, int(spot & 63))").alias("bit"))
     set_ = spots.groupBy("word").agg(F.bit_or("bit").alias("bits"))
@@ -66,6 +71,17 @@ def _bits(keys: DataFrame, level: int, words: int) -> DataFrame:
     return full.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("words"))
 
 
+def bloom_passes(key: Column, level: int, filter_: DataFrame, words: int) -> Column:
+    """Whether ``key`` may be among the filter's keys."""
+    array = filter_.scalar()
+    one = F.lit(1).cast("long")
+    tests = [
+        F.get(array, F.shiftright(p, 6).cast("int")).bitwiseAND(F.call_function("shiftleft", one, p.bitwiseAND(63).cast("int"))) != 0
+        for p in _positions(key, level, words * 64)
+    ]
+    return reduce(lambda a, b: a & b, tests)
+
+
 class Cascade:
     """Exact membership over the keys it was built from."""
 
@@ -73,13 +89,7 @@ class Cascade:
         self.levels, self.keys = levels, keys
 
     def _passes(self, key: Column, level: int) -> Column:
-        words, n = self.levels[level]
-        filter_ = words.scalar()
-        tests = [
-            F.get(filter_, F.shiftright(p, 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(63).cast("int"))) != 0
-            for p in _positions(key, level, n * 64)
-        ]
-        return reduce(lambda a, b: a & b, tests)
+        return bloom_passes(key, level, *self.levels[level])
 
     def with_membership(self, rows: DataFrame, key: Column, name: str = "listed") -> DataFrame:
         """``rows`` and whether ``key`` is listed."""
@@ -101,10 +111,10 @@ def build_cascade(universe: DataFrame, listed: DataFrame, max_words: int = MAX_W
     inside, outside = keys.where("listed").select("key"), keys.where("not listed").select("key")
     levels: list[tuple[DataFrame, int]] = []
     while n := inside.count():
-        words = -(-n * BITS_PER_KEY // 64) + 1
+        words = bloom_words(n)
         if words > max_words:
             return Cascade([], keys)
-        levels.append((cut_lineage(_bits(inside, len(levels), words)), words))
+        levels.append((cut_lineage(bloom_filter(inside, len(levels), words)), words))
         step = Cascade(levels, None)
         mistaken = cut_lineage(outside.where(step._passes(F.col("key"), len(levels) - 1)))
         inside, outside = mistaken, inside
