@@ -76,7 +76,7 @@ SPELLINGS: tuple[tuple[str, str], ...] = (
 )
 
 _COMMON = re.compile("(?i)licen[cs]e|permission")
-_COPYRIGHT = "(^|\\n)[ \\t*#/;]*(copyright|\\(c\\)|©)[^\\n]*"
+_COPYRIGHT = "(^|\\n)[ \\t*#/;]*(copyright[^\\n]*([0-9]{4}|\\(c\\)|©)|\\(c\\)|©)[^\\n]*"
 
 
 def canonical(text: Column) -> Column:

@@ -159,7 +159,7 @@ def toxicity_query(table):
 
 
 def _canonical_sql(text: str) -> str:
-    out = f"regexp_replace(lower(coalesce({text}, '')), '(^|\\n)[ \\t*#/;]*(copyright|\\(c\\)|©)[^\\n]*', chr(10), 'g')"
+    out = f"regexp_replace(lower(coalesce({text}, '')), '(^|\\n)[ \\t*#/;]*(copyright[^\\n]*([0-9]{{4}}|\\(c\\)|©)|\\(c\\)|©)[^\\n]*', chr(10), 'g')"
     out = f"' ' || regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
     for old, new in licenses.SPELLINGS:
         out = f"replace({out}, '{old}', '{new}')"
