@@ -102,7 +102,10 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
     groups = named.groupBy("rounds", "name").agg(
         F.max(F.struct("doc_id", (-F.col("row")).alias("row"))).alias("_best"), F.count(F.lit(1)).alias("group_size")
     )
-    groups = groups.select("rounds", "name", F.col("_best.doc_id").alias("keep_id"), F.col("_best.row").alias("_row"), "group_size")
+    # written, so that the join is a stage of its own and a group of many rows can be split
+    groups = cut_lineage(
+        groups.select("rounds", "name", F.col("_best.doc_id").alias("keep_id"), F.col("_best.row").alias("_row"), "group_size")
+    )
     return named.join(groups, ["rounds", "name"]).select(
         "doc_id", "keep_id", "group_size", (F.col("row") == -F.col("_row")).alias("kept"), "text_sha256"
     )
