@@ -36,9 +36,12 @@ _PLAN = "pattern string, source_size long, target double, passes long, rest long
 
 
 def word_count(text: Column) -> Column:
-    """Number of words ``[^\\x20\\x09-\\x0D]+``; null has none."""
-    trimmed = F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))).cast("long")
+    """Number of words ``[^\\x20\\x09-\\x0D]+``; null has none.
+
+    Every word with the space behind it becomes one letter, so no array of words is made.
+    """
+    trimmed = F.ltrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    return F.octet_length(F.regexp_replace(trimmed, "[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*", "w")).cast("long")
 
 
 def share_out(sizes: dict[str | None, int], weights: Sequence[float] = WEIGHTS, total: float = 0.0, limit: float = MAX_REPEATS) -> dict[str | None, float]:

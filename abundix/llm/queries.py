@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from abundix.llm import exact_dedup, jaccard, langid, licenses, mixing, packing, quality, sharding, toxicity, urlfilter
-from abundix.session import apply_conf
+from abundix.llm import exact_dedup, jaccard, langid, licenses, mixing, packing, quality, sharding, text_conf, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,7 +31,7 @@ def tokenizer_path() -> str:
 
 def _query(name: str, sql: str | None = None):
     def register(function: Callable[..., DataFrame]):
-        QUERIES[name] = lambda spark, folder: function(lambda t: apply_conf(spark).read.parquet(f"{folder}/{t}.parquet"))
+        QUERIES[name] = lambda spark, folder: function(lambda t: text_conf(spark).read.parquet(f"{folder}/{t}.parquet"))
         if sql is not None:
             ORACLES[name] = sql
         return function
