@@ -136,8 +136,35 @@ def _block_minima(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=["one", "two", "shared"])
 
 
+def braycurtis_pairs(table: DataFrame, pairs: DataFrame, relative: bool = True) -> DataFrame:
+    """Bray-Curtis dissimilarity of the wanted ``pairs(sample1, sample2)``, as ``distance``.
+
+    The work follows the pairs and their samples' strata.  A pair that shares no stratum has distance 1, a pair
+    with a sample that has nothing is left out.
+    """
+    cells = table.groupBy("stratum", "sample").agg(F.sum("value").alias("value")).where(F.col("value") > 0)
+    if relative:
+        cells = contribution_scaling(cells, "totalsum")
+    cells = cut_lineage(cells)
+    totals = cells.groupBy("sample").agg(F.sum("value").alias("total"))
+    pairs = pairs.select("sample1", "sample2").distinct()
+
+    def side(df: DataFrame, i: int, *columns: str) -> DataFrame:
+        return df.select(F.col("sample").alias(f"sample{i}"), *[F.col(c).alias(f"_{c}{i}") for c in columns])
+
+    one = pairs.join(side(cells, 1, "stratum", "value"), "sample1").withColumnRenamed("_stratum1", "_stratum")
+    both = one.join(side(cells, 2, "stratum", "value").withColumnRenamed("_stratum2", "_stratum"), ["sample2", "_stratum"])
+    shared = both.groupBy("sample1", "sample2").agg(F.sum(F.least("_value1", "_value2")).alias("_shared"))
+    known = pairs.join(side(totals, 1, "total"), "sample1").join(side(totals, 2, "total"), "sample2")
+    distance = 1 - 2 * F.coalesce("_shared", F.lit(0.0)) / (F.col("_total1") + F.col("_total2"))
+    return known.join(shared, ["sample1", "sample2"], "left").select("sample1", "sample2", distance.alias("distance"))
+
+
 def braycurtis(table: DataFrame, relative: bool = True) -> DataFrame:
-    """Bray-Curtis dissimilarity of sample pairs, ``sample1 < sample2``.
+    """Bray-Curtis dissimilarity of all sample pairs that share a stratum, ``sample1 < sample2``.
+
+    The result grows with the square of the samples; for many samples name the pairs and take
+    ``braycurtis_pairs``.
 
     The distance is 1 - 2 * sum(min) / (total1 + total2).  The matrix is sparse: a pair
     that is not listed shares no stratum and has distance 1.  Samples are hashed to

@@ -7,6 +7,7 @@ zeros into their formulas; only ``densify`` and what needs every cell write them
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -52,14 +53,21 @@ def sample_names(table: DataFrame) -> Column:
 
 
 def densify(
-    table: DataFrame, features: DataFrame | None = None, keys: Sequence[str] = FEATURE, fill: float = 0.0
+    table: DataFrame,
+    features: DataFrame | None = None,
+    keys: Sequence[str] = FEATURE,
+    fill: float | None = 0.0,
+    samples: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per (feature, sample).  The result is as large as the wide table."""
+    """One row per (feature, sample).  The result is as large as the wide table.
+
+    For output that must hold every cell; no operator works on it.
+    """
     keys = list(keys)
     rows = (table if features is None else features).select(*keys).distinct()
-    grid = rows.withColumn("sample", F.explode(sample_names(table)))
+    grid = rows.withColumn("sample", F.explode(sample_names(table if samples is None else samples)))
     out = join_on(grid, table.select(*keys, "sample", "value"), [*keys, "sample"], "left", null_safe=True)
-    return out.withColumn("value", F.coalesce("value", F.lit(fill)))
+    return out if fill is None else out.withColumn("value", F.coalesce("value", F.lit(fill)))
 
 
 def join_tables(tables: Sequence[DataFrame], dense: bool = False) -> DataFrame:
@@ -70,6 +78,7 @@ def join_tables(tables: Sequence[DataFrame], dense: bool = False) -> DataFrame:
     """
     out = stack_samples(tables)
     if "source" in out.columns:
+        out = cut_lineage(out.select(*_FEATURE, "sample", "value", "source"))
         counts = out.agg(F.count_distinct("sample") == 1).scalar()
         out = out.withColumn("sample", F.when(counts, F.col("source")).otherwise(F.col("sample")))
     summed = out.groupBy(*_FEATURE, "sample").agg(F.sum("value").alias("value"))
@@ -246,37 +255,49 @@ def rebuild_totals(strata: DataFrame) -> DataFrame:
     )
 
 
-def smooth(table: DataFrame, features: DataFrame, method: str = "laplace") -> DataFrame:
-    """Smoothed value of every (feature, sample) of the grid ``features`` x samples.
+class Filled(NamedTuple):
+    """A table of every (feature, sample), kept sparse.
+
+    ``cells`` has the cells of the input that are above 0; ``absent(sample, value)`` the value of every other
+    cell of a sample.  ``fill_cells`` writes them out.
+    """
+
+    cells: DataFrame
+    absent: DataFrame
+
+
+def smooth(table: DataFrame, features: DataFrame, method: str = "laplace") -> Filled:
+    """Smoothed values over the grid ``features`` x samples, of which only the real cells are made.
 
     ``laplace`` adds the sample's smallest positive value to every cell (0 for an
     all-zero sample).  ``witten_bell`` scales seen cells by N / (N + T) and shares the
     rest over the unseen ones.
     """
-    dense = densify(table, features)
     seen = F.col("value") > 0
     if method == "laplace":
-        alphas = table.groupBy("sample").agg(F.min(F.when(seen, F.col("value"))).alias("_alpha"))
-        return (
-            dense.join(alphas, "sample", "left")
-            .withColumn("value", F.col("value") + F.coalesce("_alpha", F.lit(0.0)))
-            .select(*_FEATURE, "sample", "value")
+        per_sample = table.groupBy("sample").agg(
+            F.coalesce(F.min(F.when(seen, F.col("value"))), F.lit(0.0)).alias("_absent"), F.lit(1.0).alias("_scale")
         )
-    if method != "witten_bell":
+        smoothed = F.col("value") + F.col("_absent")
+    elif method == "witten_bell":
+        features_total = features.select(*_FEATURE).distinct().agg(F.count(F.lit(1))).scalar()
+        totals = table.groupBy("sample").agg(F.sum("value").alias("_n"), F.count_if(seen).alias("_t"))
+        unseen = features_total - F.col("_t")
+        norm = F.when(F.col("_n") + F.col("_t") > 0, F.col("_n") / (F.col("_n") + F.col("_t"))).otherwise(F.lit(0.0))
+        epsilon = F.when(unseen > 0, norm * F.col("_t") / unseen).otherwise(F.lit(0.0))
+        per_sample = totals.select("sample", epsilon.alias("_absent"), norm.alias("_scale"))
+        smoothed = F.col("value") * F.col("_scale")
+    else:
         raise ValueError(f"unknown method {method!r}")
-    features_total = features.select(*_FEATURE).distinct().agg(F.count(F.lit(1))).scalar()
-    totals = table.groupBy("sample").agg(
-        F.sum("value").alias("_n"), F.count_if(seen).alias("_t")
-    )
-    unseen = features_total - F.col("_t")
-    norm = F.when(F.col("_n") + F.col("_t") > 0, F.col("_n") / (F.col("_n") + F.col("_t"))).otherwise(F.lit(0.0))
-    epsilon = F.when(unseen > 0, norm * F.col("_t") / unseen).otherwise(F.lit(0.0))
-    smoothed = F.when(F.col("value") == 0, epsilon).otherwise(F.col("value") * norm)
-    return (
-        dense.join(totals, "sample", "left")
-        .withColumn("value", smoothed)
-        .select(*_FEATURE, "sample", "value")
-    )
+    cells = table.where(seen).join(per_sample, "sample").select(*_FEATURE, "sample", smoothed.alias("value"))
+    return Filled(cells, per_sample.select("sample", F.col("_absent").alias("value")))
+
+
+def fill_cells(filled: Filled, features: DataFrame) -> DataFrame:
+    """Every (feature, sample) of a sparse table; as large as the wide table, so for writing only."""
+    grid = densify(filled.cells, features, fill=None, samples=filled.absent)
+    absent = filled.absent.select("sample", F.col("value").alias("_absent"))
+    return grid.join(absent, "sample", "left").withColumn("value", F.coalesce("value", "_absent")).drop("_absent")
 
 
 def paired_tables(rna: DataFrame, dna: DataFrame) -> DataFrame:
@@ -298,34 +319,56 @@ def relative_expression(
     log: bool = False,
     base: float = 2.0,
     stratified: bool = False,
-) -> DataFrame:
+) -> Filled:
     """(RNA / DNA) x (total DNA / total RNA) per feature and sample, after smoothing.
 
+    Features without RNA and DNA in a sample all have the ratio of the smoothed nothing, which is a
+    number per sample; community rows of codes without any cell have it too.
+
     With ``stratified`` the community rows are dropped first and rebuilt from the
     smoothed strata.  Laplace totals include the added amounts, Witten-Bell totals are
     those of the input.
     """
     if stratified:
         rna, dna = split_stratified(rna)[0], split_stratified(dna)[0]
+    # each table is read for its features, its totals and its cells
+    rna, dna = (cut_lineage(t.select(*_FEATURE, "sample", "value")) for t in (rna, dna))
     features = cut_lineage(feature_union(rna, dna))
     cells = features.agg(F.count(F.lit(1))).scalar() if method == "laplace" else F.lit(0)
     added = F.coalesce(F.min(F.when(F.col("value") > 0, F.col("value"))), F.lit(0.0))
-
-    def prepare(table: DataFrame, value: str) -> DataFrame:
+    key = [*_FEATURE, "sample"]
+    sides, samples = [], None
+    for name, table in (("rna", rna), ("dna", dna)):
         smoothed = smooth(table, features, method)
+        sides.append(smoothed.cells.withColumnRenamed("value", name))
         # laplace adds the same amount to every cell of a sample
-        totals = table.groupBy("sample").agg(F.sum("value").alias("_sum"), added.alias("_added"))
-        totals = totals.select("sample", (F.col("_sum") + F.col("_added") * cells).alias(f"_{value}_total"))
-        rows = rebuild_totals(smoothed) if stratified else smoothed
-        return rows.withColumnRenamed("value", value).join(totals, "sample")
-
-    key = [*_FEATURE, "sample"]
-    joined = join_on(prepare(rna, "rna"), prepare(dna, "dna"), key, "inner", null_safe=True)
+        totals = table.groupBy("sample").agg((F.sum("value") + added * cells).alias(f"_{name}_total"))
+        own = smoothed.absent.withColumnRenamed("value", f"_{name}").join(totals, "sample")
+        samples = own if samples is None else samples.join(own, "sample")
+    samples = cut_lineage(samples)  # one row per sample
+
+    pairs = sides[0].unionByName(sides[1], allowMissingColumns=True).groupBy(*key).agg(F.max("rna").alias("rna"), F.max("dna").alias("dna"))
+    pairs = pairs.join(samples, "sample").withColumns(
+        {name: F.coalesce(name, f"_{name}") for name in ("rna", "dna")}
+    )
+    if stratified:
+        # a code's strata without a cell in the sample count with the absent value
+        strata = features.groupBy("code", "name").agg(F.count(F.lit(1)).alias("_strata"))
+        totals = pairs.groupBy("code", "name", "sample").agg(
+            F.sum("rna").alias("rna"), F.sum("dna").alias("dna"), F.count(F.lit(1)).alias("_cells")
+        )
+        totals = join_on(totals, strata, ["code", "name"], "inner", null_safe=True).join(samples, "sample")
+        rest = F.col("_strata") - F.col("_cells")
+        totals = totals.withColumns({name: F.col(name) + rest * F.col(f"_{name}") for name in ("rna", "dna")})
+        totals = totals.withColumn("stratum", F.lit(None).cast("string")).drop("_strata", "_cells")
+        pairs = pairs.unionByName(totals)
     scale = F.try_divide(F.col("_dna_total"), F.col("_rna_total"))
-    value = F.try_divide(scale * F.col("rna"), F.col("dna"))
-    if log:
-        value = log_transform(value, base)
-    return joined.select(*key, value.alias("value"))
+
+    def ratio(one: str, other: str) -> Column:
+        value = F.try_divide(scale * F.col(one), F.col(other))
+        return (log_transform(value, base) if log else value).alias("value")
+
+    return Filled(pairs.select(*key, ratio("rna", "dna")), samples.select("sample", ratio("_rna", "_dna")))
 
 
 def strain_profiles(

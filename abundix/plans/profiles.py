@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -63,6 +64,17 @@ def profile_gene_families(
     if subject_coverage is not None:
         kept = hit_ops.filter_subject_coverage(kept, subject_coverage, nucleotide=nucleotide, by=by)
     scores = cut_lineage(hit_ops.gene_scores(kept, normalization, by))
+    return gene_family_table(scores, normalization, unaligned, by, ordered)
+
+
+def gene_family_table(
+    scores: DataFrame,
+    normalization: str = ADJUSTED_CPM,
+    unaligned: int | float | DataFrame = 0,
+    by: By = (),
+    ordered: bool = True,
+) -> DataFrame:
+    """The written profile of ``gene_scores``."""
     if normalization == ADJUSTED_CPM:
         scores = hit_ops.adjusted_cpm(scores, by)
     table = scores_to_table(scores, "gene", by).where(F.col("value") > 0)
@@ -88,6 +100,60 @@ def profile_reactions(
     return profile_order(table, by, (UNMAPPED, UNGROUPED))
 
 
+class Profiles(NamedTuple):
+    gene_families: DataFrame
+    reactions: DataFrame
+    pathways: DataFrame
+
+
+def profile_alignments(
+    records: DataFrame,
+    translated: DataFrame,
+    reaction_genes: DataFrame | None,
+    pathway_reactions: DataFrame,
+    pathway_nodes: DataFrame | None = None,
+    names: DataFrame | None = None,
+    nucleotide_identity: float = 0.0,
+    nucleotide_subject_coverage: float = 50.0,
+    nucleotide_query_coverage: float = 90.0,
+    identity: float | None = None,
+    evalue: float | None = 1.0,
+    query_coverage: float | None = 90.0,
+    subject_coverage: float | None = 50.0,
+    normalization: str = ADJUSTED_CPM,
+    parsimony: bool = True,
+    fill_gaps: bool = True,
+    by: By = (),
+) -> Profiles:
+    """From the alignments of a cohort to its three profiles.
+
+    ``records`` are SAM records and ``translated`` hits of the translated search, both with their parsed
+    references.  Records that pass the nucleotide filter and hits that pass the translated one are scored
+    together; reads aligned by neither are counted per sample and go into every profile.
+    """
+    columns = [*by, "query", "gene", "bug", "matches", "gene_length", "aligned_length"]
+    marked = hit_ops.filter_nucleotide_hits(
+        records, nucleotide_identity, nucleotide_subject_coverage, nucleotide_query_coverage, by
+    )
+    # read for the scores and for the unaligned reads
+    marked = cut_lineage(marked.select(*columns, "kept"))
+    found = hit_ops.filter_hits(translated, identity, evalue, query_coverage)
+    if subject_coverage is not None:
+        found = hit_ops.filter_subject_coverage(found, subject_coverage, by=by)
+    found = cut_lineage(found.select(*columns))
+    hits = marked.where("kept").select(*columns).unionByName(found)
+    scores = cut_lineage(hit_ops.gene_scores(hits, normalization, by))
+    unaligned = hit_ops.unaligned_reads(marked, found, by=by).groupBy(*by).agg(F.count(F.lit(1)).alias("unaligned"))
+    unaligned = cut_lineage(unaligned) if by else unaligned.first()["unaligned"]
+    return Profiles(
+        gene_family_table(scores, normalization, unaligned, by),
+        profile_reactions(scores, reaction_genes, unaligned, by=by),
+        profile_pathways(
+            scores, reaction_genes, pathway_reactions, pathway_nodes, names, unaligned, parsimony, fill_gaps, by=by
+        ),
+    )
+
+
 def pathway_abundance(
     scores: DataFrame,
     pathway_reactions: DataFrame,

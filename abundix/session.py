@@ -16,6 +16,9 @@ RECOMMENDED_CONF = {
 }
 
 
+_WRITTEN = "_abundix_written"
+
+
 def apply_conf(spark: SparkSession) -> SparkSession:
     for key, value in RECOMMENDED_CONF.items():
         spark.conf.set(key, value)
@@ -59,9 +62,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     The files survive the loss of an executor, later reads prune columns, joins know the
     table's size, and values that depend on the physical layout (partition ids) are fixed
-    once.
+    once.  A frame that is such a table already is given back as it is.
     """
+    if getattr(df, _WRITTEN, False):
+        return df
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    setattr(out, _WRITTEN, True)
+    return out

@@ -14,6 +14,7 @@ from abundix.functions.alignments import (
     match_count,
     md_tag,
 )
+from abundix.session import cut_lineage
 from abundix.sources.text import fields, raw_lines
 
 # The columns of both formats, and the SAM flag of an unmapped read.
@@ -36,14 +37,6 @@ def read_hits_m8(spark: SparkSession, path: str | Sequence[str], log_evalue: boo
     """
     lines = raw_lines(spark, path).where(F.length("line") > 0)
     comment = F.col("line").startswith("#")
-    hits = lines.where(~comment)
-    if log_evalue is None:
-        named = F.coalesce(F.get(fields(), F.lit(M8_COLUMNS.index("evalue"))).contains("log"), F.lit(False))
-        logged = lines.where(comment & named).select("file").distinct().withColumn("_log", F.lit(True))
-        hits = hits.join(logged, "file", "left").withColumn("_log", F.coalesce("_log", F.lit(False)))
-        log = F.col("_log")
-    else:
-        log = log_evalue
 
     def field(name: str):
         return F.get(fields(), F.lit(M8_COLUMNS.index(name)))
@@ -51,7 +44,10 @@ def read_hits_m8(spark: SparkSession, path: str | Sequence[str], log_evalue: boo
     def number(name: str, kind: str):
         return F.coalesce(field(name).try_cast(kind), F.lit(0).cast(kind)).alias(name)
 
-    return hits.select(
+    parsed = lines.select(
+        "file",
+        comment.alias("_comment"),
+        F.coalesce(field("evalue"), F.lit("")).alias("_evalue"),
         field("query").alias("query"),
         field("reference").alias("reference"),
         number("identity", "double"),
@@ -59,9 +55,18 @@ def read_hits_m8(spark: SparkSession, path: str | Sequence[str], log_evalue: boo
         number("mismatch", "int"),
         number("gaps", "int"),
         *[number(c, "int") for c in ("q_start", "q_end", "s_start", "s_end")],
-        evalue(field("evalue"), log).alias("evalue"),
         number("bitscore", "double"),
     )
+    log = log_evalue
+    if log_evalue is None:
+        # the text is read and parsed once; the few comment lines are then found by their mark
+        parsed = cut_lineage(parsed)
+        logged = parsed.where(F.col("_comment") & F.col("_evalue").contains("log"))
+        logged = logged.select("file").distinct().withColumn("_log", F.lit(True))
+        parsed = parsed.join(logged, "file", "left").withColumn("_log", F.coalesce("_log", F.lit(False)))
+        log = F.col("_log")
+    hits = parsed.where(~F.col("_comment")).withColumn("evalue", evalue("_evalue", log))
+    return hits.select(*M8_COLUMNS)
 
 
 def read_hits_sam(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

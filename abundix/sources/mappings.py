@@ -179,7 +179,7 @@ def read_taxonomy(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataF
     A section starts at a line whose first field is TAXID or FAMILY; its columns are
     named by that line, in lower case.  Every file may hold one or both sections.
     """
-    lines = placed_lines(spark, path)
+    lines = cut_lineage(placed_lines(spark, path).where(F.length("line") > 0))
     first = F.get(fields(), F.lit(0))
     marked = lines.where(first.isin("TAXID", "FAMILY"))
     starts = marked.groupBy("file").agg(
@@ -194,7 +194,7 @@ def read_taxonomy(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataF
         F.min("at").alias("at")
     ).orderBy("at", "name").collect():
         columns.setdefault(row["marker"], []).append(row["name"])
-    placed = lines.where(F.length("line") > 0).join(starts, "file")
+    placed = lines.join(starts, "file")
 
     def section(marker: str, other: str) -> DataFrame:
         start, stop = F.col(marker), F.col(other)

@@ -1,4 +1,4 @@
-"""Readers of FASTA and FASTQ."""
+"""Readers of FASTA and FASTQ, and a FASTA writer."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from abundix.functions.references import add_length_annotation
 from abundix.sources.text import base_name, numbered_lines
 
 
@@ -39,3 +40,11 @@ def read_fastq(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return record.where(F.col("sequence").rlike("^[ACGTNacgtn]+$")).select(
         F.rtrim(F.regexp_replace("_id", "^@", "")).alias("id"), "sequence", base_name("file").alias("source")
     )
+
+
+def write_fasta(df: DataFrame, path: str, header: str = "header", sequence: str = "sequence", length: str | None = None) -> None:
+    """Two-line records.  ``length`` names a column with the length of the read, to be appended to the id
+    as the hit filters read it (``translate_frames`` loses it otherwise).
+    """
+    name = F.col(header) if length is None else add_length_annotation(header, length)
+    df.select(F.concat(F.lit(">"), name, F.lit("\n"), F.col(sequence))).write.mode("errorifexists").text(path)

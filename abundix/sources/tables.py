@@ -21,6 +21,7 @@ from abundix.functions.features import (
     split_feature,
 )
 from abundix.operators.ordering import feature_sort_keys, profile_order
+from abundix.session import cut_lineage
 from abundix.sources.text import TAB, base_name, fields, placed_lines
 
 _FEATURE = list(FEATURE)
@@ -41,10 +42,11 @@ def read_cells(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     The header is the last of the leading ``#`` lines, or the first line when there is
     none.  Unreadable values are 0.  ``source`` is the file's base name.
     """
-    lines = placed_lines(spark, path)
+    # the text is read once; of the written lines the head is found by file, block and comment mark alone
+    comment = F.col("comment")
+    lines = cut_lineage(placed_lines(spark, path).withColumn("comment", F.col("line").startswith("#")))
     # the leading lines are in the first split of a file, where ids are consecutive
     start = lines.where(F.col("block") == 0)
-    comment = F.col("line").startswith("#")
     found = start.groupBy("file").agg(
         F.greatest(F.min(F.when(~comment, F.col("at.id"))) - 1, F.min("at.id")).alias("_header")
     )
@@ -91,7 +93,7 @@ def read_metadata_table(
     The first line holds the sample names; rows up to ``last_metadata`` are metadata.  A
     table in several files repeats these lines in each.
     """
-    lines = placed_lines(spark, path)
+    lines = cut_lineage(placed_lines(spark, path).where(F.length("line") > 0))
     name = F.get(fields(), F.lit(0))
     found = lines.groupBy("file").agg(
         F.min("at").alias("_header"), F.min(F.when(name == last_metadata, F.col("at"))).alias("_last")
@@ -106,10 +108,8 @@ def read_metadata_table(
     return metadata, values.select("feature", "sample", number.alias("value"))
 
 
-def to_wide(table: DataFrame, samples: Sequence[str] | None = None) -> DataFrame:
-    """One column per sample, missing cells 0.  The sample names are the table's columns."""
-    if samples is None:
-        samples = [r[0] for r in table.select("sample").distinct().orderBy("sample").toLocalIterator()]
+def to_wide(table: DataFrame, samples: Sequence[str]) -> DataFrame:
+    """One column per given sample, missing cells 0."""
     wide = table.groupBy(*_FEATURE).pivot("sample", list(samples)).agg(F.sum("value"))
     return wide.fillna(0.0, subset=list(samples))
 
@@ -123,19 +123,38 @@ def _write_tsv(df: DataFrame, path: str, partition: str | None = None, header: b
     writer.options(**options).csv(path)
 
 
-def write_feature_table(
-    table: DataFrame, path: str, digits: int | None = 6, samples: Sequence[str] | None = None
-) -> None:
-    """Wide tab separated table in feature order, values to ``digits`` significant digits."""
-    wide = to_wide(table, samples)
-    names = [c for c in wide.columns if c not in _FEATURE]
+def sample_row(table: DataFrame) -> Column:
+    """The sorted sample names, the columns of the wide table, as one array."""
+    names = cut_lineage(table.select("sample").distinct().agg(F.sort_array(F.collect_list("sample")).alias("names")))
+    return names.scalar()
+
 
-    def text(sample: str) -> Column:
-        value = F.col(f"`{sample}`")
-        return (value if digits is None else significant(value, digits)).alias(sample)
+def wide_rows(table: DataFrame, names: Column, digits: int | None = 6) -> DataFrame:
+    """One row per feature with the texts of its cells in the order of ``names``, as an array ``cells``.
+
+    A feature's cells are what its line holds in any case; the plan has no part per sample.
+    """
+    total = F.sum("value")
+    value = total if digits is None else significant(total, digits)
+    cells = table.groupBy(*_FEATURE, "sample").agg(value.cast("double").cast("string").alias("text"))
+    lines = cells.groupBy(*_FEATURE).agg(F.map_from_entries(F.collect_list(F.struct("sample", "text"))).alias("_cells"))
+    texts = F.transform("_names", lambda s: F.coalesce(F.try_element_at("_cells", s), F.lit("0.0")))
+    return lines.withColumn("_names", names).select(*_FEATURE, texts.alias("cells"))
 
-    ordered = wide.orderBy(*feature_sort_keys())
-    _write_tsv(ordered.select(join_feature().alias("# Feature"), *[text(s) for s in names]), path)
+
+def write_feature_table(table: DataFrame, path: str, digits: int | None = 6) -> None:
+    """Wide tab separated table in feature order, values to ``digits`` significant digits.
+
+    Every file begins with the header line.
+    """
+    names = sample_row(table)
+    ordered = wide_rows(table, names, digits).orderBy(*feature_sort_keys())
+    line = F.concat_ws(TAB, join_feature(), F.array_join("cells", TAB))
+    header = F.concat_ws(TAB, F.lit("# Feature"), F.array_join(names, TAB))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = ordered.select(line.alias("line"), place.alias("place"))
+    lines = lines.select(F.explode(F.when(F.col("place") == 0, F.array(header, F.col("line"))).otherwise(F.array("line"))))
+    lines.write.mode("errorifexists").text(path)
 
 
 def write_per_sample(table: DataFrame, path: str) -> None:

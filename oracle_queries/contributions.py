@@ -127,3 +127,25 @@ def braycurtis(v):
 @query("braycurtis_weighted", DISTANCE.replace("{cells}", POSITIVE))
 def braycurtis_weighted(v):
     return c.braycurtis(v["gappy"], relative=False).withColumn("distance", F.round("distance", 6))
+
+
+@query(
+    "braycurtis_pairs",
+    """
+WITH c AS (SELECT stratum, sample, sum(value) AS value FROM {feature_table} WHERE stratum IS NOT NULL GROUP BY stratum, sample),
+t AS (SELECT sample, sum(value) AS total FROM c GROUP BY sample),
+p AS (SELECT a.sample AS sample1, b.sample AS sample2, a.total AS one, b.total AS two FROM t AS a JOIN t AS b
+      ON substr(a.sample, 1, 3) = substr(b.sample, 1, 3) AND CAST(substr(a.sample, 4) AS INTEGER) + 1 = CAST(substr(b.sample, 4) AS INTEGER)),
+s AS (SELECT sample1, sample2, sum(least(x.value, y.value)) AS shared FROM p JOIN c AS x ON x.sample = sample1
+      JOIN c AS y ON y.sample = sample2 AND y.stratum = x.stratum GROUP BY sample1, sample2)
+SELECT p.sample1, p.sample2, round(1 - 2 * coalesce(shared, 0) / (one + two), 6) AS distance
+FROM p LEFT JOIN s ON s.sample1 = p.sample1 AND s.sample2 = p.sample2
+""",
+)
+def braycurtis_pairs(v):
+    """Each sample and the same flags a year later."""
+    strata = v["feature_table"].where("stratum IS NOT NULL")
+    names = strata.select(F.col("sample").alias("sample1")).distinct()
+    year = F.substring("sample1", 4, 4).cast("int") + 1
+    pairs = names.withColumn("sample2", F.concat(F.substring("sample1", 1, 3), year.cast("string")))
+    return c.braycurtis_pairs(strata, pairs, relative=False).withColumn("distance", F.round("distance", 6))

@@ -374,14 +374,14 @@ r AS (SELECT gene, pos AS s_start, pos + reference_length AS s_end,
       FROM s WHERE NOT unmapped AND identity >= 60),
 c AS (SELECT gene, sum(CASE WHEN reach IS NULL OR s_start > reach THEN s_end - s_start
                             WHEN s_end > reach THEN s_end - reach ELSE 0 END) AS covered FROM r GROUP BY gene)
-SELECT s.query, s.gene, s.l_linenumber, s.identity,
+SELECT s.query, s.gene, s.l_linenumber, s.identity, s.aligned_length,
        NOT s.unmapped AND s.identity > 60 AND coalesce(c.covered / 1000.0::DOUBLE * 100 >= 80, FALSE) AS kept
 FROM s LEFT JOIN c ON s.gene = c.gene
 """
 
 
-def _sam(v):
-    records = v["sam_records"].withColumns(
+def sam_records(v):
+    return v["sam_records"].withColumns(
         {
             "aligned_length": al.cigar_aligned_length("cigar"),
             "identity": al.cigar_identity("cigar", "md"),
@@ -390,7 +390,10 @@ def _sam(v):
             "gene_length": F.lit(1000),
         }
     )
-    return h.filter_nucleotide_hits(records, identity=60, subject_threshold=80)
+
+
+def _sam(v):
+    return h.filter_nucleotide_hits(sam_records(v), identity=60, subject_threshold=80)
 
 
 @query("filter_nucleotide_hits", f"SELECT query, gene, l_linenumber, kept FROM ({SAM_KEPT})")

@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from abundix.functions.alignments import match_count
 from abundix.plans import profiles as p
-from oracle_queries import associations as sql_a, pathways as sql_p
+from oracle_queries import associations as sql_a, hits as sql_h, pathways as sql_p
 from oracle_queries.registry import LENSES, query
 
 LENSES["protein_hits"] = """
@@ -40,6 +41,58 @@ def profile_gene_families(v):
     return out.select("code", "stratum", F.round("value", 4).alias("value"))
 
 
+ALIGNED = f"""
+sam AS ({sql_h.SAM_KEPT}),
+hit AS ({sql_h.FILTERED}),
+un AS (SELECT count(DISTINCT query) AS unaligned FROM sam WHERE NOT kept AND query NOT IN (SELECT query FROM hit)),
+k AS (SELECT query, gene, concat('m', CAST(l_linenumber AS VARCHAR)) AS bug, identity / 100.0::DOUBLE * aligned_length AS matches,
+             1000 AS gene_length, CAST(aligned_length AS DOUBLE) AS aligned_length FROM sam WHERE kept
+      UNION ALL SELECT query, gene, bug, matches, gene_length, aligned_length FROM hit),
+w AS (SELECT gene, bug, CASE WHEN count(*) OVER (PARTITION BY query) = 1 THEN 1.0::DOUBLE
+              ELSE matches * matches / sum(matches * matches) OVER (PARTITION BY query) END
+             / ((abs(gene_length - aligned_length) + 1) / 1000.0::DOUBLE) AS amount FROM k),
+s AS (SELECT gene AS code, bug AS stratum, sum(amount) AS value FROM w GROUP BY GROUPING SETS ((gene, bug), (gene)))
+"""
+
+
+def _aligned(v):
+    records = sql_h.sam_records(v).withColumns(
+        {"bug": F.concat(F.lit("m"), "l_linenumber"), "matches": match_count("identity", "aligned_length")}
+    ).withColumn("aligned_length", F.col("aligned_length").cast("double"))
+    return p.profile_alignments(
+        records, v["hits"], v["reaction_genes"], v["pathway_reactions"], nucleotide_identity=60,
+        nucleotide_subject_coverage=80, identity=80, evalue=0.05, query_coverage=40, subject_coverage=None, parsimony=False,
+    )
+
+
+@query(
+    "profile_alignments",
+    f"""
+WITH {ALIGNED} SELECT code, stratum, round(value / (SELECT sum(value) FROM s WHERE stratum IS NULL) * 1e6, 4) AS value FROM s
+UNION ALL SELECT 'READS_UNMAPPED', NULL, CAST(unaligned AS DOUBLE) FROM un
+""",
+)
+def profile_alignments(v):
+    """Gene families of nucleotide and translated alignments together, with the reads of neither."""
+    return _aligned(v).gene_families.select("code", "stratum", F.round("value", 4).alias("value"))
+
+
+@query(
+    "profile_alignments_reactions",
+    f"""
+WITH {ALIGNED},
+all_s AS (SELECT coalesce(stratum, 'all') AS bug, code AS gene, value FROM s),
+r AS (SELECT bug, reaction, sum(value) AS value FROM all_s JOIN {{reaction_genes}} AS g ON g.gene = all_s.gene GROUP BY bug, reaction)
+SELECT reaction AS code, CASE WHEN bug <> 'all' THEN bug END AS stratum, round(value, 6) AS value FROM r
+UNION ALL SELECT 'UNGROUPED', CASE WHEN bug <> 'all' THEN bug END, round(sum(value), 6) FROM all_s
+          WHERE gene NOT IN (SELECT gene FROM {{reaction_genes}}) GROUP BY bug
+UNION ALL SELECT 'UNMAPPED', NULL, CAST(unaligned AS DOUBLE) FROM un
+""",
+)
+def profile_alignments_reactions(v):
+    return _aligned(v).reactions.select("code", "stratum", F.round("value", 6).alias("value"))
+
+
 def _ordered(rows: str, special: str = "2") -> str:
     return f"""
 SELECT code, stratum, value, row_number() OVER (ORDER BY {special}, community DESC, code,

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from abundix.functions import sequences as s
 from abundix.operators.reads import read_counts
+from abundix.session import scratch_path
+from abundix.sources import sequences as sq
 from oracle_queries.registry import LENSES, query
 
 LENSES["reads"] = """
@@ -48,3 +50,15 @@ def reverse_complement(v):
 )
 def counts(v):
     return read_counts(v["documents"], "source", "text").select("source", "reads", "distinct_reads")
+
+
+@query(
+    "write_fasta",
+    "SELECT concat(CAST(doc_id AS VARCHAR), '|', CAST(length(regexp_replace(bases, '\\s', '', 'g')) AS VARCHAR)) AS id, "
+    "regexp_replace(bases, '\\s', '', 'g') AS sequence FROM {genomes}",
+)
+def write_fasta(v):
+    reads = v["genomes"].select(F.col("doc_id").cast("string").alias("header"), F.regexp_replace("bases", r"\s", "").alias("sequence"))
+    path = scratch_path(v.spark, "fasta")
+    sq.write_fasta(reads.withColumn("length", F.length("sequence")), path, length="length")
+    return sq.read_fasta(v.spark, path).select("id", "sequence")

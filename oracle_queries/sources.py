@@ -280,20 +280,20 @@ FROM f CROSS JOIN s LEFT JOIN c ON c.code = f.feature AND c.sample = s.sample
 """,
 )
 def read_metadata_table(v):
-    wide = st.to_wide(v["feature_table"].where("stratum IS NULL"))
-    samples = [c for c in wide.columns if c not in ("code", "name", "stratum")]
-    text = wide.select(
-        F.lit(3).alias("at"),
-        F.concat_ws("\t", "code", *[F.col(f"`{s}`").cast("string") for s in samples]).alias("line"),
+    table = v["feature_table"].where("stratum IS NULL")
+    names = st.sample_row(table)
+    text = st.wide_rows(table, names, digits=None).select(
+        F.lit(3).alias("at"), F.concat_ws("\t", "code", F.array_join("cells", "\t")).alias("line")
     )
-    heads = [
-        (0, "\t".join(["ID", *samples])),
-        (1, "\t".join(["year", *[s[3:7] for s in samples]])),
-        (2, "\t".join(["flag", *[s[:2] for s in samples]])),
-    ]
+    heads = {
+        "ID": F.col("names"),
+        "year": F.transform("names", lambda s: F.substring(s, 4, 4)),
+        "flag": F.transform("names", lambda s: F.substring(s, 1, 2)),
+    }
+    heads = F.array(*[F.concat_ws("\t", F.lit(k), F.array_join(c, "\t")) for k, c in heads.items()])
     # a file for each of the few codes, every one with the lines above
     files = text.withColumn("part", F.pmod(F.hash("line"), F.lit(4)))
-    above = v.spark.createDataFrame(heads, "at int, line string")
+    above = v.spark.range(1).select(names.alias("names")).select(F.posexplode(heads).alias("at", "line"))
     above = above.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(3))))
     path = scratch_path(v.spark, "metadata")
     lines = files.unionByName(above).repartition("part").sortWithinPartitions("part", "at")

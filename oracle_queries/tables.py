@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from abundix.functions import features as ft
 from abundix.functions.statistics import log_transform
 from abundix.operators import ordering as o, tables as t
+from abundix.sources.mappings import pathway_members
 from oracle_queries.registry import LENSES, query
 
 LENSES["feature_ids"] = """
@@ -404,18 +405,20 @@ g AS (SELECT f.code, s.sample, coalesce(c.value, 0) AS value FROM f CROSS JOIN s
 
 LAPLACE = """
 a AS (SELECT sample, min(value) AS alpha FROM {%s} WHERE value > 0 GROUP BY sample),
-v AS (SELECT code, g.sample, value + alpha AS value FROM g JOIN a ON g.sample = a.sample)"""
+v AS (SELECT code, g.sample, value + alpha AS value, value > 0 AS seen, alpha AS absent FROM g JOIN a ON g.sample = a.sample)"""
 WITTEN_BELL = """
 a AS (SELECT sample, sum(value) AS n, count(*) FILTER (WHERE value > 0) AS t, (SELECT count(*) FROM f) AS k
       FROM {%s} GROUP BY sample),
 v AS (SELECT code, g.sample, CASE WHEN value = 0 THEN CASE WHEN k > t THEN n / (n + t) * t / (k - t) ELSE 0 END
-                                  ELSE value * n / (n + t) END AS value
+                                  ELSE value * n / (n + t) END AS value,
+             value > 0 AS seen, CASE WHEN k > t THEN n / (n + t) * t / (k - t) ELSE 0 END AS absent
       FROM g JOIN a ON g.sample = a.sample)"""
 
 
 def _smooth(method, table):
+    """The full grid, with the value that the cells without a value have."""
     body = LAPLACE if method == "laplace" else WITTEN_BELL
-    return f"WITH {_grid(table)}, {body % table} SELECT code, sample, value FROM v"
+    return f"WITH {_grid(table)}, {body % table} SELECT code, sample, value, seen, absent FROM v"
 
 
 def _expression(method):
@@ -427,23 +430,45 @@ def _expression(method):
     rt = totals.format(rna if method == "laplace" else "rna_community")
     dt = totals.format(dna if method == "laplace" else "dna_community")
     return f"""
-SELECT r.code, r.sample, round(r.value / d.value * dt.total / rt.total, 6) AS value
-FROM ({rna}) AS r JOIN ({dna}) AS d ON r.code = d.code AND r.sample = d.sample
-JOIN ({rt}) AS rt ON rt.sample = r.sample JOIN ({dt}) AS dt ON dt.sample = d.sample
+WITH x AS (
+    SELECT r.code, r.sample, r.seen OR d.seen AS seen, r.value / d.value * dt.total / rt.total AS value,
+           r.absent / nullif(d.absent, 0) * dt.total / rt.total AS absent
+    FROM ({rna}) AS r JOIN ({dna}) AS d ON r.code = d.code AND r.sample = d.sample
+    JOIN ({rt}) AS rt ON rt.sample = r.sample JOIN ({dt}) AS dt ON dt.sample = d.sample)
+SELECT code, sample, round(value, 6) AS value FROM x WHERE seen
+UNION ALL SELECT NULL, sample, round(min(absent), 6) FROM x GROUP BY sample
 """
 
 
+def _sparse(filled):
+    """The real cells, and a row without a code for the other cells of each sample."""
+    absent = filled.absent.select(F.lit(None).cast("string").alias("code"), "sample", "value")
+    out = filled.cells.select("code", "sample", "value").unionByName(absent)
+    return out.withColumn("value", F.round("value", 6))
+
+
 def _smoothing_queries(method):
-    @query(f"smooth_{method}", f"SELECT code, sample, round(value, 6) AS value FROM ({_smooth(method, 'rna_community')})")
+    grid = _smooth(method, "rna_community")
+
+    @query(
+        f"smooth_{method}",
+        f"SELECT code, sample, round(value, 6) AS value FROM ({grid}) WHERE seen"
+        f" UNION ALL SELECT NULL, sample, round(min(absent), 6) FROM ({grid}) GROUP BY sample",
+    )
     def smooth(v):
         rna, dna = v["rna_community"], v["dna_community"]
-        out = t.smooth(rna, t.feature_union(rna, dna), method)
+        return _sparse(t.smooth(rna, t.feature_union(rna, dna), method))
+
+    @query(f"smooth_{method}_full", f"SELECT code, sample, round(value, 6) AS value FROM ({grid})")
+    def smooth_full(v):
+        rna, dna = v["rna_community"], v["dna_community"]
+        features = t.feature_union(rna, dna)
+        out = t.fill_cells(t.smooth(rna, features, method), features)
         return out.select("code", "sample", F.round("value", 6).alias("value"))
 
     @query(f"relative_expression_{method}", _expression(method))
     def relative_expression(v):
-        out = t.relative_expression(v["rna_community"], v["dna_community"], method)
-        return out.select("code", "sample", F.round("value", 6).alias("value"))
+        return _sparse(t.relative_expression(v["rna_community"], v["dna_community"], method))
 
 
 for _method in ("laplace", "witten_bell"):
@@ -457,19 +482,20 @@ WITH f AS (SELECT code, stratum FROM {rna} UNION SELECT code, stratum FROM {dna}
 s AS (SELECT DISTINCT sample FROM {rna}),
 ra AS (SELECT sample, min(value) AS alpha FROM {rna} GROUP BY sample),
 da AS (SELECT sample, min(value) AS alpha FROM {dna} GROUP BY sample),
-g AS (SELECT f.code, f.stratum, s.sample, coalesce(r.value, 0) + ra.alpha AS rna, coalesce(d.value, 0) + da.alpha AS dna
+g AS (SELECT f.code, f.stratum, s.sample, coalesce(r.value, 0) + ra.alpha AS rna, coalesce(d.value, 0) + da.alpha AS dna,
+             r.value IS NOT NULL OR d.value IS NOT NULL AS seen
       FROM f CROSS JOIN s
       LEFT JOIN {rna} AS r ON r.code = f.code AND r.stratum = f.stratum AND r.sample = s.sample
       LEFT JOIN {dna} AS d ON d.code = f.code AND d.stratum = f.stratum AND d.sample = s.sample
       JOIN ra ON ra.sample = s.sample JOIN da ON da.sample = s.sample),
 t AS (SELECT sample, sum(dna) / sum(rna) AS scale FROM g GROUP BY sample),
-h AS (SELECT code, stratum, sample, rna, dna FROM g
-      UNION ALL SELECT code, NULL, sample, sum(rna), sum(dna) FROM g GROUP BY code, sample)
+h AS (SELECT code, stratum, sample, rna, dna FROM g WHERE seen
+      UNION ALL SELECT code, NULL, sample, sum(rna), sum(dna) FROM g GROUP BY code, sample HAVING bool_or(seen))
 SELECT code, stratum, h.sample, round(ln(scale * rna / dna) / ln(2), 6) AS value FROM h JOIN t ON h.sample = t.sample
 """,
 )
 def relative_expression_stratified(v):
-    out = t.relative_expression(v["rna"], v["dna"], stratified=True, log=True)
+    out = t.relative_expression(v["rna"], v["dna"], stratified=True, log=True).cells
     return out.select("code", "stratum", "sample", F.round("value", 6).alias("value"))
 
 
@@ -588,6 +614,50 @@ def unpack_pathways_community(v):
     return t.unpack_pathways(pathways, genes, members, ecs, taxonomy=False).select("pathway", "gene", "value")
 
 
+@query(
+    "unpack_pathways_ec",
+    """
+WITH p AS (SELECT bug, pathway, sum(score) AS value FROM {pathway_scores} GROUP BY bug, pathway),
+m AS (SELECT DISTINCT pathway, ec AS gene FROM {pathway_reactions} AS pr JOIN {reaction_genes} AS rg ON rg.reaction = pr.reaction),
+g AS (SELECT o.bug, ec AS gene, sum(score) AS value FROM {organism_genes} AS o
+      JOIN (SELECT DISTINCT gene, ec FROM {reaction_genes}) AS rg ON rg.gene = o.gene GROUP BY o.bug, ec)
+SELECT pathway, NULL AS bug, NULL AS gene, value FROM p WHERE bug = 'all'
+UNION ALL SELECT pathway, bug, NULL, value FROM p WHERE bug <> 'all'
+UNION ALL SELECT p.pathway, p.bug, g.gene, g.value FROM p JOIN m ON p.pathway = m.pathway
+  JOIN g ON g.bug = p.bug AND g.gene = m.gene WHERE p.bug <> 'all'
+""",
+)
+def unpack_pathways_ec(v):
+    """The table holds EC numbers, which are no genes of the map, so the EC members are taken."""
+    pathways = v["pathway_scores"].groupBy("bug", F.col("pathway").alias("feature")).agg(F.sum("score").alias("value"))
+    ecs = v["reaction_genes"].select("gene", "ec").distinct()
+    genes = v["organism_genes"].join(ecs, "gene").groupBy("bug", F.col("ec").alias("feature")).agg(F.sum("score").alias("value"))
+
+    def one_sample(rows):
+        stratum = F.when(F.col("bug") != "all", F.col("bug"))
+        none = F.lit(None).cast("string")
+        return rows.select(F.col("feature").alias("code"), none.alias("name"), stratum.alias("stratum"), F.lit("s").alias("sample"), "value")
+
+    members, ec_members = pathway_members(v["reaction_genes"], v["pathway_reactions"])
+    out = t.unpack_pathways(one_sample(pathways), one_sample(genes), members, ec_members)
+    return out.select("pathway", "bug", "gene", "value")
+
+
+@query(
+    "pathway_members",
+    """
+WITH e AS (SELECT pathway, gene, string_split(concat(ec, ',', '2.', ec), ',') AS ecs FROM {pathway_reactions} AS p
+           JOIN {reaction_genes} AS r ON r.reaction = p.reaction)
+SELECT DISTINCT 'gene' AS kind, pathway, gene FROM e
+UNION ALL SELECT DISTINCT 'ec', pathway, unnest(ecs) FROM e
+""",
+)
+def members(v):
+    reactions = v["reaction_genes"].withColumn("ec", F.concat("ec", F.lit(",2."), "ec"))
+    genes, ecs = pathway_members(reactions, v["pathway_reactions"])
+    return genes.withColumn("kind", F.lit("gene")).unionByName(ecs.withColumn("kind", F.lit("ec")))
+
+
 @query(
     "build_gene_map",
     """

@@ -95,25 +95,28 @@ def test_join_tables(frame):
 def test_witten_bell(frame):
     table = frame([("a", None, None, "s", 6.0), ("b", None, None, "s", 3.0), ("c", None, None, "s", 1.0)], TABLE)
     features = frame([(c, None, None) for c in "abcx"], "code string, name string, stratum string")
-    out = as_dict(t.smooth(table, features, "witten_bell"), "code", "value")
+    sparse = t.smooth(table, features, "witten_bell")
+    assert sparse.cells.count() == 3 and as_dict(sparse.absent, "sample", "value") == pytest.approx({"s": 30 / 13})
+    out = as_dict(t.fill_cells(sparse, features), "code", "value")
     assert out == pytest.approx({"a": 60 / 13, "b": 30 / 13, "c": 10 / 13, "x": 30 / 13})
     assert sum(out.values()) == pytest.approx(10.0)
-    laplace = as_dict(t.smooth(table, features, "laplace"), "code", "value")
+    laplace = as_dict(t.fill_cells(t.smooth(table, features, "laplace"), features), "code", "value")
     assert laplace == {"a": 7.0, "b": 4.0, "c": 2.0, "x": 1.0}
 
 
 @pytest.mark.parametrize("method", ["laplace", "witten_bell"])
 def test_relative_expression_of_equal_tables_is_one(frame, method):
     table = frame([("a", None, "x", "s", 6.0), ("b", None, "y", "s", 3.0), ("a", None, "x", "t", 2.0)], TABLE)
-    out = t.relative_expression(table, table, method, stratified=True).collect()
+    out = t.relative_expression(table, table, method, stratified=True).cells.collect()
     assert {r["code"] for r in out} == {"a", "b"}
     assert all(r["value"] == pytest.approx(1.0) for r in out if method == "laplace" or r["sample"] == "s")
 
 
 def test_all_zero_sample_gives_null_ratios(frame):
     table = frame([("a", None, None, "s", 1.0), ("a", None, None, "z", 0.0)], TABLE)
-    out = as_dict(t.relative_expression(table, table, "laplace"), "sample", "value")
-    assert out == {"s": 1.0, "z": None}
+    out = t.relative_expression(table, table, "laplace")
+    assert as_dict(out.cells, "sample", "value") == {"s": 1.0}
+    assert as_dict(out.absent, "sample", "value") == {"s": 1.0, "z": None}
 
 
 def test_strain_profiles(frame):
