@@ -160,14 +160,18 @@ def _predict(net: Network, tables: list[np.ndarray], text: textbytes.Text) -> tu
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Network | None:
     """Train on a bounded sample of ``docs``, all of whose languages may be learned; None if there is no language."""
     known = docs.where(F.col(lang).isNotNull() & F.rlike(F.col(text), F.lit("\\p{L}")))
-    languages = sorted(r[0] for r in known.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect())
+    sizes = dict(known.groupBy(lang).count().limit(MAX_LANGUAGES + 1).collect())
+    languages = sorted(sizes)
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not languages:
         return None
-    # keeping the first of each language needs one small row per task and language, not the language's rows together
+    # of a large language only ids with a small hash, about four times the sample, come together to be ordered
+    most = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, 4 * sample / sizes[k]))]), F.col("lang"))
+    ids = known.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
+    ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < most * (1 << 32))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang")).withColumn("_n", F.row_number().over(order))
+    ids = ids.withColumn("_n", F.row_number().over(order))
     ids = F.broadcast(ids.where(F.col("_n") <= sample).select(F.col("doc_id").alias("_id")).distinct())
     rows = known.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.join(ids, F.col("doc_id") == F.col("_id"), "left_semi").select("text", "lang")
