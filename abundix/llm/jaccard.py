@@ -141,7 +141,7 @@ def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
                     }
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, print1 long, print2 long")
+    return docs.mapInArrow(textbytes.freeing(run), "doc_id long, n_shingles long, print1 long, print2 long")
 
 
 def _planes(values: np.ndarray, width: int) -> bytes:
@@ -199,7 +199,7 @@ def _routed(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
         if held:
             yield flush(keys, ids, counts)
 
-    return docs.where("doc_id is not null").mapInArrow(run, "bucket int, keys binary, docs binary")
+    return docs.where("doc_id is not null").mapInArrow(textbytes.freeing(run), "bucket int, keys binary, docs binary")
 
 
 def _runs(routed: DataFrame) -> DataFrame:
@@ -220,7 +220,9 @@ def _runs(routed: DataFrame) -> DataFrame:
         wanted[np.unique(name, return_index=True)[1]] = True
         wanted &= size > 1
         rows = np.repeat(wanted, size)
-        return pa.table({"run": pa.array(np.repeat(name, size)[rows].view(np.int64)), "doc": pa.array(doc[rows])})
+        out = pa.table({"run": pa.array(np.repeat(name, size)[rows].view(np.int64)), "doc": pa.array(doc[rows])})
+        textbytes.release()
+        return out
 
     return routed.groupBy("bucket").applyInArrow(find, "run long, doc long")
 
@@ -253,7 +255,7 @@ def _entries(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     words = min(urlfilter.bloom_words(ids.count()), urlfilter.MAX_WORDS)
     maybe = cut_lineage(urlfilter.bloom_filter(ids.withColumnRenamed("doc_id", "key"), 0, words))
     rows = docs.where(urlfilter.bloom_passes(F.col("doc_id"), 0, maybe, words)).join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    return rows.mapInArrow(run, "doc long, n long, bitmap binary, shingles binary")
+    return rows.mapInArrow(textbytes.freeing(run), "doc long, n long, bitmap binary, shingles binary")
 
 
 def possible(rule: Rule, n1: np.ndarray, n2: np.ndarray, least1: np.ndarray, least2: np.ndarray, shared: np.ndarray, loss: np.ndarray) -> np.ndarray:
@@ -370,9 +372,9 @@ def _linked(pairs: DataFrame, entries: DataFrame, rule: Rule) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     light = pairs.join(side("a", "n", "bitmap"), "a").join(side("b", "n", "bitmap"), "b")
-    left = light.select("a", "b", "n_a", "bitmap_a", "n_b", "bitmap_b").mapInArrow(likely, "a long, b long")
+    left = light.select("a", "b", "n_a", "bitmap_a", "n_b", "bitmap_b").mapInArrow(textbytes.freeing(likely), "a long, b long")
     full = cut_lineage(left).join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
-    return full.select("a", "b", "shingles_a", "shingles_b").mapInArrow(counted, "a long, b long").distinct()
+    return full.select("a", "b", "shingles_a", "shingles_b").mapInArrow(textbytes.freeing(counted), "a long, b long").distinct()
 
 
 def _ordered(a: str, b: str) -> list:

@@ -191,7 +191,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
                     }
                 )
 
-    got = rows.mapInArrow(views, "lang string, window binary").toPandas().sort_values(["lang", "window"])
+    got = rows.mapInArrow(textbytes.freeing(views), "lang string, window binary").toPandas().sort_values(["lang", "window"])
     windows = np.frombuffer(b"".join(got["window"]), dtype=np.uint8).reshape(-1, WINDOW)
     labels = np.searchsorted(np.array(languages, dtype=object), got["lang"].to_numpy(dtype=object))
     return train(windows, labels, languages)

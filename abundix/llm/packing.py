@@ -311,4 +311,4 @@ def pack_documents(
         if packer.held:
             yield packer.pack()
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, _SCHEMA)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(textbytes.freeing(run), _SCHEMA)

@@ -8,7 +8,8 @@ memory for texts of any length.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -20,7 +21,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 PLAIN = np.arange(256, dtype=np.uint8)
 
-_STRETCH = 1 << 20
+_STRETCH = 1 << 18
 _STEP = 0x9E3779B97F4A7C15
 _BASE = 0xD1342543DE82EF95
 
@@ -44,7 +45,7 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n + 1:
-            size = 1 << n.bit_length()
+            size = max(n, _STRETCH)
             for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
                 steps = np.full(size + 1, base, dtype=np.uint64)
                 steps[0] = 1
@@ -74,7 +75,7 @@ class Words(NamedTuple):
     heads: tuple[np.ndarray, ...] = ()
 
 
-def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[Text]:
+def slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[Text]:
     """Consecutive rows with about ``limit`` bytes of text; a longer text comes alone.  Null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -93,8 +94,29 @@ def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[Text]:
         first = last
 
 
+def freeing(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on the batches of a task, after which the worker gives its memory back: idle workers stay."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
+def release() -> None:
+    """Give freed memory back to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def _stretches(space: np.ndarray, breaks: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Parts of about a megabyte; none ends inside a word."""
+    """Parts of about ``_STRETCH`` bytes; none ends inside a word."""
     n, low = len(space), 0
     while low < n:
         high = min(n, low + _STRETCH)

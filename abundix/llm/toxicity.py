@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 )
 
     rows = cut_lineage(rows.select("text", "_toxic"))
-    counts = rows.mapInArrow(counted, "feature long, hit long, miss long").groupBy("feature").agg(F.sum("hit").alias("hit"), F.sum("miss").alias("miss"))
+    counts = rows.mapInArrow(textbytes.freeing(counted), "feature long, hit long, miss long").groupBy("feature").agg(F.sum("hit").alias("hit"), F.sum("miss").alias("miss"))
     counts = counts.toPandas().set_index("feature").reindex(range(-1, 1 << BITS), fill_value=0)  # as many rows as the table
     hit, miss = counts["hit"].to_numpy(dtype=float), counts["miss"].to_numpy(dtype=float)
     if not (hit[0] and miss[0]):
@@ -191,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                     }
                 )
 
-    got = rows.mapInArrow(run, "toxic int, sentences long, sentence binary, features binary").toPandas()
+    got = rows.mapInArrow(textbytes.freeing(run), "toxic int, sentences long, sentence binary, features binary").toPandas()
     toxic = (got["toxic"].to_numpy(dtype=np.int64) == 1).astype(np.int64)
     starts = np.concatenate([[0], np.cumsum(got["sentences"].to_numpy())])
     sentence = np.concatenate([np.frombuffer(b, "<i4") + a for b, a in zip(got["sentence"], starts[:-1])])
@@ -240,6 +240,7 @@ def scorer(spark, model: Model):
     def score(texts: pa.Array) -> pa.Array:
         parts = [_scored(shared.value, part) for part in textbytes.slices(texts)]
         columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0), *[np.zeros(0, dtype=np.int64)] * 3, np.zeros(0)]
+        textbytes.release()
         return pa.StructArray.from_arrays([pa.array(c) for c in columns], names)
 
     return score
