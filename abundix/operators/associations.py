@@ -7,7 +7,7 @@ distinct values, so nothing is collected per feature.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abundix.functions.features import OTHER
 from abundix.functions.statistics import chi2_sf, spearman_p
@@ -142,13 +142,26 @@ def level_means(table: DataFrame, metadata: DataFrame, feature: str = "feature")
 
 
 def bh_qvalues(stats: DataFrame, p: str = "p_value", name: str = "feature") -> DataFrame:
-    """Benjamini-Hochberg ``q_value``: p * n / rank, then the running minimum from the largest p."""
-    tests = stats.where(F.col(p).isNotNull())
-    total = tests.agg(F.count(F.lit(1))).scalar()
-    ranked = ordered_prefix(tests, [], [F.col(p).asc(), F.col(name).asc()], F.lit(1).cast("long"), "sum", "_before")
-    scaled = ranked.withColumn("_scaled", F.col(p) * total / (F.col("_before") + 1))
-    order = [F.col("_before").desc()]
-    return ordered_prefix(scaled, [], order, "_scaled", "min", "q_value", inclusive=True).drop("_before", "_scaled")
+    """Benjamini-Hochberg ``q_value``: p * n / rank, then the running minimum from the largest p.
+
+    The tests are sorted and written once.  A rank is a partition's offset and the place in it; the minimum
+    over what follows is one of the own partition and one over the later ones, of which there is a row each.
+    """
+    tests = stats.where(F.col(p).isNotNull()).orderBy(F.col(p).asc(), F.col(name).asc())
+    rows = cut_lineage(
+        tests.withColumn("_part", F.spark_partition_id()).withColumn("_line", F.monotonically_increasing_id())
+    )
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_line").alias("_first"))
+    parts = parts.withColumn("_rank", F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first") + 1)
+    scaled = rows.join(parts.select("_part", "_rank"), "_part")
+    scaled = scaled.withColumn("_scaled", F.col(p) * total / (F.col("_rank") + F.col("_line")))
+    later = Window.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    lowest = scaled.groupBy("_part").agg(F.min("_scaled").alias("_low")).withColumn("_later", F.min("_low").over(later))
+    inside = Window.partitionBy("_part").orderBy(F.col("_line").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = scaled.withColumn("_own", F.min("_scaled").over(inside)).join(lowest.select("_part", "_later"), "_part")
+    return out.withColumn("q_value", F.least("_own", "_later")).select(*stats.columns, "q_value")
 
 
 def fdr_select(stats: DataFrame, fdr: float = 0.2, q: str = "q_value", name: str = "feature") -> DataFrame:
