@@ -8,6 +8,9 @@ strata and rules (Bonferroni), and the risk by the number of rules, so with prob
 ``confidence`` no stratum loses more than ``risk`` of its good documents.  Of the allowed cutoffs
 the strictest is taken; a stratum with too few labels gets no rule at all.
 
+``joint_thresholds`` spends the same risk on the rules together and needs far fewer labels; callers choose
+it with ``quality_verdicts(..., choose=joint_thresholds)``.  Its cutoffs differ from those of ``thresholds``.
+
 The bound needs no search: the upper bound of k rejections among n is below the risk r exactly when
 P(Binomial(n, r) <= k) is at most the error allowed.
 
@@ -21,7 +24,7 @@ more than once counts as good if every label says so.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -151,6 +154,11 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.exp(at) * (1 + F.when(terms > 0, below).otherwise(0.0))
 
 
+def _good_marks(labels: DataFrame, label_id: str, good: str) -> DataFrame:
+    marks = labels.where(F.col(good).isNotNull()).groupBy(F.col(label_id).alias("doc_id")).agg(F.min(good).alias("_good"))
+    return marks.where("_good = 1").select("doc_id")
+
+
 def thresholds(
     features: DataFrame,
     labels: DataFrame,
@@ -161,9 +169,7 @@ def thresholds(
     confidence: float = 0.95,
 ) -> DataFrame:
     """Per stratum the cutoff of each rule (null: no cutoff is safe)."""
-    marks = labels.where(F.col(good).isNotNull()).groupBy(F.col(label_id).alias("doc_id")).agg(F.min(good).alias("_good"))
-    marks = marks.where("_good = 1").select("doc_id")
-    held = features.where("not base_failed").join(marks, "doc_id")
+    held = features.where("not base_failed").join(_good_marks(labels, label_id, good), "doc_id")
     tries = [(rule, cut) for rule, ladder in ladders.items() for cut in ladder]
     counted = held.groupBy("stratum").agg(
         F.count(F.lit(1)).alias("n"),
@@ -185,6 +191,72 @@ def thresholds(
     return out.select("stratum", F.col("n").alias("n_good"), *picked)
 
 
+def joint_steps(ladders: Mapping[str, Sequence[int]]) -> list[tuple[str, int]]:
+    """The order in which a rule set grows: the loosest cutoff of every rule, then the next stricter of every rule, and so on."""
+    loosest_first = {rule: list(reversed(ladder)) for rule, ladder in ladders.items()}
+    longest = max(map(len, ladders.values()), default=0)
+    return [(rule, ladder[i]) for i in range(longest) for rule, ladder in loosest_first.items() if i < len(ladder)]
+
+
+def joint_thresholds(
+    features: DataFrame,
+    labels: DataFrame,
+    label_id: str = "doc_id",
+    good: str = "quality",
+    ladders: Mapping[str, Sequence[int]] = LADDERS,
+    risk: float = RISK,
+    confidence: float = 0.95,
+) -> DataFrame:
+    """Per stratum the cutoff of each rule, with the whole risk spent on the rules together.
+
+    The rule set grows in the order of ``joint_steps``, and what it rejects altogether is tested until a
+    set fails.  The order is fixed before the labels are seen, so every set is tested with the stratum's
+    whole share of the error; the shares are equal parts over the strata with labels and their pool.
+
+    A stratum in which no set could pass even without a false rejection takes the sets that pass on the
+    labels of all strata together (``pooled``), as long as its own labels lose no more than ``risk``.
+    For such a stratum the bound holds on the pool, not on its own documents.
+    """
+    steps = joint_steps(ladders)
+    marks = _good_marks(labels, label_id, good).withColumn("_held", F.lit(True))
+    held = F.col("_held") & ~F.col("base_failed")
+    failing, grown = F.lit(False), []
+    for i, (rule, cut) in enumerate(steps):
+        failing = failing | (F.col(rule) > cut)
+        grown.append(F.count(F.when(held & failing, 1)).alias(f"k{i}"))
+    counted = features.join(marks, "doc_id", "left").groupBy("stratum").agg(F.count(F.when(held, 1)).alias("n"), *grown)
+    counted = cut_lineage(counted)  # a row per stratum
+    tested = counted.agg((F.count(F.when(F.col("n") > 0, 1)) + 1).cast("double")).scalar()
+    error = F.lit(1 - confidence) / tested
+
+    def passed(safe: list[Column]) -> Column:
+        """How many sets pass before the first that fails."""
+        return (F.array_position(F.array(*safe, F.lit(False)), F.lit(False)) - 1).cast("int")
+
+    def lost_little(i: int) -> Column:
+        return F.col(f"k{i}") <= F.col("n") * risk
+
+    def safe(i: int) -> Column:
+        # without labels nothing is safe
+        return F.when((F.col("n") > 0) & lost_little(i), binomial_tail(F.col("n"), F.col(f"k{i}"), risk) <= F.col("_error")).otherwise(False)
+
+    numbers = range(len(steps))
+    total = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", *[f"k{i}" for i in numbers])])
+    pool = cut_lineage(total.withColumn("_error", error).select(passed([safe(i) for i in numbers]).alias("passed"))).scalar()
+    out = counted.withColumn("_error", error).withColumn("pooled", F.col("n") * F.log1p(F.lit(-risk)) > F.log("_error"))
+    own = passed([safe(i) for i in numbers])
+    lent = F.least(pool, passed([lost_little(i) for i in numbers]))
+    out = out.withColumn("_passed", F.when(F.col("pooled"), lent).otherwise(own))
+    picked = []
+    for rule in ladders:
+        best = F.lit(None).cast("long")
+        for i, (name, cut) in enumerate(steps):
+            if name == rule:
+                best = F.when(F.col("_passed") > i, F.lit(cut).cast("long")).otherwise(best)
+        picked.append(best.alias(f"max_{rule}"))
+    return out.select("stratum", F.col("n").alias("n_good"), "pooled", *picked)
+
+
 def quality_verdicts(
     docs: DataFrame,
     labels: DataFrame,
@@ -192,11 +264,15 @@ def quality_verdicts(
     text: str = "text",
     stratum: str = "lang",
     ladders: Mapping[str, Sequence[int]] = LADDERS,
+    choose: Callable[..., DataFrame] = thresholds,
     **options,
 ) -> DataFrame:
-    """Counts, ``base_failed``, the rules that reject (``rejected_by``) and ``kept``, per row of ``docs``."""
+    """Counts, ``base_failed``, the rules that reject (``rejected_by``) and ``kept``, per row of ``docs``.
+
+    ``choose`` gives the cutoffs: ``thresholds``, or ``joint_thresholds``.
+    """
     features = cut_lineage(quality_features(docs, doc_id, text, stratum))
-    cutoffs = cut_lineage(thresholds(features, labels, ladders=ladders, **options))
+    cutoffs = cut_lineage(choose(features, labels, ladders=ladders, **options))
     judged = join_on(features, cutoffs, ["stratum"], "left", null_safe=True)
     hits = [F.when(F.col(rule) > F.col(f"max_{rule}"), F.lit(rule)) for rule in ladders]
     judged = judged.withColumn("rejected_by", F.array_compact(F.array(*hits)))

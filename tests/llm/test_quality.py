@@ -57,6 +57,43 @@ def test_thresholds_follow_labels(spark):
     assert got == {"big": 1000, "small": None}
 
 
+def test_joint_bound_needs_fewer_labels(spark):
+    """Strata of some hundred labels get cutoffs; where the labels lose documents, or there are too few anywhere, none."""
+    order = q.joint_steps(q.LADDERS)
+    assert order[:6] == [("symbols", 2000), ("capitals", 5000), ("exclaims", 1000), ("word_length", 1200), ("repeats", 3000), ("symbols", 1000)]
+    assert sorted(order) == sorted((rule, cut) for rule, ladder in q.LADDERS.items() for cut in ladder)
+    sizes = {"de": 300, "es": 240, "noisy": 300, "tiny": 20, "torn": 20}
+    rows = [(s, i, 1, 0) for s, n in sizes.items() for i in range(n)] + [(s, 1000 + i, 0, 9000) for s in ("de", "es", "tiny", "new") for i in range(9)]
+    rows = [(s, i, g, 9000 if (s, i % 10, g) in (("noisy", 0, 1), ("torn", 0, 1)) else v) for s, i, g, v in rows]
+    table = spark.createDataFrame([(f"{s}{i}", s, g, v) for s, i, g, v in rows], "doc_id string, stratum string, quality int, symbols long")
+    table = table.select("*", F.lit(False).alias("base_failed"), *[F.lit(0).cast("long").alias(r) for r in q.LADDERS if r != "symbols"])
+    features, labels = table.drop("quality"), table.where("stratum <> 'new'").select("doc_id", "quality")
+
+    def cutoffs(choose, frame):
+        return {r.stratum: r.max_symbols for r in choose(frame, labels).collect()}
+
+    assert set(cutoffs(q.thresholds, features).values()) == {None}
+    got = {r.stratum: (r.n_good, r.pooled, r.max_symbols) for r in q.joint_thresholds(features, labels).collect()}
+    assert (got["de"], got["es"], got["noisy"]) == ((300, False, 200), (240, False, 200), (300, False, None))
+    assert all(got[s] == (sizes.get(s, 0), True, None) for s in ("tiny", "torn", "new"))  # the pool loses more than the risk
+    calm = cutoffs(q.joint_thresholds, features.where("stratum not in ('noisy', 'torn')"))
+    assert calm == {"de": 200, "es": 200, "tiny": 200, "new": 200}
+    calm = cutoffs(q.joint_thresholds, features.where("stratum <> 'noisy'"))
+    assert calm["de"] == 200 and calm["torn"] is None
+    assert cutoffs(q.joint_thresholds, features.where("stratum in ('tiny', 'new')")) == {"tiny": None, "new": None}
+
+
+def test_joint_verdicts(documents, spark):
+    rows = [(i, prose(80, i), "en", "a") for i in range(250)] + [(1000 + i, prose(80, i).replace(" ", " ## "), "en", "a") for i in range(5)]
+    labels = spark.createDataFrame([(r[0], int(r[0] < 1000)) for r in rows], "doc_id long, quality int")
+    ladders = {"symbols": (500, 1000), "exclaims": (300,), "capitals": (3000,)}
+    out = q.quality_verdicts(documents(rows), labels, ladders=ladders, choose=q.joint_thresholds).collect()
+    assert all(r.kept == (r.doc_id < 1000) for r in out)
+    assert all(r.kept for r in q.quality_verdicts(documents(rows), labels, ladders=ladders).collect())
+    empty = documents(rows).where("doc_id < 0")
+    assert q.quality_verdicts(empty, labels, choose=q.joint_thresholds).collect() == []
+
+
 def test_rejects_and_keeps(documents, spark):
     rows = [(i, prose(80, i), "en", "a") for i in range(40)] + [(1000 + i, prose(80, i).replace(" ", " ## "), "en", "a") for i in range(5)]
     features = [(i, 1) for i in range(40)] + [(i, 0) for i in range(1000, 1005)] + [(None, 1), (5, 1), (77777, 1), (6, None)]
