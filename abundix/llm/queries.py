@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from abundix.llm import exact_dedup, jaccard, langid, licenses, mixing, packing, quality, sharding, text_conf, toxicity, urlfilter
+from abundix.llm import bpe, exact_dedup, jaccard, langid, licenses, mixing, packing, quality, sharding, text_conf, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # Production parameters.
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = (
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
@@ -23,10 +24,10 @@ URL_RULES = (
 TRACKED = "utm_source="
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path(TOKENIZER))
+    return str(public_tokenizers.path(name))
 
 
 def _query(name: str, sql: str | None = None):
@@ -257,3 +258,15 @@ def _shard_sql() -> str:
 @_query("op10_sharding", _shard_sql())
 def sharding_query(table):
     return sharding.place(table("documents").select("doc_id"))
+
+
+@_query("op13_bpe_codec")
+def bpe_codec(table):
+    path = tokenizer_path(BYTE_TOKENIZER)
+    encoded = bpe.encode_documents(table("documents"), path)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoder(path)(F.col("ids")), 256).alias("decoded_sha256"),
+    )
