@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from abundix.llm import bpe, exact_dedup, jaccard, langid, licenses, mixing, packing, quality, sharding, text_conf, toxicity, urlfilter
+from abundix.llm import bpe, conversations, exact_dedup, jaccard, langid, licenses, mixing, packing, quality, sharding, text_conf, toxicity, urlfilter, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -260,6 +260,17 @@ def sharding_query(table):
     return sharding.place(table("documents").select("doc_id"))
 
 
+@_query("op11_conversation_repair")
+def conversation_repair(table):
+    return conversations.summarise(conversations.repair(conversations.damage(table("conversations"))))
+
+
+@_query("op12_embedding_whitening")
+def embedding_whitening(table):
+    embeddings = table("embeddings")
+    return whitening.whiten(embeddings, whitening.fit(embeddings))
+
+
 @_query("op13_bpe_codec")
 def bpe_codec(table):
     path = tokenizer_path(BYTE_TOKENIZER)
