@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from abundix.functions.features import ALL
 from abundix.functions.statistics import chi2_cdf
+from abundix.operators import cover
 from abundix.operators.scaling import exact_median, join_on, sorted_position
 from abundix.session import cut_lineage
 
@@ -122,111 +123,88 @@ def key_reactions(pathway_nodes: DataFrame) -> DataFrame:
     return pathway_nodes.where(F.col("is_key") & F.col("reaction").isNotNull()).select("pathway", "reaction")
 
 
+_MEMBER = "struct<required:boolean,value:double>"
+
+
+def _programs(pathway_nodes: DataFrame) -> DataFrame:
+    """One row per pathway: its nodes as the steps of a stack machine.
+
+    ``node_id`` numbers a pathway's nodes in the order of its text, so from the last to the first every
+    list comes after all its members: a reaction pushes a value, a list takes as many values off the
+    stack as it has members and pushes its own.
+    """
+    keys = key_reactions(pathway_nodes).distinct().withColumn("_key", F.lit(True))
+    members = pathway_nodes.where(F.col("parent_id").isNotNull()).groupBy("pathway", F.col("parent_id").alias("node_id"))
+    nodes = pathway_nodes.join(members.agg(F.count(F.lit(1)).cast("int").alias("_members")), ["pathway", "node_id"], "left")
+    nodes = nodes.join(keys, ["pathway", "reaction"], "left")
+    step = F.struct(
+        (-F.col("node_id")).alias("place"),
+        "reaction",
+        F.coalesce("_key", F.lit(False)).alias("required"),
+        (F.col("join") == OR).alias("any"),
+        F.coalesce("_members", F.lit(0)).alias("members"),
+    )
+    return nodes.groupBy("pathway").agg(F.array_sort(F.collect_list(step)).alias("_program"))
+
+
+def _list_value(members: Column, any_of: Column) -> Column:
+    """OR: the largest member.  AND: harmonic mean of the required ones and of the optional ones above their mean."""
+    zero = F.lit(0.0)
+
+    def mean(n: Column, inverse: Column) -> Column:
+        return F.when(n > 0, n / inverse).otherwise(zero)
+
+    def inverse_sum(values: Column) -> Column:
+        return F.aggregate(values, zero, lambda total, m: total + 1.0 / m["value"])
+
+    required = F.filter(members, lambda m: m["required"])
+    blocked = F.exists(required, lambda m: m["value"] <= 0)
+    # a struct of one value keeps a result from being worked out again wherever it is used
+    first = F.transform(F.array(required), lambda r: F.struct(F.size(r).alias("n"), inverse_sum(r).alias("inverse")))
+    folded = F.transform(
+        first,
+        lambda f: F.aggregate(
+            F.filter(members, lambda m: ~m["required"] & (m["value"] > mean(f["n"], f["inverse"]))),
+            F.struct(f["n"].alias("n"), f["inverse"].alias("inverse")),
+            lambda total, m: F.struct((total["n"] + 1).alias("n"), (total["inverse"] + 1.0 / m["value"]).alias("inverse")),
+            lambda total: mean(total["n"], total["inverse"]),
+        ),
+    )
+    largest = F.coalesce(F.array_max(F.transform(members, lambda m: m["value"])), zero)
+    return F.when(any_of, largest).when(blocked, zero).otherwise(F.get(folded, F.lit(0)))
+
+
 def structured_pathway_score(
     scores: DataFrame, pathway_nodes: DataFrame, by: By = (), medians: DataFrame | None = None
 ) -> DataFrame:
-    """Evaluate every pathway's AND/OR tree for every organism, one aggregation per level.
+    """Evaluate every pathway's AND/OR tree for every organism, in one aggregation whatever the depth.
 
     OR takes the largest member.  AND takes the harmonic mean of the required members,
     then folds in the optional members above it.  A reaction that is a key entry anywhere
     in its pathway is required everywhere.  With ``medians(bug, median)`` the leaf values
     are first turned into chi-square probabilities (coverage).
+
+    The scores of a pathway's reactions, few however many rows there are, become one map per organism and
+    pathway, over which the pathway's nodes run as a program.
     """
     group = [*by, "bug", "pathway"]
-    reactions = pathway_nodes.where(F.col("reaction").isNotNull())
-    inner = pathway_nodes.where(F.col("reaction").isNull())
-    joins = inner.select("pathway", F.col("node_id").alias("parent_id"), F.col("join").alias("_join"))
-    keys = key_reactions(pathway_nodes).distinct().withColumn("_key", F.lit(True))
-    empty = inner.join(
-        pathway_nodes.select("pathway", F.col("parent_id").alias("node_id")), ["pathway", "node_id"], "left_anti"
-    )
-    # the leaves of the trees: reactions, and lists without members (required, value 0)
-    leaves = (
-        reactions.join(keys, ["pathway", "reaction"], "left")
-        .unionByName(empty.withColumn("_key", F.lit(True)))
-        .select("pathway", "parent_id", "depth", "reaction", F.coalesce("_key", F.lit(False)).alias("_required"))
-        .join(joins, ["pathway", "parent_id"], "left")
-    )
-    # one row per tree level of the pathway definitions
-    levels = {
-        row["depth"]: row["optional"]
-        for row in leaves.groupBy("depth").agg(F.max(~F.col("_required")).alias("optional")).collect()
-    }
-
-    present = scores.select(*group).distinct()
-    valued = (
-        present.join(leaves, "pathway")
-        .join(scores.select(*group, "reaction", "score"), [*group, "reaction"], "left")
-        .withColumn("_value", F.coalesce("score", F.lit(0.0)))
-    )
+    listed = pathway_nodes.where(F.col("reaction").isNotNull()).select("pathway", "reaction").distinct()
+    valued = scores.select(*group, "reaction", "score").join(listed.withColumn("_listed", F.lit(True)), ["pathway", "reaction"], "left")
     if medians is not None:
-        valued = valued.join(medians, [*by, "bug"], "left").withColumn(
-            "_value",
-            F.when(F.col("reaction").isNull(), F.lit(0.0)).otherwise(chi2_cdf("_value", "median")),
-        )
-    member = [*group, "parent_id", "_join", "depth", "_required", "_value"]
-    valued = valued.select(*member)
-    deepest = max(levels, default=0)
-    if deepest > 1:
-        valued = cut_lineage(valued)
-
-    above = pathway_nodes.where(F.col("reaction").isNull()).select(
-        "pathway", F.col("node_id").alias("_node"), F.col("parent_id").alias("_parent"), F.col("depth").alias("_depth")
-    ).join(joins.select("pathway", F.col("parent_id").alias("_parent"), F.col("_join").alias("_parent_join")),
-           ["pathway", "_parent"], "left")
-
-    solved = None
-    for depth in range(deepest, 0, -1):
-        members = valued.where(F.col("depth") == depth)
-        if solved is not None:
-            members = members.unionByName(
-                solved.withColumnRenamed("parent_id", "_node")
-                .join(above, ["pathway", "_node"])
-                .select(
-                    *group,
-                    F.col("_parent").alias("parent_id"),
-                    F.col("_parent_join").alias("_join"),
-                    F.col("_depth").alias("depth"),
-                    F.lit(True).alias("_required"),
-                    "_value",
-                )
-            )
-        solved = _solve_level(members, [*group, "parent_id"], levels.get(depth, False))
-    if solved is None:
-        return present.withColumn("score", F.lit(0.0))
-    return solved.select(*group, F.col("_value").alias("score"))
-
-
-def _solve_level(members: DataFrame, node: Sequence[str], has_optional: bool) -> DataFrame:
-    required = F.when(F.col("_required"), F.col("_value"))
-    inverse = F.sum(F.when(F.col("_required") & (F.col("_value") > 0), 1.0 / F.col("_value")))
-    first = members.groupBy(*node).agg(
-        F.first("_join").alias("_join"),
-        F.max("_value").alias("_largest"),
-        F.count(required).alias("_n"),
-        F.min(required).alias("_low"),
-        F.coalesce(inverse, F.lit(0.0)).alias("_inverse"),
-    )
-    mean = F.when((F.col("_n") > 0) & (F.col("_low") > 0), F.col("_n") / F.col("_inverse")).otherwise(F.lit(0.0))
-    first = first.withColumn("_mean", mean)
-    if has_optional:
-        extra = (
-            members.where(~F.col("_required"))
-            .select(*node, F.col("_value"))
-            .join(first.select(*node, "_mean"), list(node))
-            .where(F.col("_value") > F.col("_mean"))
-            .groupBy(*node)
-            .agg(F.count(F.lit(1)).alias("_more"), F.sum(1.0 / F.col("_value")).alias("_more_inverse"))
-        )
-        first = first.join(extra, list(node), "left")
-        blocked = (F.col("_n") > 0) & (F.col("_low") <= 0)
-        folded = (F.col("_n") + F.col("_more")) / (F.col("_inverse") + F.col("_more_inverse"))
-        first = first.withColumn(
-            "_mean",
-            F.when(F.col("_more").isNull(), F.col("_mean")).when(blocked, F.lit(0.0)).otherwise(folded),
-        )
-    value = F.when(F.col("_join") == OR, F.col("_largest")).otherwise(F.col("_mean"))
-    return first.select(*node, value.alias("_value"))
+        valued = valued.join(medians, [*by, "bug"], "left").withColumn("score", chi2_cdf("score", "median"))
+    entry = F.when(F.col("_listed"), F.struct("reaction", "score"))
+    found = valued.groupBy(*group).agg(F.map_from_entries(F.collect_list(entry)).alias("_scores"))
+
+    def run(stack: Column, step: Column) -> Column:
+        size = F.size(stack) - step["members"]
+        leaf = F.struct(step["required"].alias("required"), F.coalesce(F.try_element_at("_scores", step["reaction"]), F.lit(0.0)).alias("value"))
+        members = F.slice(stack, size + 1, step["members"])
+        node = F.struct(F.lit(True).alias("required"), _list_value(members, step["any"]).alias("value"))
+        pushed = F.when(step["reaction"].isNotNull(), leaf.cast(_MEMBER)).otherwise(node.cast(_MEMBER))
+        return F.concat(F.slice(stack, F.lit(1), size), F.array(pushed))
+
+    root = F.aggregate("_program", F.array().cast(f"array<{_MEMBER}>"), run)
+    return found.join(_programs(pathway_nodes), "pathway").select(*group, F.get(root, F.lit(0))["value"].alias("score"))
 
 
 def flat_pathway_abundance(scores: DataFrame, pathway_reactions: DataFrame, by: By = ()) -> DataFrame:
@@ -356,45 +334,29 @@ def unmapped_unintegrated(
 
 
 def parsimonious_pathways(scores: DataFrame, pathway_reactions: DataFrame, by: By = ()) -> DataFrame:
-    """A small set of pathways per organism that covers all its reactions (greedy cover).
-
-    Pathways that are the only owner of an observed reaction are taken first, then
-    repeatedly the pathway with the most uncovered reactions (ties by name).  A pathway
-    that beats every other pathway sharing an uncovered reaction with it is what the
-    one-at-a-time greedy order takes before any of them, so all such local winners of
-    all organisms are taken in the same round.  The result is deterministic and may be
-    larger than the smallest cover.
+    """The smallest set of pathways per organism that covers all its reactions.
+
+    Of several smallest sets the one whose pathways come first by number of observed reactions, then
+    name.  See :func:`pathway_cover` for the search and its limit.
     """
-    keys = [*by, "bug"]
-    group = [*keys, "pathway"]
-    members = pathway_reactions.select("pathway", "reaction").distinct()
-    edges = cut_lineage(scores.select(*keys, "reaction").distinct().join(members, "reaction"))
-
-    def uncovered(remaining: DataFrame, chosen: DataFrame) -> DataFrame:
-        covered = remaining.join(chosen, group, "left_semi").select(*keys, "reaction").distinct()
-        return cut_lineage(remaining.join(covered, [*keys, "reaction"], "left_anti"))
-
-    owners = edges.groupBy(*keys, "reaction").agg(F.count(F.lit(1)).alias("_owners"), F.first("pathway").alias("pathway"))
-    chosen = owners.where(F.col("_owners") == 1).select(*group).distinct()
-    rounds = [cut_lineage(chosen)]
-    edges = uncovered(edges, rounds[-1])
-    while not edges.isEmpty():
-        sizes = edges.groupBy(*group).agg(F.count(F.lit(1)).alias("_count"))
-        sized = edges.join(sizes, group)
-        # the preferred owner of a reaction: largest count, then the first name
-        best = sized.groupBy(*keys, "reaction").agg(
-            F.min(F.struct((-F.col("_count")).alias("_less"), F.col("pathway"))).alias("_best")
-        )
-        wins = best.select(*keys, F.col("_best.pathway").alias("pathway")).groupBy(*group).agg(
-            F.count(F.lit(1)).alias("_wins")
-        )
-        winners = sizes.join(wins, group).where(F.col("_wins") == F.col("_count")).select(*group)
-        rounds.append(cut_lineage(winners))
-        edges = uncovered(edges, rounds[-1])
-    result = rounds[0]
-    for more in rounds[1:]:
-        result = result.unionByName(more)
-    return result
+    return pathway_cover(scores, pathway_reactions, by).drop("proven")
+
+
+def pathway_cover(scores: DataFrame, pathway_reactions: DataFrame, by: By = (), limit: int = cover.SEARCH_LIMIT) -> DataFrame:
+    """Smallest covers with ``proven``: whether the search of the organism ended within ``limit``.
+
+    Reactions with one owner, reactions and pathways that others stand for are settled first; what is left
+    falls into components, which are searched by branch and bound.  An unproven cover is never larger
+    than the greedy one.
+    """
+    return cover.organism_covers(scores, pathway_reactions, [*by, "bug"], lambda masks: cover.smallest(masks, limit))
+
+
+def greedy_pathways(scores: DataFrame, pathway_reactions: DataFrame, by: By = ()) -> DataFrame:
+    """A cover per organism without search: sole owners of a reaction, then always the pathway with the most
+    uncovered reactions, ties by the number of observed reactions, then by name."""
+    chosen = cover.organism_covers(scores, pathway_reactions, [*by, "bug"], lambda masks: (cover.greedy(masks), False))
+    return chosen.drop("proven")
 
 
 def well_supported_pathways(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from abundix.functions.statistics import chi2_cdf
 from abundix.operators import pathways as pw
+from abundix.operators.scaling import with_group_totals
 from abundix.sources.mappings import is_optional, pathway_nodes
 from oracle_queries.registry import LENSES, query
 
@@ -283,8 +284,36 @@ def unmapped_unintegrated(v):
 
 
 def cover_sql(observed: str, members: str) -> str:
-    """Tables up to ``cover(bug, pathway)``: sole owners first, then one pathway at a time, the one with the most
-    uncovered reactions, by name among equals.  An organism's pathways and open reactions are lists in one row.
+    """Tables up to ``cover(bug, pathway)``: the smallest cover, of several the one whose pathways come first by
+    number of observed reactions, then name.
+
+    Covers grow by one pathway a round, always by an owner of the open reaction with the fewest owners, until a
+    round completes one.  Of covers that leave the same reactions open only the first is kept.
+    """
+    return f"""
+cv_edges AS MATERIALIZED (SELECT DISTINCT o.bug, p.pathway, o.reaction FROM {observed} AS o JOIN {members} AS p ON p.reaction = o.reaction),
+cv_rank AS (SELECT bug, pathway, row_number() OVER (PARTITION BY bug ORDER BY count(*) DESC, pathway) AS rank FROM cv_edges GROUP BY bug, pathway),
+cv_place AS (SELECT bug, reaction, row_number() OVER (PARTITION BY bug ORDER BY count(*), reaction) - 1 AS place, count(*) OVER (PARTITION BY bug) AS size
+             FROM cv_edges GROUP BY bug, reaction),
+cv_marked AS MATERIALIZED (SELECT e.bug, e.pathway, rank, place, size FROM cv_edges AS e JOIN cv_rank AS k ON k.bug = e.bug AND k.pathway = e.pathway
+                           JOIN cv_place AS p ON p.bug = e.bug AND p.reaction = e.reaction),
+cv_owned AS MATERIALIZED (SELECT bug, rank, bit_or(set_bit(CAST(repeat('0', CAST(size AS INTEGER)) AS BIT), CAST(place AS INTEGER), 1)) AS owns
+                          FROM cv_marked GROUP BY bug, rank),
+cv_step AS MATERIALIZED (SELECT m.bug, m.place, m.rank, o.owns FROM cv_marked AS m JOIN cv_owned AS o ON o.bug = m.bug AND o.rank = m.rank),
+cv_search AS (
+    SELECT bug, 0 AS n, CAST([] AS BIGINT[]) AS chosen, CAST(repeat('1', CAST(max(size) AS INTEGER)) AS BIT) AS remaining FROM cv_place GROUP BY bug
+    UNION ALL
+    SELECT s.bug, min(n) + 1, min(list_sort(list_append(s.chosen, o.rank))), s.remaining & ~o.owns
+    FROM (SELECT *, bool_or(bit_count(remaining) = 0) OVER (PARTITION BY bug) AS done FROM cv_search) AS s
+    JOIN cv_step AS o ON o.bug = s.bug AND o.place = bit_position(CAST('1' AS BIT), s.remaining) - 1
+    WHERE NOT done GROUP BY s.bug, s.remaining & ~o.owns),
+cover AS (SELECT c.bug, pathway FROM (SELECT bug, unnest(min(chosen)) AS rank FROM cv_search WHERE bit_count(remaining) = 0 GROUP BY bug) AS c
+          JOIN cv_rank AS k ON k.bug = c.bug AND k.rank = c.rank)"""
+
+
+def greedy_sql(observed: str, members: str) -> str:
+    """Tables up to ``cv_chosen(bug, pathway)``: sole owners first, then one pathway at a time, the one with the most
+    uncovered reactions, among equals by the number of observed ones, then by name.  An organism's pathways and open reactions are lists in one row.
     """
     return f"""
 cv_edges AS (SELECT DISTINCT o.bug, p.pathway, o.reaction FROM {observed} AS o JOIN {members} AS p ON p.reaction = o.reaction),
@@ -299,9 +328,9 @@ cv_greedy AS (
     UNION ALL
     SELECT bug, ps, best.p, list_filter(remaining, lambda x: NOT list_contains(best.r, x))
     FROM (SELECT bug, ps, remaining, list_sort(list_transform(ps, lambda e:
-              struct_pack(n := -len(list_intersect(e.r, remaining)), p := e.p, r := e.r)))[1] AS best
+              struct_pack(n := -len(list_intersect(e.r, remaining)), m := -len(e.r), p := e.p, r := e.r)))[1] AS best
           FROM cv_greedy WHERE len(remaining) > 0) AS picked),
-cover AS (SELECT bug, pathway FROM cv_sole UNION SELECT bug, pathway FROM cv_greedy WHERE pathway IS NOT NULL)"""
+cv_chosen AS (SELECT bug, pathway FROM cv_sole UNION SELECT bug, pathway FROM cv_greedy WHERE pathway IS NOT NULL)"""
 
 
 def supported_sql(observed: str, members: str, share: float = 0.5) -> str:
@@ -319,6 +348,23 @@ def parsimonious_pathways(v):
     return pw.parsimonious_pathways(v["observed_reactions"], v["fine_pathways"])
 
 
+GREEDY = "WITH RECURSIVE" + greedy_sql("{observed_reactions}", "{fine_pathways}")
+
+
+@query("greedy_pathways", GREEDY + " SELECT bug, pathway FROM cv_chosen")
+def greedy_pathways(v):
+    return pw.greedy_pathways(v["observed_reactions"], v["fine_pathways"])
+
+
+@query(
+    "pathway_cover",
+    COVER + ", sizes AS (SELECT bug, count(*) AS n FROM cover GROUP BY bug) SELECT c.bug, pathway, TRUE AS proven, n AS n_pathways FROM cover AS c JOIN sizes AS s ON s.bug = c.bug",
+)
+def pathway_cover(v):
+    covers = pw.pathway_cover(v["observed_reactions"], v["fine_pathways"])
+    return with_group_totals(covers, ["bug"], n_pathways=F.count(F.lit(1)))
+
+
 @query(
     "uncovered_reactions",
     "SELECT DISTINCT bug, CAST(0 AS BIGINT) AS uncovered FROM {observed_reactions}",

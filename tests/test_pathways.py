@@ -1,14 +1,16 @@
 """Reactions and pathways."""
 
+import itertools
 import random
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
-from abundix.operators import pathways as pw
+from abundix.operators import cover, pathways as pw
 from abundix.plans import profiles as p
 from abundix.sources.mappings import is_optional, pathway_nodes, pathway_tree
+from abundix.session import cut_lineage
 from tests.conftest import as_dict
 
 SCORE = "bug string, pathway string, reaction string, score double"
@@ -150,29 +152,53 @@ def test_duplicate_genes_count_twice_but_not_in_pathways(frame):
 
 
 def greedy(observed, members):
-    """One pathway at a time: sole owners first, then the largest, ties by name."""
+    """One pathway at a time: sole owners first, then the largest, ties by observed reactions, then name."""
     owners = {r: {p for p, rs in members.items() if r in rs} for r in observed}
     left = {r for r in observed if owners[r]}
     chosen = {next(iter(owners[r])) for r in left if len(owners[r]) == 1}
     left -= {r for r in left if owners[r] & chosen}
     while left:
-        best = min(members, key=lambda p: (-len(members[p] & left), p))
+        best = min(members, key=lambda p: (-len(members[p] & left), -len(members[p] & observed), p))
         chosen.add(best)
         left -= members[best]
     return chosen
 
 
-def test_parsimony_is_the_sequential_greedy_cover(frame):
-    rng = random.Random(3)
-    members = {f"p{i:02d}": {f"r{rng.randint(0, 40)}" for _ in range(rng.randint(1, 9))} for i in range(30)}
-    observed = {f"b{b}": {f"r{rng.randint(0, 45)}" for _ in range(rng.randint(1, 35))} for b in range(8)}
+def smallest(observed, members):
+    """Every set of pathways by size, then by the rank of its members."""
+    seen = {p: rs & observed for p, rs in members.items() if rs & observed}
+    ranked = sorted(seen, key=lambda p: (-len(seen[p]), p))
+    need = set().union(*seen.values())
+    for n in range(len(ranked) + 1):
+        for some in itertools.combinations(ranked, n):
+            if set().union(*(seen[p] for p in some)) == need:
+                return set(some)
+
+
+def random_pathways(seed, pathways, reactions, organisms):
+    rng = random.Random(seed)
+    members = {f"p{i:02d}": {f"r{rng.randint(0, reactions)}" for _ in range(rng.randint(1, 9))} for i in range(pathways)}
+    observed = {f"b{b}": {f"r{rng.randint(0, reactions + 5)}" for _ in range(rng.randint(1, 35))} for b in range(organisms)}
+    return members, observed
+
+
+@pytest.mark.parametrize("choose, expected, size", [(pw.greedy_pathways, greedy, 30), (pw.parsimonious_pathways, smallest, 12)])
+def test_covers_match_plain_python(frame, choose, expected, size):
+    members, observed = random_pathways(3, size, 40 if size == 30 else 18, 12)
     pairs = frame([(p_, r) for p_, rs in members.items() for r in rs], "pathway string, reaction string")
     scores = frame([(b, r, 1.0) for b, rs in observed.items() for r in rs], "bug string, reaction string, score double")
-    got = pw.parsimonious_pathways(scores, pairs).collect()
+    got = choose(scores, pairs).collect()
     assert len(got) == len({(r["bug"], r["pathway"]) for r in got})
-    want = {(b, p_) for b, rs in observed.items() for p_ in greedy(rs, members)}
+    want = {(b, p_) for b, rs in observed.items() for p_ in expected(rs, members)}
     assert {(r["bug"], r["pathway"]) for r in got} == want
 
+
+def test_selected_pathways(frame):
+    members, observed = random_pathways(4, 12, 18, 10)
+    observed["few"] = {"r1", "r2"}
+    pairs = frame([(p_, r) for p_, rs in members.items() for r in rs], "pathway string, reaction string")
+    scores = frame([(b, r, 1.0) for b, rs in observed.items() for r in rs], "bug string, reaction string, score double")
+    want = {(b, p_) for b, rs in observed.items() for p_ in smallest(rs, members)}
     supported = {(b, p_) for b, rs in observed.items() for p_, ms in members.items() if len(ms & rs) >= len(ms) / 2}
     added = pw.add_well_supported(pw.parsimonious_pathways(scores, pairs), scores, pairs)
     assert {(r["bug"], r["pathway"]) for r in added.collect()} == want | supported
@@ -183,6 +209,35 @@ def test_parsimony_is_the_sequential_greedy_cover(frame):
     assert selected == {k for k in everything if k[0] in few} | {k for k in (want | supported) & everything if k[0] not in few}
 
 
+def test_smallest_covers_of_random_masks():
+    rng = random.Random(5)
+    for _ in range(1500):
+        n = rng.randint(1, 9)
+        masks = [sum(1 << i for i in rng.sample(range(n), rng.randint(1, min(n, 4)))) for _ in range(rng.randint(1, 12))]
+        chosen, proven = cover.smallest(masks)
+        sets = (sum(1 << i for i in some) for k in range(n + 1) for some in itertools.combinations(range(n), k))
+        assert proven and chosen == next(s for s in sets if all(m & s for m in masks))
+
+
+def test_a_cover_without_time_to_search_is_no_larger_than_the_greedy_one(frame):
+    rng = random.Random(6)
+    masks = [sum(1 << i for i in rng.sample(range(50), 3)) for _ in range(100)]
+    chosen, proven = cover.smallest(masks, limit=1)
+    assert all(m & chosen for m in masks) and chosen.bit_count() <= cover.greedy(masks).bit_count() and not proven
+    better, proven = cover.smallest(masks)
+    assert proven and better.bit_count() <= chosen.bit_count()
+
+
+def test_covers_shuffle_once_by_organism(spark, frame):
+    pairs = cut_lineage(frame([("p", "r1"), ("q", "r2")], "pathway string, reaction string"))
+    scores = frame([("b", "r1", 1.0), ("b", "r3", 1.0), (None, "r2", 1.0)], "bug string, reaction string, score double")
+    covers = pw.parsimonious_pathways(scores, pairs)
+    plan = covers._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(bug") == 1
+    assert {tuple(r) for r in covers.collect()} == {("b", "p"), (None, "q")}
+    assert pw.parsimonious_pathways(scores.where("false"), pairs).count() == 0
+
+
 def test_coverage(frame):
     scores = frame([("b", "p", "r1", 1.0), ("b", "p", "r2", 3.0), ("b", "q", "r2", 3.0)], SCORE)
     members = frame([("p", "r1"), ("p", "r2"), ("q", "r2"), ("q", "r3")], "pathway string, reaction string")
