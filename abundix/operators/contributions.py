@@ -5,12 +5,15 @@ Tables here are ``(stratum, sample, value)``; absent cells are 0.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abundix.functions.features import OTHER, UNCLASSIFIED
-from abundix.operators.scaling import sorted_position, with_group_totals
+from abundix.operators.scaling import ordered_prefix, sorted_position, with_group_totals
 from abundix.session import cut_lineage
 
 _BLOCK = 256
@@ -160,6 +163,91 @@ def braycurtis_pairs(table: DataFrame, pairs: DataFrame, relative: bool = True)
     return known.join(shared, ["sample1", "sample2"], "left").select("sample1", "sample2", distance.alias("distance"))
 
 
+#: Bounds are widened by this share, so that sums in another order lose no pair.
+_ROUNDING = 1e-9
+
+
+def _positive_cells(table: DataFrame, relative: bool) -> DataFrame:
+    cells = table.groupBy("stratum", "sample").agg(F.sum("value").alias("value")).where(F.col("value") > 0)
+    return cut_lineage(contribution_scaling(cells, "totalsum") if relative else cells)
+
+
+def _near_pairs(cells: DataFrame, most: float, queries: DataFrame | None) -> DataFrame:
+    """Pairs ``(sample1, sample2, distance)`` up to ``most``; with ``queries(sample)`` those of which one is a query.
+
+    A sample shares at least ``total * (1 - most) / (1 + most)`` with any sample that near.  Its strata are put in one
+    order for all samples, rare ones first; its prefix are the first strata, up to where the rest is less than
+    that.  Near samples share a stratum of both prefixes: their first common stratum, since all they share comes
+    from there on.  Pairs that do are kept if the totals, and what the prefixes share with the larger of the rests,
+    allow the distance; only these are worked out.
+    """
+    share = (1 - most) / (1 + most) * (1 - _ROUNDING)
+    spread = cells.groupBy("stratum").agg(F.count(F.lit(1)).alias("_samples"))
+    rows = ordered_prefix(
+        cells.join(spread, "stratum"), ["sample"], [F.col("_samples").desc(), F.col("stratum").desc()], "value", "sum", "_onward", inclusive=True
+    )
+    totals = cells.groupBy("sample").agg(F.sum("value").alias("_total"))
+    prefix = rows.join(totals, "sample").where(F.col("_onward") >= F.col("_total") * share).select("stratum", "sample", "value", "_total")
+    held = prefix.groupBy("sample").agg(F.sum("value").alias("_held"))
+    prefix = prefix.join(held, "sample").withColumn("_rest", F.col("_total") - F.col("_held")).drop("_held")
+    if queries is not None:
+        prefix = prefix.join(queries.select("sample", F.lit(True).alias("_asked")), "sample", "left")
+    else:
+        prefix = prefix.withColumn("_asked", F.lit(True))
+    prefix = cut_lineage(prefix)
+
+    def side(i: int) -> DataFrame:
+        return prefix.select("stratum", *[F.col(c).alias(f"{c.lstrip('_')}{i}") for c in ("sample", "value", "_total", "_rest", "_asked")])
+
+    both = side(1).join(side(2), "stratum").where(
+        (F.col("sample1") < F.col("sample2"))
+        & (F.coalesce("asked1", "asked2"))
+        & (F.least("total1", "total2") >= F.greatest("total1", "total2") * share)
+    )
+    met = both.groupBy("sample1", "sample2").agg(
+        F.sum(F.least("value1", "value2")).alias("_met"),
+        F.first(F.greatest("rest1", "rest2")).alias("_rest"),
+        F.first(F.col("total1") + F.col("total2")).alias("_totals"),
+    )
+    enough = (F.col("_met") + F.col("_rest")) >= F.col("_totals") * ((1 - most) / 2 * (1 - _ROUNDING) - _ROUNDING)
+    return braycurtis_pairs(cells, met.where(enough), relative=False).where(F.col("distance") <= most)
+
+
+def similar_samples(table: DataFrame, most: float, relative: bool = True) -> DataFrame:
+    """All pairs ``sample1 < sample2`` with a Bray-Curtis ``distance`` up to ``most`` (below 1), without trying all pairs."""
+    if not 0 <= most < 1:
+        raise ValueError("most must be at least 0 and below 1")
+    return _near_pairs(_positive_cells(table, relative), most, None)
+
+
+def nearest_samples(table: DataFrame, k: int = 5, relative: bool = True, steps: Sequence[float] = (0.25, 0.5, 0.75, 1.0)) -> DataFrame:
+    """The ``k`` nearest other samples of each sample, ties by name: ``sample, rank, neighbour, distance``.
+
+    Pairs are looked for up to each distance of ``steps`` in turn, in the later ones only for the samples that have
+    not found ``k`` neighbours yet.  Samples that share no stratum are not neighbours.
+    """
+    cells = _positive_cells(table, relative)
+    open_ = cut_lineage(cells.select("sample").distinct())
+    found = []
+    for i, most in enumerate(steps):
+        pairs = cut_lineage(_near_pairs(cells, most, open_ if i else None))
+        turned = pairs.select(F.col("sample2").alias("sample"), F.col("sample1").alias("neighbour"), "distance")
+        near = pairs.select(F.col("sample1").alias("sample"), F.col("sample2").alias("neighbour"), "distance").unionByName(turned)
+        near = near.join(open_, "sample", "left_semi")
+        order = Window.partitionBy("sample").orderBy("distance", "neighbour")
+        # a limit on the row number keeps k rows per sample and task before the shuffle
+        ranked = cut_lineage(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
+        last = i + 1 == len(steps)
+        done = ranked.where(F.col("rank") == k).select("sample")
+        found.append(ranked if last else ranked.join(done, "sample", "left_semi"))
+        if last:
+            break
+        open_ = cut_lineage(open_.join(done, "sample", "left_anti"))
+        if open_.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found).select("sample", "rank", "neighbour", "distance")
+
+
 def braycurtis(table: DataFrame, relative: bool = True) -> DataFrame:
     """Bray-Curtis dissimilarity of all sample pairs that share a stratum, ``sample1 < sample2``.
 

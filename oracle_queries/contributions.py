@@ -149,3 +149,36 @@ def braycurtis_pairs(v):
     year = F.substring("sample1", 4, 4).cast("int") + 1
     pairs = names.withColumn("sample2", F.concat(F.substring("sample1", 1, 3), year.cast("string")))
     return c.braycurtis_pairs(strata, pairs, relative=False).withColumn("distance", F.round("distance", 6))
+
+
+# customers as samples, the kinds of parts they bought as strata
+LENSES["baskets"] = """
+SELECT concat(p_type, '-', CAST(p_size AS STRING)) AS stratum, CAST(o_custkey AS STRING) AS sample, SUM(l_quantity) AS value
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
+GROUP BY p_type, p_size, o_custkey
+"""
+NEAR = """
+WITH c AS (SELECT * FROM {baskets}),
+t AS (SELECT sample, sum(value) AS total FROM c GROUP BY sample),
+s AS (SELECT x.sample AS sample1, y.sample AS sample2, sum(least(x.value, y.value)) AS shared
+      FROM c AS x JOIN c AS y ON y.stratum = x.stratum AND x.sample < y.sample GROUP BY x.sample, y.sample),
+d AS (SELECT sample1, sample2, 1 - 2 * shared / (one.total + two.total) AS distance
+      FROM s JOIN t AS one ON one.sample = sample1 JOIN t AS two ON two.sample = sample2)
+"""
+
+
+@query("similar_samples", NEAR + "SELECT sample1, sample2, round(distance, 6) AS distance FROM d WHERE distance <= 0.7")
+def similar_samples(v):
+    return c.similar_samples(v["baskets"], 0.7, relative=False).withColumn("distance", F.round("distance", 6))
+
+
+@query(
+    "nearest_samples",
+    NEAR
+    + """, n AS (SELECT sample1 AS sample, sample2 AS neighbour, distance FROM d UNION ALL SELECT sample2, sample1, distance FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY distance, neighbour) AS rank FROM n)
+SELECT sample, CAST(rank AS INTEGER) AS rank, neighbour, round(distance, 6) AS distance FROM r WHERE rank <= 3
+""",
+)
+def nearest_samples(v):
+    return c.nearest_samples(v["baskets"], 3, relative=False).withColumn("distance", F.round("distance", 6))
