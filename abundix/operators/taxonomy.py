@@ -17,43 +17,119 @@ from abundix.functions.features import (
     genus_of,
     simplify_name,
 )
+from abundix.operators.scaling import ordered_prefix
 from abundix.session import cut_lineage
 
 ROOT = "Root"
 _FEATURE = list(FEATURE)
 
 
+def _known_parents(taxonomy: DataFrame, root: str) -> DataFrame:
+    """``node, to``: the parent of every node below the root, null where it is the root or unknown."""
+    below = taxonomy.where(F.col("taxid") != root)
+    known = below.select(F.col("taxid").alias("to")).distinct()
+    links = below.select(F.col("taxid").alias("node"), F.col("parent").alias("to"))
+    missing = links.join(known, "to", "left_anti").select("node", F.lit(None).cast(links.schema["to"].dataType).alias("to"))
+    return cut_lineage(links.join(known, "to").select("node", "to").unionByName(missing))
+
+
+def _twice(jumps: DataFrame) -> DataFrame:
+    """Jumps of twice the length; jumps beyond the root are left out."""
+    further = jumps.select(F.col("node").alias("to"), F.col("to").alias("_to"))
+    return cut_lineage(jumps.join(further, "to").select("node", F.col("_to").alias("to")))
+
+
 def lineage(
     taxids: DataFrame, taxonomy: DataFrame, taxid: str = "taxid", root: str = ROOT
 ) -> DataFrame:
     """Ancestors of each distinct taxid, itself included: ``step, ancestor, rank, name``.
 
-    One equi-join with the tree per level, over the taxids that have not reached the
-    root yet; every level is written once, so the plan does not grow with the depth.
-    The tree may have any depth; a walk that comes to a node twice is an error.
+    Pointer doubling: after round k every walk has its first 2^k steps, and jumps of that length give as many
+    again in one join.  A tree of any depth takes as many rounds as its depth has binary digits; every round
+    is written once.  A walk longer than the tree has nodes is a cycle, and an error.
     """
-    nodes = taxonomy.select(
-        F.col("taxid").alias("ancestor"), "rank", F.col("name"), F.col("parent").alias("_parent")
-    ).where(F.col("ancestor") != root)
-    frontier = taxids.select(F.col(taxid).alias("taxid")).distinct().select("taxid", F.col("taxid").alias("ancestor"))
-    out, step = None, 0
+    nodes = taxonomy.select(F.col("taxid").alias("ancestor"), "rank", "name").where(F.col("ancestor") != root)
+    parents = _known_parents(taxonomy, root)
+    jumps = parents.where(F.col("to").isNotNull())
+    size = parents.count()
+    starts = taxids.select(F.col(taxid).alias("taxid")).distinct().select("taxid", F.lit(0).alias("step"), F.col("taxid").alias("ancestor"))
+    walks = cut_lineage(starts.join(parents.select(F.col("node").alias("ancestor")).distinct(), "ancestor", "left_semi"))
+    length = 1
     while True:
-        level = cut_lineage(frontier.join(nodes, "ancestor"))
-        if level.isEmpty():
+        reach = jumps.select(F.col("node").alias("ancestor"), F.col("to").alias("_to"))
+        more = walks.join(reach, "ancestor").select("taxid", (F.col("step") + length).alias("step"), F.col("_to").alias("ancestor"))
+        more = cut_lineage(more)
+        if more.isEmpty():
             break
-        found = level.select("taxid", F.lit(step).alias("step"), "ancestor", "rank", "name")
-        out = found if out is None else out.unionByName(found)
-        frontier = level.select("taxid", F.col("_parent").alias("ancestor"))
-        step += 1
-        if step >= 64 and step & (step - 1) == 0:
-            again = out.groupBy("taxid", "ancestor").count().where(F.col("count") > 1)
-            if not again.isEmpty():
-                raise ValueError("the taxonomy has a cycle")
-    if out is None:
-        return frontier.join(nodes, "ancestor").select(
-            "taxid", F.lit(0).alias("step"), "ancestor", "rank", "name"
-        )
-    return out
+        if length >= size:
+            raise ValueError("the taxonomy has a cycle")
+        walks = cut_lineage(walks.unionByName(more))
+        jumps = _twice(jumps)
+        length *= 2
+    return walks.join(nodes, "ancestor").select("taxid", "step", "ancestor", "rank", "name")
+
+
+def nearest_ancestor(taxids: DataFrame, taxonomy: DataFrame, wanted: Column, taxid: str = "taxid", root: str = ROOT) -> DataFrame:
+    """``taxid, ancestor``: for each distinct taxid the first node for which ``wanted`` holds, from itself upwards.
+
+    Every node points to its parent, a wanted one to itself; pointers are followed twice a round until all have
+    come to a wanted node or have left the tree.  No lineage is written out, so the rows are those of the tree.
+    """
+    held = taxonomy.where(wanted).select(F.col("taxid").alias("node"), F.lit(True).alias("_held")).distinct()
+    parents = _known_parents(taxonomy, root)
+    links = parents.join(held, "node", "left")
+    links = cut_lineage(links.select("node", F.when(F.col("_held"), F.col("node")).otherwise(F.col("to")).alias("to")).where(F.col("to").isNotNull()))
+    ends = held.select(F.col("node").alias("to"), "_held")
+    size, length = parents.count(), 1
+    while True:
+        # done once every pointer is at a wanted node; those that leave the tree are dropped on the way
+        if links.join(ends, "to", "left_anti").isEmpty():
+            break
+        if length > size:
+            raise ValueError("the taxonomy has a cycle")
+        links = _twice(links)
+        length *= 2
+    asked = taxids.select(F.col(taxid).alias("node")).distinct()
+    return asked.join(links, "node").select(F.col("node").alias("taxid"), F.col("to").alias("ancestor"))
+
+
+def subtree_intervals(taxonomy: DataFrame, root: str = ROOT) -> DataFrame:
+    """``taxid, enter, leave``: numbers of the nodes in preorder (siblings by taxid, from 1), and the last number below each.
+
+    ``b`` is ``a`` or below it exactly if ``a.enter <= b.enter <= a.leave``.  Nodes whose parent is the root or
+    unknown are the tops; the root itself has no number.  Sizes and numbers come from jumps that double, so
+    a tree takes as many rounds as its depth has binary digits, and siblings may be any number.
+    """
+    parents = _known_parents(taxonomy, root)
+    nodes = parents.count()
+    sizes = parents.select("node", F.lit(1).cast("long").alias("size"))
+    jumps, length = parents.where(F.col("to").isNotNull()), 1
+    while not jumps.isEmpty():
+        if length > nodes:
+            raise ValueError("the taxonomy has a cycle")
+        # a node's size within 2^(k+1) steps: within 2^k, and that of the nodes 2^k below it
+        gained = jumps.join(sizes, "node").groupBy(F.col("to").alias("node")).agg(F.sum("size").alias("_more"))
+        sizes = sizes.join(gained, "node", "left").select("node", (F.col("size") + F.coalesce("_more", F.lit(0))).alias("size"))
+        sizes = cut_lineage(sizes)
+        jumps, length = _twice(jumps), 2 * length
+    placed = ordered_prefix(parents.join(sizes, "node"), ["to"], [F.col("node").asc()], "size", "sum", "before")
+    # the number is what lies before on the way from the top: earlier siblings, and one for each ancestor
+    sums = cut_lineage(placed.select("node", "to", "size", (F.col("before") + 1).alias("enter")))
+    while not (open_ := sums.where(F.col("to").isNotNull())).isEmpty():
+        above = sums.select(F.col("node").alias("to"), F.col("to").alias("_to"), F.col("enter").alias("_enter"))
+        moved = open_.join(above, "to").select("node", F.col("_to").alias("to"), "size", (F.col("enter") + F.col("_enter")).alias("enter"))
+        sums = cut_lineage(sums.where(F.col("to").isNull()).unionByName(moved))
+    return sums.select(F.col("node").alias("taxid"), F.col("enter").cast("long").alias("enter"), (F.col("enter") + F.col("size") - 1).cast("long").alias("leave"))
+
+
+def below(rows: DataFrame, taxonomy: DataFrame, top: str, taxid: str = "taxid", root: str = ROOT) -> DataFrame:
+    """The ``rows`` whose taxid is ``top`` or lies below it, by one range test."""
+    intervals = cut_lineage(subtree_intervals(taxonomy, root))
+    if top == root:
+        return rows.join(intervals.select(F.col("taxid").alias(taxid)), taxid, "left_semi")
+    span = intervals.where(F.col("taxid") == top).agg(F.struct(F.min("enter").alias("enter"), F.min("leave").alias("leave")).alias("span")).scalar()
+    inside = intervals.where(F.col("enter").between(span["enter"], span["leave"])).select(F.col("taxid").alias(taxid))
+    return rows.join(inside, taxid, "left_semi")
 
 
 def rank_label(rank: str, name: Column | str) -> Column:
@@ -63,10 +139,9 @@ def rank_label(rank: str, name: Column | str) -> Column:
 
 def taxon_at_rank(taxids: DataFrame, taxonomy: DataFrame, rank: str, taxid: str = "taxid") -> DataFrame:
     """Nearest ancestor (or self) at ``rank`` of each taxid, as ``taxon``."""
-    at_rank = lineage(taxids, taxonomy, taxid).where(F.col("rank") == rank)
-    return at_rank.groupBy("taxid").agg(F.min_by("name", "step").alias("_name")).select(
-        "taxid", rank_label(rank, "_name").alias("taxon")
-    )
+    nearest = nearest_ancestor(taxids, taxonomy, (F.col("rank") == rank) & (F.col("taxid") != ROOT), taxid)
+    names = taxonomy.select(F.col("taxid").alias("ancestor"), "name")
+    return nearest.join(names, "ancestor").select("taxid", rank_label(rank, "name").alias("taxon"))
 
 
 def unique_genera(taxonomy: DataFrame, genus_rank: str = "Genus") -> DataFrame:

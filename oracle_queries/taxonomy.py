@@ -36,6 +36,30 @@ def taxon_at_rank(v):
     return tx.taxon_at_rank(v["taxonomy"], v["taxonomy"], "Family")
 
 
+PREORDER = """
+WITH RECURSIVE walk AS (
+  SELECT taxid, [taxid] AS path FROM {taxonomy} WHERE parent = 'Root'
+  UNION ALL
+  SELECT t.taxid, list_append(path, t.taxid) FROM walk JOIN {taxonomy} AS t ON t.parent = walk.taxid),
+numbered AS (SELECT taxid, path, row_number() OVER (ORDER BY path) AS enter FROM walk),
+sizes AS (SELECT a AS taxid, count(*) AS size FROM (SELECT unnest(path) AS a FROM walk) AS every GROUP BY a)
+"""
+
+
+@query(
+    "subtree_intervals",
+    PREORDER + "SELECT n.taxid, enter, enter + size - 1 AS leave FROM numbered AS n JOIN sizes AS s ON s.taxid = n.taxid",
+)
+def subtree_intervals(v):
+    return tx.subtree_intervals(v["taxonomy"])
+
+
+@query("below", PREORDER + "SELECT family, lca FROM {family_lca} JOIN walk ON walk.taxid = lca WHERE list_contains(path, 'r2')")
+def below(v):
+    """Gene families whose lowest common ancestor lies in one region."""
+    return tx.below(v["family_lca"], v["taxonomy"], "r2", taxid="lca").select("family", "lca")
+
+
 LENSES["genus_names"] = """
 SELECT concat('n', CAST(n_nationkey AS STRING)) AS taxid,
        CASE WHEN n_nationkey < 4 THEN 'Twin' ELSE n_name END AS name, 'Genus' AS rank, 'Root' AS parent FROM {nation}

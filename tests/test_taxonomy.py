@@ -1,8 +1,12 @@
 """Taxonomies, profiles and sequences."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from abundix.operators import contributions as c, taxonomy as tx
+from abundix.session import cut_lineage
 from tests.conftest import as_dict
 
 TREE = [("Root", "root", "no rank", None), ("f1", "Fam one", "Family", "Root"), ("g1", "Gen", "Genus", "f1"),
@@ -28,6 +32,64 @@ def test_a_cycle_is_an_error(frame):
     loop = frame([("a", "A", "x", "b"), ("b", "B", "x", "a")], "taxid string, name string, rank string, parent string")
     with pytest.raises(ValueError, match="cycle"):
         tx.lineage(loop.limit(1), loop)
+    with pytest.raises(ValueError, match="cycle"):
+        tx.subtree_intervals(loop)
+    with pytest.raises(ValueError, match="cycle"):
+        tx.nearest_ancestor(loop, loop, F.col("rank") == "y")
+
+
+NODE = "taxid string, name string, rank string, parent string"
+
+
+def random_tree(seed, size):
+    """Rows of a forest, and each node's way to the top."""
+    rng = random.Random(seed)
+    names = [f"n{i:03d}" for i in range(size)]
+    rng.shuffle(names)
+    rows, ways = [], {}
+    for i, name in enumerate(names):
+        parent = rng.choice([*names[max(0, i - 4) : i], "Root", "nowhere"]) if i % 9 else "Root"
+        rows.append((name, name.upper(), rng.choice(["Family", "Genus", "no rank"]), parent))
+        ways[name] = [name, *ways.get(parent, [])]
+    return rows, ways
+
+
+def test_random_trees(frame):
+    rows, ways = random_tree(1, 120)
+    ranks = {name: rank for name, _, rank, _ in rows}
+    tree = frame(rows, NODE).repartition(3)
+    got = tx.lineage(tree, tree).collect()
+    assert {(r.taxid, r.step, r.ancestor) for r in got} == {(n, i, a) for n, way in ways.items() for i, a in enumerate(way)}
+    assert len(got) == sum(map(len, ways.values()))
+    nearest = {n: next((a for a in way if ranks[a] == "Family"), None) for n, way in ways.items()}
+    want = {n: "f__" + a.upper() for n, a in nearest.items() if a}
+    assert as_dict(tx.taxon_at_rank(tree, tree, "Family"), "taxid", "taxon") == want
+
+    intervals = {r.taxid: (r.enter, r.leave) for r in tx.subtree_intervals(tree).collect()}
+    assert sorted(enter for enter, _ in intervals.values()) == list(range(1, len(rows) + 1))
+    for a, (low, high) in intervals.items():
+        assert {n for n, (enter, _) in intervals.items() if low <= enter <= high} == {n for n, way in ways.items() if a in way}
+    siblings = [(parent, intervals[name][0], name) for name, _, _, parent in rows if parent not in ("Root", "nowhere")]
+    assert sorted(siblings) == sorted(siblings, key=lambda x: (x[0], x[2]))
+    top = rows[0][0]
+    found = tx.below(frame([(n, 1) for n in [*ways, "nowhere"]], "taxid string, x int"), tree, top).collect()
+    assert {r.taxid for r in found} == {n for n, way in ways.items() if top in way}
+
+
+def test_deep_trees_take_few_rounds(frame, monkeypatch):
+    depth = 10_000
+    chain = cut_lineage(frame([(f"c{i}", f"C{i}", "Family" if i == 0 else "x", f"c{i - 1}" if i else "Root") for i in range(depth)], NODE))
+    rounds = []
+    twice = tx._twice
+    monkeypatch.setattr(tx, "_twice", lambda jumps: rounds.append(1) or twice(jumps))
+    deepest = frame([(f"c{depth - 1}",)], "taxid string")
+    got = tx.lineage(deepest, chain).agg(F.count("*"), F.max("step"), F.count_distinct("ancestor")).first()
+    assert tuple(got) == (depth, depth - 1, depth) and len(rounds) <= 15
+    rounds.clear()
+    assert tx.taxon_at_rank(deepest, chain, "Family").first().taxon == "f__C0" and len(rounds) <= 15
+    rounds.clear()
+    bounds = tx.subtree_intervals(chain).agg(F.min("enter"), F.max("enter"), F.min("leave"), F.max("leave")).first()
+    assert tuple(bounds) == (1, depth, depth, depth) and len(rounds) <= 15
 
 
 @pytest.fixture(scope="module")
