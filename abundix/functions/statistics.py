@@ -176,3 +176,26 @@ def spearman_p(rho: Column | str, n: Column | str) -> Column:
 
 def log_transform(value: Column | str, base: float = 10.0) -> Column:
     return F.ln(_col(value)) / F.lit(math.log(base))
+
+
+def ordered_bits(value: Column | str) -> Column:
+    """A long that orders doubles as their values do: the bits of the magnitude, negative below zero.
+
+    Both zeros are 0, NaN comes last.  Scaling by powers of two is exact, so the bits are.
+    """
+    v = _col(value).cast("double")
+    a = F.abs(v)
+    guess = F.floor(F.log2(a)).cast("int")
+    power = F.pow(F.lit(2.0), guess)
+    # the logarithm may be rounded over a power of two
+    exponent = guess + F.when(a >= power * 2, 1).when(a < power, -1).otherwise(0)
+    fraction = ((a / F.pow(F.lit(2.0), exponent) - 1) * float(1 << 52)).cast("long")
+    normal = (exponent + 1023).cast("long") * F.lit(1 << 52) + fraction
+    tiny = (a * float(1 << 537) * float(1 << 537)).cast("long")
+    bits = (
+        F.when(F.isnan(v), F.lit((2047 << 52) + 1))
+        .when(a == float("inf"), F.lit(2047 << 52))
+        .when(a < 2.0**-1022, tiny)
+        .otherwise(normal)
+    )
+    return F.when(v < 0, -bits).otherwise(bits)

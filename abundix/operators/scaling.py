@@ -10,9 +10,11 @@ work out the offsets.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from abundix.functions.statistics import ordered_bits
 from abundix.session import cut_lineage
 
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -107,17 +109,61 @@ def distinct_weights(
     return ordered_prefix(ties, within, [F.col(value).asc()], "n", "sum", "before")
 
 
-def exact_median(df: DataFrame, within: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median per group; equal values are counted before anything is sorted."""
-    keys = list(within)
-    ties = with_group_totals(
-        distinct_weights(df.where(F.col(value).isNotNull()), keys, value), keys, True, _total=F.sum("n")
-    )
-    low = F.floor((F.col("_total") + 1) / 2)
-    high = F.floor(F.col("_total") / 2) + 1
+#: Leading bits of the values that the rounds of a median look at, and how many values are picked from at once.
+_MEDIAN_SHIFTS = (52, 39, 26, 13, 0)
+_MEDIAN_PICK = 4096
 
-    def covers(position: Column) -> Column:
-        return (F.col("before") < position) & (position <= F.col("before") + F.col("n"))
 
-    middle = ties.where(covers(low) | covers(high))
-    return middle.groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2.0).alias(name))
+def exact_median(df: DataFrame, within: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """Exact median per group by radix selection: no sort of the rows, and none written.
+
+    The values of a group are counted by their leading bits, in the task that reads them; one row per group and
+    prefix is shuffled.  Only the prefix that holds the middle is looked at again, by its next bits, until it
+    holds one value or so few that they are picked from a list.  A group of any size never meets in one task.
+    """
+    keys = list(within)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    rows = rows.withColumn("_bits", ordered_bits("_v"))
+    low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
+    found, open_, last = [], None, 0
+    for shift in _MEDIAN_SHIFTS:
+        if open_ is None:
+            counted = rows.groupBy(*keys, F.shiftright("_bits", shift).alias("_prefix"))
+            extra = []
+        else:
+            part = _with_prefix(rows, last, open_.where(F.col("_n") > _MEDIAN_PICK), keys)
+            counted = part.groupBy(*keys, F.shiftright("_bits", shift).alias("_prefix"))
+            extra = [F.first("_total").alias("_total"), F.first("_before").alias("_start")]
+        counted = counted.agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), *extra)
+        # rows are prefixes here, at most 2^13 per group
+        all_of = Window.partitionBy(*keys)
+        earlier = all_of.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+        if open_ is None:
+            counted = counted.withColumns({"_total": F.sum("_n").over(all_of), "_start": F.lit(0).cast("long")})
+        counted = counted.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        end = F.col("_before") + F.col("_n")
+        has_low = (F.col("_before") < low) & (low <= end)
+        has_high = (F.col("_before") < high) & (high <= end)
+        # between two prefixes the middle is the last value of one and the first of the other
+        middle = counted.where(has_low | has_high).withColumn(
+            "_open", has_low & has_high & (F.col("_low") < F.col("_high"))
+        )
+        part_of = F.when(has_low & has_high, F.col("_low")).when(has_low, F.col("_high") / 2).otherwise(F.col("_low") / 2)
+        middle = cut_lineage(middle.select(*keys, "_prefix", "_n", "_before", "_total", "_open", part_of.alias("_part")))
+        found.append(middle.where(~F.col("_open")).groupBy(*keys).agg(F.sum("_part").alias(name)))
+        open_, last = middle.where("_open").select(*keys, "_prefix", "_n", "_before", "_total"), shift
+        few = open_.where(F.col("_n") <= _MEDIAN_PICK)
+        if not few.isEmpty():
+            listed = _with_prefix(rows, shift, few, keys).groupBy(*keys).agg(
+                F.array_sort(F.collect_list("_v")).alias("_values"), F.first("_total").alias("_total"), F.first("_before").alias("_before")
+            )
+            at = [F.get("_values", (position - F.col("_before") - 1).cast("int")) for position in (low, high)]
+            found.append(listed.select(*keys, ((at[0] + at[1]) / 2.0).alias(name)))
+        if open_.where(F.col("_n") > _MEDIAN_PICK).isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found)
+
+
+def _with_prefix(rows: DataFrame, shift: int, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose leading bits are the wanted ones of their group."""
+    return join_on(rows.withColumn("_prefix", F.shiftright("_bits", shift)), wanted, [*keys, "_prefix"], "inner", null_safe=True)

@@ -390,6 +390,8 @@ def strain_profiles(
     rows = rows.withColumn("species", species).where(F.col("species").isNotNull())
     if name is not None:
         rows = rows.where(F.col("species").contains(name))
+    # read for the choice of samples and for their rows
+    rows = cut_lineage(rows)
     nonzero = F.when(F.col("value") > 0, F.col("value"))
     samples = (
         rows.groupBy("species", "sample")

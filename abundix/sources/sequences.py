@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from abundix.functions.references import add_length_annotation
-from abundix.sources.text import base_name, numbered_lines
+from abundix.sources.text import base_name
 
 
 def read_fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -29,17 +29,17 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def read_fastq(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``id`` and ``sequence`` of four-line records whose sequence is made of A, C, G, T and N.
 
-    Lines are grouped by their number, as a quality line may start with ``@`` too.
+    One scan and no shuffle: the text is cut where a line starts with ``@``, which is before every record, and
+    before a quality line that happens to start so.  Such a line is a piece of its own, of one line; a record's
+    piece goes on with the sequence, and is told by it.  Splits of a file end at the same cuts.
     """
-    lines = numbered_lines(spark, path)
-    part = F.pmod("index", F.lit(4))
-    record = lines.where(part < 2).groupBy("file", F.floor(F.col("index") / 4).alias("_record")).agg(
-        F.max(F.when(part == 0, F.col("line"))).alias("_id"),
-        F.max(F.when(part == 1, F.col("line"))).alias("sequence"),
-    )
-    return record.where(F.col("sequence").rlike("^[ACGTNacgtn]+$")).select(
-        F.rtrim(F.regexp_replace("_id", "^@", "")).alias("id"), "sequence", base_name("file").alias("source")
+    pieces = spark.read.option("lineSep", "\n@").text(path).select(
+        F.split(F.regexp_replace("value", "\r(?=\n|$)", ""), "\n", 3).alias("lines"), F.col("_metadata.file_path").alias("file")
     )
+    sequence = F.get("lines", F.lit(1))
+    # only the first record of a file still has its sign
+    name = F.rtrim(F.regexp_replace(F.get("lines", F.lit(0)), "^@", ""))
+    return pieces.where(sequence.rlike("^[ACGTNacgtn]+$")).select(name.alias("id"), sequence.alias("sequence"), base_name("file").alias("source"))
 
 
 def write_fasta(df: DataFrame, path: str, header: str = "header", sequence: str = "sequence", length: str | None = None) -> None:

@@ -1,10 +1,10 @@
-"""Line-oriented text: numbered lines and ragged rows."""
+"""Line-oriented text: lines with their places and ragged rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 TAB = "\t"
 
@@ -28,22 +28,6 @@ def placed_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return raw_lines(spark, path).select("file", "block", at.alias("at"), "line")
 
 
-def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Lines with their 0-based ``index`` in their file, from two scans.
-
-    Only one row per split is needed to add up the offsets.
-    """
-    lines = placed_lines(spark, path)
-    splits = lines.groupBy("file", "block").agg(
-        F.min("at.id").alias("_first"), F.count(F.lit(1)).alias("_lines")
-    )
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_offset", F.coalesce(F.sum("_lines").over(earlier), F.lit(0))).drop("_lines")
-    return lines.join(splits, ["file", "block"]).select(
-        "file", (F.col("at.id") - F.col("_first") + F.col("_offset")).alias("index"), "line"
-    )
-
-
 def fields(line: Column | str = "line", separator: str = TAB) -> Column:
     return F.split(line, separator)
 

@@ -1,12 +1,16 @@
 """Properties that must hold on a cluster: plans, hot groups, lineage."""
 
+import math
 import random
+import statistics
+import struct
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from abundix.functions.statistics import ordered_bits
 from abundix.operators import scaling as sc
 from abundix.session import shared_folder
 from tests.conftest import as_dict
@@ -131,8 +135,6 @@ def test_ordered_prefix_spreads_a_hot_group(spark, skewed, monkeypatch):
 
 
 def test_median_of_hot_groups(skewed):
-    import statistics
-
     got = as_dict(sc.exact_median(skewed, ["g"], "v"), "g", "median")
     groups = {}
     for row in skewed.collect():
@@ -140,6 +142,40 @@ def test_median_of_hot_groups(skewed):
     assert got == {g: statistics.median(v) for g, v in groups.items()}
 
 
+def test_ordered_bits(frame):
+    rng = random.Random(8)
+    values = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 1.7976931348623157e308, math.inf, 0.1, 3.0]
+    values += [2.0**e * s for e in range(-1070, 1024, 37) for s in (1, 1 - 2**-53, 1 + 2**-52)]
+    values += [math.ldexp(rng.random(), rng.randint(-1074, 1000)) for _ in range(3000)]
+    values = sorted({v for x in values for v in (x, -x)})
+    df = frame([(v,) for v in values], "v double").select("v", ordered_bits("v").alias("b"))
+    for row in df.collect():
+        assert row.b == (-1 if row.v < 0 else 1) * struct.unpack("<q", struct.pack("<d", abs(row.v)))[0]
+    assert frame([(math.nan,), (math.inf,)], "v double").orderBy(ordered_bits("v")).first().v == math.inf
+
+
+@pytest.mark.parametrize("pick", [0, 5, 4096])
+def test_medians_by_radix_selection(frame, monkeypatch, pick):
+    """Groups of one value, of values that differ in their last bits, of both signs; nulls and null groups."""
+    monkeypatch.setattr(sc, "_MEDIAN_PICK", pick)
+    rng = random.Random(9)
+    groups = {
+        "one": [3.5],
+        "same": [2.0] * 50,
+        "close": [math.nextafter(1.0, 2.0, steps=i) for i in range(41)],
+        "pair": [1.0, math.nextafter(1.0, 2.0)],
+        "signs": [-5.0, -1.0, 0.0, -0.0, 1e-320, 7.0, 8.0],
+        None: [rng.uniform(-1, 1) for _ in range(300)],
+        "many": [float(rng.randint(1, 40)) / 7 for _ in range(999)],
+    }
+    rows = [(g, 1, v) for g, values in groups.items() for v in values] + [("same", 1, None), ("empty", 1, None)]
+    rng.shuffle(rows)
+    out = sc.exact_median(frame(rows, "g string, h int, v double").repartition(5), ["g", "h"], "v")
+    got = {r.g: r["median"] for r in out.collect()}
+    assert got == {g: statistics.median(v) for g, v in groups.items()}
+    assert sc.exact_median(frame(rows, "g string, h int, v double").where("false"), ["g"], "v").count() == 0
+
+
 def test_results_do_not_depend_on_partitions(spark, frame):
     from abundix.operators.hits import gene_scores
 

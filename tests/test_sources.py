@@ -140,6 +140,19 @@ def test_fastq(spark, tmp_path, splits):
     assert len(got) == 25 and got["r3 1:N"] == "ACGTNAAA"
 
 
+def test_fastq_lines_that_look_like_records(spark, tmp_path, splits):
+    """Quality lines that start with @ (also alone), carriage returns, a cut last record, no last line end."""
+    records = [(f"r{i}", "ACGTN"[: 1 + i % 5] * (1 + i % 3)) for i in range(60)]
+    quality = ["@{}", "+{}", "@", "I{}", "@r1\tx"]
+    text = "".join(f"@{n} x\n{s}\n+{n}\n{quality[i % 5].format('I' * len(s))}\n" for i, (n, s) in enumerate(records))
+    want = {f"{n} x": s for n, s in records}
+    for name, body in (("a", text), ("b", text.replace("\n", "\r\n")), ("c", text + "@last\nacgt"), ("d", text[:-1])):
+        got = as_dict(sq.read_fastq(spark, write(tmp_path / f"{name}.fastq", body)), "id", "sequence")
+        assert got == (want | {"last": "acgt"} if name == "c" else want)
+    plan = sq.read_fastq(spark, str(tmp_path / "a.fastq"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
 def test_mappings(spark, tmp_path, splits, frame):
     path = write(tmp_path / "i.tsv", "#c\nr1\tg1\t90\tbug\nr2\tg2\t?\nr3\tg3\nr4\n")
     rows = [tuple(r) for r in mp.read_id_mapping(spark, path).orderBy("reference").collect()]
