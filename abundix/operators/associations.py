@@ -7,11 +7,13 @@ distinct values, so nothing is collected per feature.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abundix.functions.features import OTHER
 from abundix.functions.statistics import chi2_sf, spearman_p
-from abundix.operators.scaling import distinct_weights, join_on, ordered_prefix
+from abundix.operators.scaling import distinct_weights, join_on, ordered_prefix, sorted_position, with_group_totals
 from abundix.session import cut_lineage
 
 
@@ -164,6 +166,112 @@ def bh_qvalues(stats: DataFrame, p: str = "p_value", name: str = "feature") -> D
     return out.withColumn("q_value", F.least("_own", "_later")).select(*stats.columns, "q_value")
 
 
+def feature_ranks(table: DataFrame, samples: DataFrame, feature: str = "feature") -> DataFrame:
+    """``feature, value, n, rank``: every distinct value of a feature over all ``samples``, the absent cells as zeros."""
+    total = samples.agg(F.count(F.lit(1))).scalar()
+    seen = cut_lineage(table.join(samples, "sample", "left_semi").groupBy(feature, "value").agg(F.count(F.lit(1)).alias("n")))
+    zeros = seen.groupBy(feature).agg((total - F.sum("n")).alias("n")).where(F.col("n") > 0).withColumn("value", F.lit(0.0))
+    blocks = seen.unionByName(zeros).groupBy(feature, "value").agg(F.sum("n").alias("n"))
+    blocks = ordered_prefix(blocks, [feature], [F.col("value").asc()], "n", "sum", "before")
+    return blocks.select(feature, "value", "n", (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"))
+
+
+def _ranked_cells(table: DataFrame, metadata: DataFrame, feature: str) -> tuple[DataFrame, DataFrame]:
+    """The ranks of the distinct values, and the cells' ranks; both are written and serve all metadata."""
+    samples = cut_lineage(metadata.select("sample").distinct())
+    blocks = cut_lineage(feature_ranks(table, samples, feature))
+    cells = table.join(samples, "sample", "left_semi").join(blocks.select(feature, "value", "rank"), [feature, "value"])
+    return blocks, cut_lineage(cells.select(feature, "sample", "rank"))
+
+
+def _sample_count(metadata: DataFrame, *aggregates: Column) -> DataFrame:
+    """Per metadatum its number of samples ``_n``, which has to be that of all."""
+    every = metadata.agg(F.count_distinct("sample")).scalar()
+    counts = metadata.groupBy("metadatum").agg(F.count(F.lit(1)).alias("_n"), *aggregates)
+    odd = F.raise_error(F.lit("a metadatum has not one value for every sample")).cast("long")
+    return counts.withColumn("_n", F.when(F.col("_n") == every, F.col("_n")).otherwise(odd).cast("double"))
+
+
+def impute_all(metadata: DataFrame, allowed: float = 0.2) -> DataFrame:
+    """``impute_metadata`` for each ``metadatum`` of ``metadata(metadatum, sample, value)``."""
+    number = metadata.select("metadatum", "sample", F.col("value").try_cast("double").alias("value"))
+    known = with_group_totals(number, ["metadatum"], _good=F.count("value") >= F.count(F.lit(1)) * (1 - allowed), _mean=F.avg("value"))
+    bad = F.raise_error(F.lit("too many metadata values are not numbers")).cast("double")
+    value = F.when(F.col("_good"), F.coalesce("value", "_mean")).otherwise(bad)
+    return known.select("metadatum", "sample", value.alias("value"))
+
+
+def spearman_all(table: DataFrame, metadata: DataFrame, feature: str = "feature") -> DataFrame:
+    """``spearman`` of every feature with every metadatum of ``metadata(metadatum, sample, value)``.
+
+    The features are ranked once.  A cell meets its sample's rank in each metadatum; absent cells share the
+    rank of zero, so the sum over them follows from the metadatum's total.  Every metadatum lists all samples.
+    """
+    metadata = cut_lineage(metadata.select("metadatum", "sample", F.col("value").cast("double").alias("value")))
+    blocks, cells = _ranked_cells(table, metadata, feature)
+    ranked = average_rank(metadata, "value", within=("metadatum",), name="_other")
+    ranked = cut_lineage(ranked.select("metadatum", "sample", "_other"))
+    totals = _sample_count(ranked, F.sum("_other").alias("_sum"), F.sum(F.col("_other") * F.col("_other")).alias("_squares"))
+    met = cells.join(ranked, "sample").groupBy(feature, "metadatum").agg(
+        F.sum(F.col("rank") * F.col("_other")).alias("_xy"), F.sum("_other").alias("_seen")
+    )
+    own = blocks.groupBy(feature).agg(
+        F.sum(F.col("rank") * F.col("rank") * F.col("n")).alias("_xx"),
+        F.coalesce(F.max(F.when(F.col("value") == 0, F.col("rank"))), F.lit(0.0)).alias("_zero"),
+    )
+    rows = met.join(own, feature).join(totals, "metadatum")
+    center = F.col("_sum") * F.col("_sum") / F.col("_n")
+    covariance = F.col("_xy") + F.col("_zero") * (F.col("_sum") - F.col("_seen")) - center
+    spread = F.sqrt((F.col("_xx") - center) * (F.col("_squares") - center))
+    out = rows.select(feature, "metadatum", F.when(spread > 0, covariance / spread).alias("rho"), F.col("_n").cast("long").alias("samples"))
+    return out.withColumn("p_value", spearman_p("rho", "samples"))
+
+
+def kruskal_wallis_all(table: DataFrame, metadata: DataFrame, feature: str = "feature") -> DataFrame:
+    """``kruskal_wallis`` of every feature over the levels of every metadatum of ``metadata(metadatum, sample, value)``.
+
+    The features are ranked, and their ties counted, once.  Every metadatum lists all samples.
+    """
+    metadata = cut_lineage(metadata.select("metadatum", "sample", F.col("value").alias("level")))
+    blocks, cells = _ranked_cells(table, metadata, feature)
+    counted = _sample_count(metadata, F.count_distinct("level").alias("levels"))
+    sizes = metadata.groupBy("metadatum", "level").agg(F.count(F.lit(1)).alias("_size"))
+    ties = F.col("n").cast("double")
+    own = blocks.groupBy(feature).agg(
+        F.sum(ties * ties * ties - ties).alias("_cubes"),
+        F.coalesce(F.max(F.when(F.col("value") == 0, F.col("rank"))), F.lit(0.0)).alias("_zero"),
+    )
+    levels = cells.join(metadata, "sample").groupBy(feature, "metadatum", "level").agg(
+        F.sum("rank").alias("_ranks"), F.count(F.lit(1)).alias("_present")
+    )
+    levels = join_on(levels, sizes, ["metadatum", "level"], "inner", null_safe=True).join(own, feature)
+    ranks = F.col("_ranks") + F.col("_zero") * (F.col("_size") - F.col("_present"))
+    sums = levels.groupBy(feature, "metadatum").agg(
+        F.sum(ranks * ranks / F.col("_size")).alias("_sum"),
+        F.sum("_size").alias("_listed"),
+        F.first("_zero").alias("_zero"),
+        F.first("_cubes").alias("_cubes"),
+    )
+    rows = sums.join(counted, "metadatum")
+    n = F.col("_n")
+    # levels without any cell hold zeros only
+    total = F.col("_sum") + F.col("_zero") * F.col("_zero") * (n - F.col("_listed"))
+    correction = 1 - F.col("_cubes") / (n * n * n - n)
+    h = (12.0 / (n * (n + 1)) * total - 3 * (n + 1)) / correction
+    out = rows.where(correction > 1e-12).select(feature, "metadatum", h.alias("h"), F.col("levels").cast("long").alias("levels"))
+    return out.withColumn("p_value", chi2_sf("h", F.col("levels") - 1))
+
+
+def bh_qvalues_by(stats: DataFrame, by: Sequence[str], p: str = "p_value", name: str = "feature") -> DataFrame:
+    """``bh_qvalues`` within each group of ``by``: a family of tests may be of any size."""
+    keys = list(by)
+    ranked = sorted_position(stats.where(F.col(p).isNotNull()), [F.col(p).asc(), F.col(name).asc()], keys, "_rank")
+    scaled = with_group_totals(ranked, keys, True, _tests=F.count(F.lit(1)))
+    value = F.col(p) * F.col("_tests") / F.col("_rank")
+    out = ordered_prefix(scaled, keys, [F.col("_rank").desc()], value, "min", "q_value", inclusive=True)
+    return out.select(*stats.columns, "q_value")
+
+
 def fdr_select(stats: DataFrame, fdr: float = 0.2, q: str = "q_value", name: str = "feature") -> DataFrame:
     """Associations with a q-value of at most ``fdr``, smallest first."""
     return stats.where(F.col(q) <= fdr).orderBy(F.col(q).asc(), F.col(name).asc())

@@ -237,6 +237,23 @@ def associate(
     return associations.fdr_select(associations.bh_qvalues(stats), fdr)
 
 
+def associate_all(
+    cells: DataFrame, metadata: DataFrame, kind: str = "categorical", fdr: float = 0.2
+) -> DataFrame:
+    """Community features associated with each of many metadata, q-values by metadatum.
+
+    ``metadata(metadatum, sample, value)`` lists every sample for every metadatum.
+    """
+    community = cells.where(~F.col("feature").contains("|"))
+    if kind == "continuous":
+        stats = associations.spearman_all(community, associations.impute_all(metadata))
+    elif kind == "categorical":
+        stats = associations.kruskal_wallis_all(community, metadata)
+    else:
+        raise ValueError(f"unknown kind {kind!r}")
+    return associations.bh_qvalues_by(stats, ["metadatum"]).where(F.col("q_value") <= fdr)
+
+
 def contribution_table(
     table: DataFrame,
     code: str,

@@ -284,6 +284,66 @@ def associate_continuous(v):
     return out.select("feature", *[F.round(c, 6).alias(c) for c in ("rho", "p_value", "q_value")], "samples")
 
 
+# several metadata of the same samples
+LENSES["customer_levels"] = """
+SELECT 'segment' AS metadatum, CAST(c_custkey AS STRING) AS sample, c_mktsegment AS value FROM {customer}
+UNION ALL SELECT 'third', CAST(c_custkey AS STRING), CAST(c_custkey % 3 AS STRING) FROM {customer}
+UNION ALL SELECT 'nation', CAST(c_custkey AS STRING), CAST(c_nationkey % 7 AS STRING) FROM {customer}
+"""
+LENSES["customer_numbers"] = """
+SELECT 'balance' AS metadatum, CAST(c_custkey AS STRING) AS sample, CAST(c_acctbal AS STRING) AS value FROM {customer}
+UNION ALL SELECT 'key', CAST(c_custkey AS STRING), CAST(c_custkey % 17 AS STRING) FROM {customer}
+UNION ALL SELECT 'nation', CAST(c_custkey AS STRING), CAST(c_nationkey AS STRING) FROM {customer}
+"""
+
+
+def _family(sql: str) -> str:
+    """The SQL of one metadatum for several: all windows and groups by metadatum too."""
+    for old, new in (
+        ("SELECT sample, value AS meta FROM {customer_segment}", "SELECT metadatum, sample, value AS meta FROM {customer_levels}"),
+        ("SELECT sample, value AS meta FROM {customer_balance}", "SELECT metadatum, sample, CAST(value AS DOUBLE) AS meta FROM {customer_numbers}"),
+        ("SELECT n.feature, s.sample", "SELECT n.feature, s.metadatum, s.sample"),
+        ("SELECT feature,", "SELECT feature, metadatum,"),
+        ("PARTITION BY feature", "PARTITION BY feature, metadatum"),
+        ("GROUP BY feature", "GROUP BY feature, metadatum"),
+    ):
+        sql = sql.replace(old, new)
+    return sql
+
+
+FAMILY_Q = """,
+rk AS (SELECT *, row_number() OVER (PARTITION BY metadatum ORDER BY p_value, feature) AS at_rank, count(*) OVER (PARTITION BY metadatum) AS tests
+       FROM pv WHERE p_value IS NOT NULL),
+q AS (SELECT *, min(p_value * tests / at_rank) OVER (PARTITION BY metadatum ORDER BY at_rank DESC ROWS UNBOUNDED PRECEDING) AS q_value FROM rk)
+"""
+
+
+@query(
+    "associate_all",
+    _family(sql_a.KRUSKAL)
+    + """,
+x AS (SELECT h.feature, h.metadatum, (12 / (n * (n + 1)) * total - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS h, levels
+      FROM h JOIN t ON t.feature = h.feature AND t.metadatum = h.metadatum),
+pv AS (SELECT *, exp(-h / 2) * list_sum(list_transform(range(0, (levels - 1) // 2), lambda i: pow(h / 2, i) / factorial(CAST(i AS INTEGER)))) AS p_value FROM x)"""
+    + FAMILY_Q
+    + "SELECT feature, metadatum, round(h, 4) AS h, levels, round(p_value, 6) AS p_value, round(q_value, 6) AS q_value FROM q WHERE q_value <= 0.95",
+)
+def associate_all(v):
+    out = p.associate_all(v["customer_features"], v["customer_levels"], "categorical", fdr=0.95)
+    return out.withColumns({"h": F.round("h", 4), "p_value": F.round("p_value", 6), "q_value": F.round("q_value", 6)})
+
+
+@query(
+    "associate_all_continuous",
+    _family(sql_a.SPEARMAN)
+    + FAMILY_Q
+    + "SELECT feature, metadatum, round(rho, 6) AS rho, samples, round(p_value, 6) AS p_value, round(q_value, 6) AS q_value FROM q WHERE q_value <= 1.0",
+)
+def associate_all_continuous(v):
+    out = p.associate_all(v["customer_features"], v["customer_numbers"], "continuous", fdr=1.0)
+    return out.select("feature", "metadatum", *[F.round(c, 6).alias(c) for c in ("rho", "p_value", "q_value")], "samples")
+
+
 @query(
     "contribution_table",
     """

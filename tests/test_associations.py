@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from abundix.operators import associations as a
-from abundix.plans.profiles import associate
+from abundix.plans.profiles import associate, associate_all
 from tests.conftest import as_dict
 
 
@@ -105,3 +105,51 @@ def test_associate(cohort, frame):
     found = associate(table, metadata, "continuous", 0.05).collect()
     assert found[0]["feature"] == "trend" and found[0]["p_value"] < 1e-6
     assert all("|" not in r["feature"] for r in found)
+
+
+@pytest.fixture(scope="module")
+def many(frame):
+    rng = random.Random(11)
+    samples = [f"s{i:02d}" for i in range(40)]
+    cells = [(f"f{f}", s, float(rng.randint(0, 6))) for f in range(7) for s in samples if rng.random() < 0.5]
+    cells += [("constant", s, 2.0) for s in samples] + [("f1", "unlisted", 9.0)]
+    numbers = {"age": {s: rng.randint(20, 40) for s in samples}, "site": {s: i % 3 for i, s in enumerate(samples)}, "flat": dict.fromkeys(samples, 1)}
+    rows = [(m, s, str(v)) for m, values in numbers.items() for s, v in values.items()]
+    return frame(cells, "feature string, sample string, value double").repartition(3), frame(rows, "metadatum string, sample string, value string")
+
+
+@pytest.mark.parametrize("kind", ["continuous", "categorical"])
+def test_many_metadata_as_one_by_one(many, kind):
+    """Ranks shared by all metadata give the statistics of each alone; q-values are by metadatum."""
+    cells, metadata = many
+    value = "rho" if kind == "continuous" else "h"
+    got = {(r.metadatum, r.feature): r for r in associate_all(cells, metadata, kind, fdr=1.0).collect()}
+    seen = set()
+    for name in ("age", "site", "flat"):
+        own = metadata.where(F.col("metadatum") == name).drop("metadatum")
+        for r in associate(cells, own, kind, fdr=1.0).collect():
+            seen.add((name, r.feature))
+            other = got[name, r.feature]
+            assert other.q_value == pytest.approx(r.q_value) and other.p_value == pytest.approx(r.p_value)
+            assert other[value] == pytest.approx(r[value])
+    assert set(got) == seen and {m for m, _ in seen} >= {"age", "site"}
+
+
+def test_metadata_with_missing_samples_are_an_error(many):
+    cells, metadata = many
+    with pytest.raises(Exception, match="one value for every sample"):
+        associate_all(cells, metadata.where("not (metadatum = 'age' and sample = 's03')")).collect()
+    unread = metadata.withColumn("value", F.when(F.col("metadatum") == "age", F.lit("?")).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="not numbers"):
+        associate_all(cells, unread, "continuous").collect()
+
+
+def test_q_values_by_family(frame):
+    rng = random.Random(12)
+    rows = [(g, f"f{i}", rng.choice([0.01, 0.2, rng.random(), None])) for g in ("a", "b", None) for i in range(30)]
+    got = {}
+    for r in a.bh_qvalues_by(frame(rows, "g string, feature string, p_value double"), ["g"]).collect():
+        got.setdefault(r.g, {})[r.feature] = r.q_value
+    for g in ("a", "b", None):
+        alone = a.bh_qvalues(frame([x[1:] for x in rows if x[0] == g], "feature string, p_value double")).collect()
+        assert got[g] == pytest.approx({r.feature: r.q_value for r in alone})
