@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from abundix.llm import textbytes, urlfilter
+from abundix.llm import listed, textbytes
 from abundix.llm.components import connected_components
 from abundix.session import cut_lineage
 
@@ -234,8 +234,8 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return words
 
 
-def _entries(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """Size, bitmap and shingles of the wanted documents."""
+def _sketches(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """Size and bitmap of the wanted documents and perhaps of others; no text is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,16 +246,24 @@ def _entries(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                         "doc": batch.column(0).slice(part.first, part.rows),
                         "n": pa.array([len(t) for t in sets], pa.int64()),
                         "bitmap": pa.array([signature(t).tobytes() for t in sets], pa.binary()),
-                        "shingles": pa.array([t.tobytes() for t in sets], pa.binary()),
                     }
                 )
 
-    # a Bloom filter of bounded size keeps the texts of other documents out of the shuffle
-    ids = cut_lineage(wanted.select(F.col("doc").alias("doc_id")))
-    words = min(urlfilter.bloom_words(ids.count()), urlfilter.MAX_WORDS)
-    maybe = cut_lineage(urlfilter.bloom_filter(ids.withColumnRenamed("doc_id", "key"), 0, words))
-    rows = docs.where(urlfilter.bloom_passes(F.col("doc_id"), 0, maybe, words)).join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    return rows.mapInArrow(textbytes.freeing(run), "doc long, n long, bitmap binary, shingles binary")
+    rows = docs.where(listed.may_be_listed(wanted, F.col("doc_id")))
+    return rows.mapInArrow(textbytes.freeing(run), "doc long, n long, bitmap binary")
+
+
+def _shingles(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """Shingles of the wanted documents and perhaps of others; no text is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in textbytes.slices(batch.column(1)):
+                sets = [_planes(t, 8) for t in shingle_sets(part, rule.width)]
+                yield pa.record_batch({"doc": batch.column(0).slice(part.first, part.rows), "shingles": pa.array(sets, pa.binary())})
+
+    rows = docs.where(listed.may_be_listed(wanted, F.col("doc_id")))
+    return rows.mapInArrow(textbytes.freeing(run), "doc long, shingles binary")
 
 
 def possible(rule: Rule, n1: np.ndarray, n2: np.ndarray, least1: np.ndarray, least2: np.ndarray, shared: np.ndarray, loss: np.ndarray) -> np.ndarray:
@@ -345,11 +353,14 @@ def _surviving(members: DataFrame, rule: Rule) -> DataFrame:
     return members.groupBy("run", "p", "q").applyInArrow(find, "a long, b long").distinct()
 
 
-def _linked(pairs: DataFrame, entries: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) that link: first by sizes and bitmaps, then by counting common shingles."""
+def _linked(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) that link: first by sizes and bitmaps, then by counting common shingles.
+
+    Shingles are worked out only for documents of pairs that their bitmaps leave.
+    """
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return entries.select(F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+    def side(table: DataFrame, name: str, *columns: str) -> DataFrame:
+        return table.select(F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,15 +376,20 @@ def _linked(pairs: DataFrame, entries: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                s, t = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
+                s, t = (_from_planes([v.as_buffer()], 8, np.uint64) for v in (x, y))
                 at = np.searchsorted(t, s)
                 both = int((t[np.minimum(at, len(t) - 1)] == s).sum()) if len(t) else 0
                 keep.append(both > 0 and rule.den * both >= rule.num * (len(s) + len(t) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    light = pairs.join(side("a", "n", "bitmap"), "a").join(side("b", "n", "bitmap"), "b")
+    light = pairs.join(side(sketches, "a", "n", "bitmap"), "a").join(side(sketches, "b", "n", "bitmap"), "b")
     left = light.select("a", "b", "n_a", "bitmap_a", "n_b", "bitmap_b").mapInArrow(textbytes.freeing(likely), "a long, b long")
-    full = cut_lineage(left).join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
+    left = cut_lineage(left.distinct())
+    if left.isEmpty():
+        return left
+    wanted = left.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    sets = cut_lineage(_shingles(docs, wanted, rule).join(wanted, "doc", "left_semi"))
+    full = left.join(side(sets, "a", "shingles"), "a").join(side(sets, "b", "shingles"), "b")
     return full.select("a", "b", "shingles_a", "shingles_b").mapInArrow(textbytes.freeing(counted), "a long, b long").distinct()
 
 
@@ -425,15 +441,15 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int, doc_id:
     degree = members.groupBy("doc").agg(F.count(F.lit(1)).alias("degree"))
     hubs = members.join(degree, "doc").groupBy("run").agg(F.max(F.struct("degree", (-F.col("doc")).alias("doc"))).alias("m"))
     hubs = cut_lineage(hubs.select("run", (-F.col("m.doc")).alias("hub")))
-    entries = cut_lineage(_entries(docs, degree, rule))
+    sketches = cut_lineage(_sketches(docs, degree.select("doc"), rule))
 
     pairs = cut_lineage(members.join(hubs, "run").where("doc <> hub").select(*_ordered("doc", "hub")).distinct())
-    links = cut_lineage(_linked(pairs, entries, rule))
+    links = cut_lineage(_linked(pairs, sketches, docs, rule))
     labels = connected_components(links)
-    dealt = _unsettled(members, hubs, labels).join(entries.select("doc", "n", "bitmap"), "doc")
+    dealt = _unsettled(members, hubs, labels).join(sketches, "doc")
     more = cut_lineage(_surviving(dealt, rule).join(pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        more = cut_lineage(_linked(more, entries, rule))
+        more = cut_lineage(_linked(more, sketches, docs, rule))
         if not more.isEmpty():
             labels = connected_components(links.unionByName(more))
     named = labels.select(F.col("node").alias("rep"), "component")
@@ -443,5 +459,6 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int, doc_id:
 def drop_near_copies(docs: DataFrame, width: int = 5, num: int = 8, den: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their component (smallest id), with all their columns; rows without an id stay."""
     found = cut_lineage(jaccard_components(docs, width, num, den, doc_id, text))
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
+    gone = cut_lineage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
+    clear, maybe = listed.split(docs, gone, F.col(doc_id).cast("long"))
+    return clear.unionByName(maybe.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti"))
