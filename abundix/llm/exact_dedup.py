@@ -21,6 +21,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from abundix.llm import listed
 from abundix.session import cut_lineage
 
 BLOCK_BYTES = 4096
@@ -118,17 +119,19 @@ def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     when no equal text has one.
     """
     groups = cut_lineage(exact_groups(docs, doc_id, text))
-    gone = groups.where("not kept")
-    if gone.isEmpty():
-        return docs
-    kept = groups.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    again = gone.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("text_sha256").distinct()
+    gone = groups.where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_again"))
+    gone = cut_lineage(gone.distinct())
     value = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
-    out = docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_id")) & (value == F.col("_sha")), "left_semi")
-    if again.isEmpty():
-        return out
-    marked = out.withColumn("_sha", value)
-    again = again.select(F.col("text_sha256").alias("_sha"), F.lit(True).alias("_again"))
-    marked = marked.join(again, "_sha", "left").select(*marked.columns, "_again")
-    single = marked.where("_again").dropDuplicates([doc_id, "_sha"])
-    return marked.where("_again is null").unionByName(single).drop("_sha", "_again")
+    out = docs
+    # texts of rows that are certainly not listed are not shuffled
+    others = gone.where("not _again").drop("_again")
+    if not others.isEmpty():
+        clear, maybe = listed.split(out, others.select("_id"), F.col(doc_id))
+        out = clear.unionByName(maybe.join(others, F.col(doc_id).eqNullSafe(F.col("_id")) & (value == F.col("_sha")), "left_anti"))
+    again = gone.where("_again").drop("_again")
+    if not again.isEmpty():
+        clear, maybe = listed.split(out, again.select("_id"), F.col(doc_id))
+        marked = maybe.withColumn("_text_sha", value).join(again, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha")), "left")
+        single = marked.where("_sha is not null").dropDuplicates([doc_id, "_sha"])
+        out = clear.unionByName(marked.where("_sha is null").unionByName(single).select(*docs.columns))
+    return out
