@@ -84,19 +84,27 @@ def ngram_jaccard(table):
 
 
 def _quality_sql() -> str:
-    tries = [(rule, cut) for rule, ladder in quality.LADDERS.items() for cut in ladder]
-    share, error = quality.RISK / len(quality.LADDERS), 0.05 / len(tries)
-    counts = ",\n".join(f"count(*) FILTER ({rule} > {cut}) AS {rule}_{cut}" for rule, cut in tries)
-
-    def safe(rule: str, cut: int) -> str:
-        k = f"{rule}_{cut}"
-        tail = (
+    """Cutoffs with the whole risk spent on the rules together, tested set by set."""
+    steps = quality.joint_steps(quality.LADDERS)
+    risk, last = quality.RISK, len(steps)
+    grown = [" OR ".join(f"{rule} > {cut}" for rule, cut in steps[: i + 1]) for i in range(last)]
+    counts = ", ".join(f"count(*) FILTER (held AND ({fails})) AS k{i}" for i, fails in enumerate(grown))
+    totals = ", ".join(f"sum({c})::BIGINT AS {c}" for c in ("n", *(f"k{i}" for i in range(last))))
+
+    def tail(k: str) -> str:
+        return (
             f"list_sum(list_transform(range(0, {k} + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)"
-            f" + i * ln({share!r}) + (n - i) * ln(1 - {share!r}))))"
+            f" + i * ln({risk!r}) + (n - i) * ln(1 - {risk!r}))))"
         )
-        return f"WHEN {k} <= n * {share!r} AND {tail} <= {error!r} / strata THEN {cut}"
 
-    cuts = ",\n".join(f"CASE {' '.join(safe(rule, cut) for cut in ladder)} END AS max_{rule}" for rule, ladder in quality.LADDERS.items())
+    def passed(safe: str) -> str:
+        """How many sets are safe before the first that is not."""
+        return f"CASE {' '.join(f'WHEN NOT ({safe.format(k=f"k{i}", tail=tail(f"k{i}"))}) THEN {i}' for i in range(last))} ELSE {last} END"
+
+    proven = passed(f"n > 0 AND {{k}} <= n * {risk!r} AND {{tail}} <= error")
+    lent = passed(f"{{k}} <= n * {risk!r}")
+    stricter = {rule: [(i, cut) for i, (name, cut) in reversed(list(enumerate(steps))) if name == rule] for rule in quality.LADDERS}
+    cuts = ", ".join(f"CASE {' '.join(f'WHEN passed > {i} THEN {cut}' for i, cut in of)} END AS max_{rule}" for rule, of in stricter.items())
     hits = ", ".join(f"CASE WHEN {rule} > max_{rule} THEN '{rule}' END" for rule in quality.LADDERS)
     return rf"""
     WITH words AS (
@@ -125,8 +133,14 @@ def _quality_sql() -> str:
             CASE WHEN n_words = 0 THEN 0 ELSE n_repeat_words * 10000 // n_words END AS repeats
         FROM counts),
     good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY 1 HAVING min(quality) = 1),
-    tried AS (SELECT lang, count(*) AS n, {counts} FROM features JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY 1),
-    cutoffs AS (SELECT lang, {cuts} FROM (SELECT *, greatest(count(*) OVER (), 1) AS strata FROM tried)),
+    marked AS (SELECT f.*, g.doc_id IS NOT NULL AND NOT base_failed AS held FROM features f LEFT JOIN good g ON g.doc_id = f.doc_id),
+    tried AS (SELECT lang, count(*) FILTER (held) AS n, {counts} FROM marked GROUP BY 1),
+    level AS (SELECT 0.05 / (count(*) FILTER (n > 0) + 1) AS error FROM tried),
+    pool AS (SELECT {proven} AS pool FROM (SELECT {totals} FROM tried), level),
+    chosen AS (
+        SELECT lang, CASE WHEN n * ln(1 - {risk!r}) > ln(error) THEN least(pool, {lent}) ELSE {proven} END AS passed
+        FROM tried, level, pool),
+    cutoffs AS (SELECT lang, {cuts} FROM chosen),
     judged AS (
         SELECT f.*, list_filter([{hits}], lambda x: x IS NOT NULL) AS r
         FROM features f LEFT JOIN cutoffs c ON f.lang IS NOT DISTINCT FROM c.lang)
@@ -138,7 +152,7 @@ def _quality_sql() -> str:
 
 @_query("op3_quality_rules", _quality_sql())
 def quality_rules(table):
-    return quality.quality_verdicts(table("documents"), table("labels"))
+    return quality.quality_verdicts(table("documents"), table("labels"), choose=quality.joint_thresholds)
 
 
 @_query("op4_toxicity")

@@ -5,6 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from abundix.llm import quality as q
+from abundix.llm.queries import QUERIES
 from tests.llm.conftest import prose, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -106,3 +107,15 @@ def test_rejects_and_keeps(documents, spark):
 def test_empty_table(documents, spark):
     df = documents([(1, "a", None, None)]).where("doc_id < 0")
     assert q.quality_verdicts(df, spark.createDataFrame([], "doc_id long, quality int")).collect() == []
+
+
+def test_query_rejects_by_its_rules(spark):
+    """Every language has labels enough for cutoffs, and they reject more than the base rule does."""
+    out = QUERIES["op3_quality_rules"](spark, "/root/testdata/sf0.01").collect()
+    rejected = [r for r in out if r.rejected_by]
+    labels = dict(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality is not null").select("doc_id", "quality").collect())
+    passed = [r for r in out if not r.base_failed]
+    assert rejected and all(not r.kept for r in rejected) and all(r.kept for r in passed if not r.rejected_by)
+    assert not [r for r in passed if labels.get(r.doc_id) == 0 and r.kept]
+    good = [r for r in passed if labels.get(r.doc_id) == 1]
+    assert sum(not r.kept for r in good) <= q.RISK * len(good)
