@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from abundix.functions.alignments import match_count
-from abundix.plans import profiles as p
+from abundix.plans import cohort, profiles as p
+from abundix.session import cut_lineage, scratch_path
 from oracle_queries import associations as sql_a, hits as sql_h, pathways as sql_p
 from oracle_queries.registry import LENSES, query
 
@@ -363,3 +364,31 @@ def contribution_table(v):
         v["feature_table"], "Brand#3", v["sample_meta"], genera=True, taxa=2, levels=3, scaling="totalsum"
     )
     return out.withColumn("value", F.round("value", 6))
+
+
+def _grown(v):
+    """The feature table as a cohort to which the samples of two flags were added later, one of them twice."""
+    path = scratch_path(v.spark, "cohort")
+    table = cut_lineage(v["feature_table"])
+    late = F.col("sample").startswith("N")
+    cohort.create_cohort(table.where(~late), path, buckets=16)
+    wrong = table.where(late & F.col("sample").endswith("5")).withColumn("value", F.lit(-1.0))
+    cohort.add_samples(v.spark, path, wrong)
+    cohort.add_samples(v.spark, path, table.where(late))
+    return path
+
+
+@query("cohort_add_samples", "SELECT code, name, stratum, sample, value FROM {feature_table}")
+def cohort_add_samples(v):
+    return cohort.read_cohort(v.spark, _grown(v))
+
+
+@query(
+    "cohort_totals",
+    """
+SELECT code, name, stratum, sum(value) AS sum, count(*) AS cells, min(value) AS low, max(value) AS high
+FROM {feature_table} GROUP BY code, name, stratum
+""",
+)
+def cohort_totals(v):
+    return cohort.cohort_totals(v.spark, _grown(v))
