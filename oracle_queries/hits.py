@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from abundix.functions import alignments as al, references as ref
 from abundix.operators import hits as h
 from abundix.operators.scaling import ordered_prefix
+from abundix.session import scratch_path
+from abundix.sources.stored import store_by_query
 from oracle_queries.registry import query
 
 REFERENCES = """
@@ -441,3 +443,26 @@ def running_total(v):
     order = [F.col(c).asc() for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")]
     out = ordered_prefix(v["lineitem"], ["l_suppkey"], order, "l_quantity", "sum", "earlier")
     return out.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "earlier")
+
+
+def _stored(v, rows, kind: str):
+    path = scratch_path(v.spark, kind)
+    return store_by_query(rows, "stored_" + path.rsplit("-", 1)[-1], 16, path)
+
+
+@query("gene_scores_stored", f"SELECT bug, gene, round(score, 6) AS score FROM ({scores_sql(ADJUSTED)})")
+def gene_scores_stored(v):
+    """The hits lie in buckets by read, so that the weights need no shuffle by read."""
+    return h.gene_scores(_stored(v, v["hits"], "hits")).withColumn("score", F.round("score", 6))
+
+
+@query(
+    "unaligned_reads_stored",
+    f"""
+SELECT DISTINCT query FROM ({SAM_KEPT}) WHERE NOT kept
+AND query NOT IN (SELECT query FROM ({FILTERED}))
+""",
+)
+def unaligned_reads_stored(v):
+    hits = _stored(v, h.filter_hits(v["hits"], 80, 0.05, 40), "hits")
+    return h.unaligned_reads(_stored(v, _sam(v), "records"), hits)

@@ -83,7 +83,10 @@ def test_buckets_can_become_empty(spark, frame, tmp_path):
 def test_only_touched_buckets_are_read(spark, frame, tmp_path):
     path = str(tmp_path / "cohort")
     co.create_cohort(frame(table(4, [f"s{i}" for i in range(30)]), TABLE), path, buckets=8)
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     plan = co._stored(spark, path, "cells", co._CELLS).where(F.col("bucket").isin([3]))._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [bucket" in plan
+    spark.conf.set("spark.sql.maxMetadataStringLength", before)
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan or "PartitionFilters: [bucket" in plan
     with pytest.raises(Exception):
         co.create_cohort(frame(table(4, ["s1"]), TABLE), path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from abundix.functions.alignments import COUNTS, RPK
 from abundix.operators import hits as h
 from abundix.plans.profiles import profile_gene_families
+from abundix.sources.stored import store_by_query, stored
 from tests.conftest import as_dict
 
 HIT = "query string, gene string, bug string, matches double, gene_length int, aligned_length double"
@@ -144,3 +145,25 @@ def test_profile_of_many_samples(two_hits, frame):
     assert first == {"x": 7.0, "y": 0.0}
     total = lines.where("stratum is null and position > 1").groupBy("sample").agg(F.sum("value").alias("v"))
     assert as_dict(total, "sample", "v") == pytest.approx({"x": 1e6, "y": 1e6})
+
+
+def test_stored_hits_are_not_shuffled_by_read(spark, frame, tmp_path):
+    rng = random.Random(21)
+    rows = [(f"q{rng.randint(0, 40)}", f"g{rng.randint(0, 9)}", "b", float(rng.randint(1, 50)), 100 * rng.randint(1, 9), 30.0) for _ in range(300)]
+    hits = frame(rows, "query string, gene string, bug string, matches double, gene_length int, aligned_length double").repartition(3)
+    kept = store_by_query(hits, "stored_hits", 8, str(tmp_path / "hits"))
+    records = hits.withColumn("kept", F.col("matches") > 20)
+    stored_records = store_by_query(records, "stored_records", 8, str(tmp_path / "records"))
+    try:
+        assert as_dict(h.gene_scores(kept), ("bug", "gene"), "score") == pytest.approx(as_dict(h.gene_scores(hits), ("bug", "gene"), "score"))
+        some = kept.where("gene < 'g3'")
+        want = {r["query"] for r in h.unaligned_reads(records, hits.where("gene < 'g3'")).collect()}
+        assert {r["query"] for r in h.unaligned_reads(stored_records, some).collect()} == want
+        for df, exchanges in ((h.gene_scores(kept), 1), (h.unaligned_reads(stored_records, some), 0), (h.query_weights(stored(spark, "stored_hits")), 0)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == exchanges and "hashpartitioning(query" not in plan
+        with pytest.raises(Exception, match="already exists"):
+            store_by_query(hits, "stored_hits", 8, str(tmp_path / "again"))
+    finally:
+        spark.sql("DROP TABLE IF EXISTS stored_hits")
+        spark.sql("DROP TABLE IF EXISTS stored_records")
