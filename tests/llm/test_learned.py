@@ -1,4 +1,6 @@
+import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -122,3 +124,94 @@ def test_tables_equal_the_convolution():
     h = np.concatenate([(langid._patches(e, w) @ f)[:, :places].max(axis=1) for w, f in zip(langid.WIDTHS, net.filters)], axis=1)
     want = np.maximum(h + net.shifts, 0) @ net.output + net.bias
     assert np.allclose(langid._logits(net, langid._tables(net), x), want, atol=1e-4)
+
+
+def by_hand(model, text):
+    """Score, offending sentences and the worst one of a text, sentence by sentence in plain Python."""
+    data = (text or "").encode()
+    spans = [match.span() for match in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    sentences, held = [], []
+    for a, b in spans:
+        ends = held and (data[held[-1][1] - 1 : held[-1][1]] in (b".", b"!", b"?") or b"\n" in data[held[-1][1] : a] or len(held) == toxicity.LONGEST)
+        if ends:
+            sentences.append(held)
+            held = []
+        held = [*held, (a, b)]
+    if held:
+        sentences.append(held)
+    edge = "".join(map(chr, np.flatnonzero(toxicity._EDGE))).encode()
+    clean, offending, worst = 1.0, 0, (-1, 0, 0.0)
+    for words_ in sentences:
+        features = set()
+        for a, b in words_:
+            word = bytes(c + 32 if 65 <= c <= 90 else c for c in data[a:b])
+            word = word.strip(edge) or word
+            for i, part in enumerate((word, *(word[:n] for n in toxicity.HEADS))):
+                features.add(feature_of(part, i))
+        p = 1 / (1 + math.exp(-(sum(float(model.weights[f]) for f in features) + model.bias)))
+        clean *= 1 - p
+        offending += p >= 0.5
+        if p > worst[2] + 1e-12:
+            worst = (words_[0][0], words_[-1][1] - words_[0][0], p)
+    return 1 - clean if sentences else 0.0, offending, worst
+
+
+def feature_of(part, head):
+    """The feature of a word's bytes: ``head`` 0 for the word, else the n-th of its beginnings."""
+    text = textbytes.Text(0, 1, np.frombuffer(part, dtype=np.uint8), np.array([0, len(part)]))
+    code = textbytes.words(text).code[0] + np.uint64(head)
+    return int(textbytes.mix(np.array([code], dtype=np.uint64))[0] >> np.uint64(64 - toxicity.BITS))
+
+
+def test_scores_of_whole_texts_by_hand():
+    r = random.Random(9)
+    vocabulary = ["good", "Villain", "villains", "(villain)", "oaf", "oafish!", "a", "no.", "so?", "...", "é!", "tail"]
+    texts = [None, "", " \n ", "villain"] + ["".join(r.choice(vocabulary) + r.choice([" ", " ", " ", "\n", ". ", "\t"]) for _ in range(r.randint(1, 120))) for _ in range(60)]
+    weights = np.zeros(1 << toxicity.BITS, dtype=np.float32)
+    for word, w in (("villain", 4.0), ("oaf", 1.5), ("no", 0.5), ("good", 0.25)):
+        weights[feature_of(word.encode(), 0)] = w
+    for word, n in (("vill", 1), ("villa", 2), ("oafi", 1)):
+        weights[feature_of(word.encode(), n)] = 2.0
+    model = toxicity.Model(weights, -4.0)
+    got = []
+    for part in textbytes.slices(pa.array(texts), 500):
+        got += list(zip(*toxicity._scored(model, part)))
+    for text, (score, count, begin, length, worst) in zip(texts, got):
+        want, offending, place = by_hand(model, text)
+        assert abs(score - want) < 1e-9 and count == offending
+        assert abs(worst - place[2]) < 1e-9
+        if text and text.strip():
+            assert (begin, length) == place[:2]
+
+
+def test_language_of_whole_texts_by_hand():
+    """The mean of the windows' answers, weighted by their lengths, worked out window by window."""
+    r = np.random.default_rng(4)
+    x = r.integers(0, 256, (6, langid.WINDOW)).astype(np.uint8)
+    net = langid.train(x, np.array([0, 1, 2, 0, 1, 2]), ["p", "q", "s"], epochs=2)
+    texts = ["a", "Grüße aus Köln. ", "x" * 255, "y" * 257, "Abc déf " * 300, speech("bb", 900, 1)]
+    wide = max(langid.WIDTHS)
+    step = langid.WINDOW - wide + 1
+    for part in textbytes.slices(pa.array(texts), 3000):
+        best, score = langid._predict(net, langid._tables(net), part)
+        for i in range(part.rows):
+            data = bytes(c + 32 if 65 <= c <= 90 else c for c in texts[part.first + i].encode())
+            total, share, low = np.zeros(3), 0, 0
+            while low == 0 or low < len(data) - wide + 1:
+                window = data[low : low + langid.WINDOW]
+                padded = np.frombuffer(window.ljust(langid.WINDOW), dtype=np.uint8)[None]
+                e = net.embedding[padded]
+                h = np.concatenate([(langid._patches(e, w) @ f)[0, :step].max(axis=0) for w, f in zip(langid.WIDTHS, net.filters)])
+                total += (np.maximum(h + net.shifts, 0) @ net.output + net.bias) * len(window)
+                share += len(window)
+                low += step
+            z = total / share
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            assert best[i] == p.argmax() and abs(score[i] - p.max()) < 1e-4
+
+
+def test_language_of_an_empty_table(documents, spark):
+    rows = [(i, speech(["aa", "bb"][i % 2], 40, i), ["aa", "bb"][i % 2], "a") for i in range(80)]
+    predict = langid.predictor(spark, langid.fit(documents(rows)))
+    assert documents(rows).where("doc_id < 0").select(predict(F.col("text")).alias("p")).collect() == []
+    assert langid.fit(documents(rows).where("doc_id < 0")) is None

@@ -1,3 +1,6 @@
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +63,52 @@ def test_empty_table(documents):
     df = documents([(1, "a", None, None)]).where("doc_id < 0")
     assert m.mix(df, F.array("source")).collect() == []
     assert m.mixed_documents(df, F.array("source")).count() == 0
+
+
+def flow_cost(words, taken):
+    passes, rest = divmod(taken, words) if words else (0, 0)
+    return sum(r * words for r in range(1, passes + 1)) + (passes + 1) * rest
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_flow_is_the_cheapest_of_the_largest(seed):
+    """Every way to send whole words, by hand: most words first, then least cost of repetition."""
+    r = random.Random(seed)
+    members = {"a": ["a"], "ab": ["a", "b"], "b": ["b"]}
+    capacity = {p: r.randint(0, 3) for p in members}
+    targets = {"a": r.randint(0, 6), "b": r.randint(0, 6)}
+    best = None
+    for a, x, y, b in itertools.product(*(range(2 * capacity[p] + 1) for p in ("a", "ab", "ab", "b"))):
+        if a + x <= targets["a"] and y + b <= targets["b"] and x + y <= 2 * capacity["ab"]:
+            cost = flow_cost(capacity["a"], a) + flow_cost(capacity["ab"], x + y) + flow_cost(capacity["b"], b)
+            best = min(best or (0, 0), (-(a + x + y + b), cost)) if best else (-(a + x + y + b), cost)
+    flow = m.min_cost_flow(capacity, members, targets, 2)
+    taken = {p: sum(flow[p, s] for s in members[p]) for p in members}
+    assert all(sum(flow[p, s] for p in members if s in members[p]) <= targets[s] for s in targets)
+    assert (-sum(taken.values()), sum(flow_cost(capacity[p], taken[p]) for p in members)) == best
+
+
+def test_the_last_pass_stops_where_plain_python_stops(documents):
+    """Documents in seeded order until one no longer fits, and one more that fills the gap best."""
+    rows = [(i, prose(1 + i * 13 % 60, i), None, ["a", "b", "c"][i % 7 % 3]) for i in range(200)]
+    df = documents(rows)
+    at = {r.doc_id: r.at for r in df.select("doc_id", m.place(F.col("doc_id"), F.col("text"), 7).alias("at")).collect()}
+    size = {i: len(t.split()) for i, t, *_ in rows}
+    words = {s: sum(size[i] for i, *_, x in rows if x == s) for s in "abc"}
+    targets = m.share_out(words, total=1.5 * sum(words.values()))
+    want = {}
+    for s in "abc":
+        passes, rest = divmod(round(targets[s]), words[s])
+        own = sorted((i for i, *_, x in rows if x == s), key=at.get)
+        chosen, stop = set(), len(own)
+        for n, i in enumerate(own):
+            if size[i] > rest:
+                stop = n
+                break
+            chosen.add(i)
+            rest -= size[i]
+        late = [(abs(size[i] - rest), at[i], i) for i in own[stop:] if size[i]]
+        if late and min(late)[0] < rest:
+            chosen.add(min(late)[2])
+        want |= {i: passes + (i in chosen) for i in own}
+    assert {r.doc_id: r.times for r in m.mix(df, F.array("source")).collect()} == want
