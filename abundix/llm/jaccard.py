@@ -30,6 +30,7 @@ not; sets are compared by 64-bit hashes of their shingles.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -202,6 +203,16 @@ def _routed(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
     return docs.where("doc_id is not null").mapInArrow(textbytes.freeing(run), "bucket int, keys binary, docs binary")
 
 
+def _bucket_count(sets: DataFrame, rule: Rule) -> int:
+    """Buckets of about ``_FLUSH`` postings, and as many as there are shuffle partitions at least.
+
+    A set posts its parts in two bands at most, and has some more parts than shingles in which it may differ.
+    """
+    parts = F.col("n_shingles") * (1.15 * (rule.den - rule.num) / rule.num) + 4
+    postings = sets.agg(F.sum(2 * parts).alias("n")).first().n or 0
+    return max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(postings / _FLUSH))
+
+
 def _runs(routed: DataFrame) -> DataFrame:
     """(run, doc): documents that share a key; runs of the same documents have the same name."""
 
@@ -412,7 +423,8 @@ def _unsettled(members: DataFrame, hubs: DataFrame, labels: DataFrame) -> DataFr
         F.when(small, 0).otherwise(F.ceil(F.col("inside") / BLOCK)).alias("inner"),
         F.when(small, 1).otherwise(F.ceil(F.col("outside") / BLOCK)).alias("outer"),
     )
-    named = named.join(sizes, "run")
+    # written, so that its size is known: where it is small, runs are not dealt out anew
+    named = named.join(cut_lineage(sizes), "run")
     spread = F.pmod(F.xxhash64("doc"), F.greatest(F.when(F.col("settled") == 1, F.col("inner")).otherwise(F.col("outer")), F.lit(1)))
     own = F.when(F.col("inner") == 0, F.lit(0).cast("long")).when(F.col("settled") == 1, spread).otherwise(F.col("inner") + spread)
     # a settled block meets the unsettled ones; an unsettled block meets all
@@ -427,8 +439,8 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int, doc_id:
     """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
     rule = Rule(width, num, den)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = cut_lineage(_sets(docs, rule))
+    buckets = _bucket_count(sets, rule)
     key = ["n_shingles", "print1", "print2"]
     classes = sets.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"))
     reps = cut_lineage(sets.join(classes, key, "left").select("doc_id", "n_shingles", "rep"))

@@ -79,6 +79,23 @@ def test_family_without_its_base(documents, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 3, 90, 100)
 
 
+def test_buckets_follow_the_postings(documents, monkeypatch):
+    """A bucket holds about as many postings however many shuffle partitions are set, and the estimate is no less than they are."""
+    rows = list(enumerate(" ".join(words(40 + 37 * k, k)) for k in range(40)))
+    rule = j.Rule(5, 8, 10)
+    sets = j._sets(documents([(i, t, None, None) for i, t in rows]).select("doc_id", "text"), rule)
+    monkeypatch.setattr(j, "_FLUSH", 100)
+    count = j._bucket_count(sets, rule)
+    bands = j._Bands(rule)
+    posted = sum(sum(map(len, bands.keys(s))) for part in textbytes.slices(pa.array([t for _, t in rows])) for s in j.shingle_sets(part, 5))
+    assert posted / 100 <= count <= 3 * posted / 100
+    monkeypatch.setattr(j, "_FLUSH", 1 << 20)
+    assert j._bucket_count(sets, rule) == 4
+    monkeypatch.setattr(j, "_FLUSH", 50)
+    got = j.jaccard_components(documents([(i, t, None, None) for i, t in rows + [(99, rows[3][1] + " x")]]), 5, 8, 10).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows + [(99, rows[3][1] + " x")], 5, 8, 10)
+
+
 def test_odd_rows(documents, odd_rows):
     got = j.jaccard_components(documents(odd_rows), 3, 90, 100).collect()
     assert len(got) == len(odd_rows)
