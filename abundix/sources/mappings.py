@@ -208,13 +208,36 @@ def read_taxonomy(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataF
     return tree, section("FAMILY", "TAXID")
 
 
+def _owners(nodes: DataFrame) -> DataFrame:
+    """``(reaction, _owners)``: the distinct pathways of each reaction, a name may be null."""
+    entries = nodes.where(F.col("reaction").isNotNull()).select("pathway", "reaction")
+    owners = entries.groupBy("reaction").agg(F.collect_set(F.struct("pathway")).alias("_owners"))
+    # written, so that its size is known: a small one goes to the genes and these are not dealt out by reaction
+    return cut_lineage(owners.select("reaction", F.transform("_owners", lambda o: o["pathway"]).alias("_owners")))
+
+
+def _listed(pairs: DataFrame, owners: DataFrame) -> DataFrame:
+    # a gene's reactions meet in one task before its pathways are put to them, so no list is shuffled
+    pairs = pairs.select("gene", "reaction").where(F.col("reaction").isNotNull()).repartition("gene").distinct()
+    lists = pairs.join(owners, "reaction").groupBy("gene").agg(F.collect_list("_owners").alias("_lists"))
+    return lists.select("gene", F.array_distinct(F.flatten("_lists")).alias("pathways"))
+
+
+def gene_pathways(reactions: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(gene, pathways)``: the members of :func:`pathway_members` as one list per gene."""
+    return _listed(reactions, _owners(nodes))
+
+
 def pathway_members(reactions: DataFrame, nodes: DataFrame, ec_separator: str = ",") -> tuple[DataFrame, DataFrame]:
     """``(pathway, gene)`` and the same for EC numbers, from ``read_reactions`` and pathway nodes or flat pathways.
 
-    An optional reaction is a member like any other.  A reaction's EC list is split.
+    An optional reaction is a member like any other.  A reaction's EC list is split.  The pairs are unfolded from
+    one list of pathways per gene, after the shuffle.
     """
-    entries = nodes.where(F.col("reaction").isNotNull()).select("pathway", "reaction").distinct()
-    genes = entries.join(reactions.select("reaction", "gene"), "reaction").select("pathway", "gene").distinct()
+    owners = _owners(nodes)
     ecs = reactions.select("reaction", F.explode(F.split("ec", ec_separator)).alias("gene"))
     ecs = ecs.where(F.length("gene") > 0).distinct()
-    return genes, entries.join(ecs, "reaction").select("pathway", "gene").distinct()
+    genes, numbers = (
+        _listed(pairs, owners).select(F.explode("pathways").alias("pathway"), "gene") for pairs in (reactions, ecs)
+    )
+    return genes, numbers
