@@ -6,14 +6,15 @@ Tables here are ``(stratum, sample, value)``; absent cells are 0.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from abundix.functions.features import OTHER, UNCLASSIFIED
-from abundix.operators.scaling import ordered_prefix, sorted_position, with_group_totals
+from abundix.operators.scaling import sorted_position, with_group_totals
 from abundix.session import cut_lineage
 
 _BLOCK = 256
@@ -163,8 +164,14 @@ def braycurtis_pairs(table: DataFrame, pairs: DataFrame, relative: bool = True)
     return known.join(shared, ["sample1", "sample2"], "left").select("sample1", "sample2", distance.alias("distance"))
 
 
-#: Bounds are widened by this share, so that sums in another order lose no pair.
+#: Distances are found with sums in another order than they are worked out with.
 _ROUNDING = 1e-9
+#: Blocks that the samples are cut into, and the most samples and cells of a block.
+_NEAR_BLOCKS = 32
+_NEAR_SAMPLES = 8192
+_NEAR_CELLS = 1 << 20
+#: Sums of minima that a task holds at once.
+_NEAR_STRIP = 1 << 22
 
 
 def _positive_cells(table: DataFrame, relative: bool) -> DataFrame:
@@ -172,80 +179,149 @@ def _positive_cells(table: DataFrame, relative: bool) -> DataFrame:
     return cut_lineage(contribution_scaling(cells, "totalsum") if relative else cells)
 
 
-def _near_pairs(cells: DataFrame, most: float, queries: DataFrame | None) -> DataFrame:
-    """Pairs ``(sample1, sample2, distance)`` up to ``most``; with ``queries(sample)`` those of which one is a query.
-
-    A sample shares at least ``total * (1 - most) / (1 + most)`` with any sample that near.  Its strata are put in one
-    order for all samples, rare ones first; its prefix are the first strata, up to where the rest is less than
-    that.  Near samples share a stratum of both prefixes: their first common stratum, since all they share comes
-    from there on.  Pairs that do are kept if the totals, and what the prefixes share with the larger of the rests,
-    allow the distance; only these are worked out.
+def _pack(cells: pa.Table) -> pa.Table:
+    """The samples of a block by name, its strata, and its cells by stratum and sample as numbers."""
+    sample, samples = pd.factorize(cells["sample"].to_pandas(), sort=True)
+    stratum, strata = pd.factorize(cells["stratum"].to_pandas(), sort=True)
+    value = cells["value"].to_numpy()
+    totals = np.bincount(sample, weights=value, minlength=len(samples))
+    order = np.lexsort((sample, stratum))
+    order = order[stratum[order] >= 0]  # a cell without a stratum only counts for the total
+    block = {
+        "samples": pa.array(samples), "totals": pa.array(totals), "strata": pa.array(strata, cells["stratum"].type),
+        "sample": pa.array(sample[order].astype("int32")), "stratum": pa.array(stratum[order].astype("int32")),
+        "value": pa.array(value[order]),
+    }
+    lists = {name: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for name, v in block.items()}
+    return pa.table({"_block": pa.array([cells["_block"][0].as_py()], pa.int32()), **lists})
+
+
+class _Block:
+    """A packed block in a task."""
+
+    def __init__(self, rows: pa.Table, at: int):
+        self.number = rows["_block"][at].as_py()
+        for name in ("samples", "totals", "strata", "sample", "value"):
+            setattr(self, name, rows[name][at].values.to_numpy(zero_copy_only=False))
+        stratum = rows["stratum"][at].values.to_numpy(zero_copy_only=False)
+        self.ends = np.searchsorted(stratum, np.arange(len(self.strata) + 1))
+
+
+def _strips(left: _Block, right: _Block):
+    """The distances of the samples of two blocks, some rows at a time; infinite for pairs that share nothing."""
+    at = pd.Index(right.strata).get_indexer(left.strata)
+    shared = [(i, j) for i, j in enumerate(at) if j >= 0]
+    size = max(1, _NEAR_STRIP // max(1, len(right.samples)))
+    for start in range(0, len(left.samples), size):
+        rows = np.arange(start, min(start + size, len(left.samples)))
+        sums = np.zeros((len(rows), len(right.samples)))
+        for i, j in shared:
+            low, high = left.ends[i] + np.searchsorted(left.sample[left.ends[i]:left.ends[i + 1]], (start, start + size))
+            mine, other = slice(low, high), slice(right.ends[j], right.ends[j + 1])
+            if low < high:
+                sums[np.ix_(left.sample[mine] - start, right.sample[other])] += np.minimum.outer(left.value[mine], right.value[other])
+        distance = np.where(sums > 0, 1 - 2 * sums / (left.totals[rows, None] + right.totals[None, :]), np.inf)
+        if left is right:
+            distance[np.arange(len(rows)), rows] = np.inf
+        yield start, distance
+
+
+def _first(group: np.ndarray, other: np.ndarray, distance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` least distances of each group, of equals those that come first by name."""
+    order = np.lexsort((other, distance, group))
+    group = group[order]
+    kept = np.arange(len(group)) - np.searchsorted(group, group) < k
+    return group[kept], other[order][kept], distance[order][kept]
+
+
+def _nearest(distance: np.ndarray, k: int, most: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and distance of the ``k`` nearest columns of every row."""
+    near = distance <= most
+    if distance.shape[1] > k:
+        near &= distance <= np.partition(distance, k - 1, axis=1)[:, k - 1:k]
+    row, column = np.nonzero(near)
+    return _first(row, column, distance[row, column], k)
+
+
+def _near_rows(cells: DataFrame, most: float, k: int | None) -> DataFrame:
+    """``(one, two, distance)``: each pair up to ``most`` once, or with ``k`` each sample's nearest of every block.
+
+    All pairs of samples are compared, so the work grows with the square of the samples; what a task holds does
+    not.  Samples are hashed to blocks, a block becomes one row of arrays, and a task takes two blocks.  There it goes
+    through the strata that both have, adding up the minima of the samples that have them.
     """
-    share = (1 - most) / (1 + most) * (1 - _ROUNDING)
-    spread = cells.groupBy("stratum").agg(F.count(F.lit(1)).alias("_samples"))
-    rows = ordered_prefix(
-        cells.join(spread, "stratum"), ["sample"], [F.col("_samples").desc(), F.col("stratum").desc()], "value", "sum", "_onward", inclusive=True
-    )
-    totals = cells.groupBy("sample").agg(F.sum("value").alias("_total"))
-    prefix = rows.join(totals, "sample").where(F.col("_onward") >= F.col("_total") * share).select("stratum", "sample", "value", "_total")
-    held = prefix.groupBy("sample").agg(F.sum("value").alias("_held"))
-    prefix = prefix.join(held, "sample").withColumn("_rest", F.col("_total") - F.col("_held")).drop("_held")
-    if queries is not None:
-        prefix = prefix.join(queries.select("sample", F.lit(True).alias("_asked")), "sample", "left")
-    else:
-        prefix = prefix.withColumn("_asked", F.lit(True))
-    prefix = cut_lineage(prefix)
-
-    def side(i: int) -> DataFrame:
-        return prefix.select("stratum", *[F.col(c).alias(f"{c.lstrip('_')}{i}") for c in ("sample", "value", "_total", "_rest", "_asked")])
-
-    both = side(1).join(side(2), "stratum").where(
-        (F.col("sample1") < F.col("sample2"))
-        & (F.coalesce("asked1", "asked2"))
-        & (F.least("total1", "total2") >= F.greatest("total1", "total2") * share)
-    )
-    met = both.groupBy("sample1", "sample2").agg(
-        F.sum(F.least("value1", "value2")).alias("_met"),
-        F.first(F.greatest("rest1", "rest2")).alias("_rest"),
-        F.first(F.col("total1") + F.col("total2")).alias("_totals"),
+    cells = cells.where(F.col("sample").isNotNull()).select("stratum", "sample", F.col("value").cast("double").alias("value"))
+    seen = cells.agg(F.count_distinct("sample").alias("samples"), F.count(F.lit(1)).alias("cells")).first()
+    size = min(_NEAR_SAMPLES, max(1, -(-seen["samples"] // _NEAR_BLOCKS)))
+    blocks = max(1, -(-seen["samples"] // size), -(-seen["cells"] // _NEAR_CELLS))
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arrow = to_arrow_type(cells.schema["sample"].dataType)
+    schema = pa.schema([("one", arrow), ("two", arrow), ("distance", pa.float64())])
+    name, stratum = (cells.schema[c].dataType.simpleString() for c in ("sample", "stratum"))
+    arrays = f"samples array<{name}>, totals array<double>, strata array<{stratum}>, sample array<int>, stratum array<int>, value array<double>"
+    packed = cells.withColumn("_block", F.pmod(F.xxhash64("sample"), F.lit(blocks)).cast("int"))
+    packed = cut_lineage(packed.groupBy("_block").applyInArrow(_pack, f"_block int, {arrays}"))
+
+    def compare(rows: pa.Table) -> pa.Table:
+        parts = [_Block(rows, i) for i in range(rows.num_rows)]
+        left, right = parts[0], parts[-1]
+        if left is right and rows["_low"][0] != rows["_high"][0]:
+            return schema.empty_table()  # the other block holds nothing
+        found = []
+        for start, distance in _strips(left, right):
+            if k is None:
+                if left is right:
+                    # the pairs of one block are found from both sides
+                    distance[np.arange(len(distance))[:, None] + start >= np.arange(distance.shape[1])] = np.inf
+                one, two = np.nonzero(distance <= most)
+                found.append((0, one + start, two, distance[one, two]))
+                continue
+            one, two, near = _nearest(distance, k, most)
+            found.append((0, one + start, two, near))
+            if left is not right:
+                two, one, near = _nearest(np.ascontiguousarray(distance.T), k, most)
+                found.append((1, two, one + start, near))
+        out = []
+        for turned, (mine, other) in enumerate(((left, right), (right, left))):
+            some = [part[1:] for part in found if part[0] == turned]
+            if some:
+                one, two, near = (np.concatenate(column) for column in zip(*some))
+                if k is not None:
+                    one, two, near = _first(one, two, near, k)
+                out.append((mine.samples[one], other.samples[two], near))
+        columns = [np.concatenate(column) for column in zip(*out)]
+        return pa.table(columns, schema=schema)
+
+    # a fixed number of partitions: two blocks are few bytes but long work, and would be merged into few tasks
+    both = (
+        packed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        .withColumns({"_low": F.least("_block", "_other"), "_high": F.greatest("_block", "_other")})
+        .repartition(tasks, "_low", "_high")
     )
-    enough = (F.col("_met") + F.col("_rest")) >= F.col("_totals") * ((1 - most) / 2 * (1 - _ROUNDING) - _ROUNDING)
-    return braycurtis_pairs(cells, met.where(enough), relative=False).where(F.col("distance") <= most)
+    return both.groupBy("_low", "_high").applyInArrow(compare, f"one {name}, two {name}, distance double")
 
 
 def similar_samples(table: DataFrame, most: float, relative: bool = True) -> DataFrame:
-    """All pairs ``sample1 < sample2`` with a Bray-Curtis ``distance`` up to ``most`` (below 1), without trying all pairs."""
+    """All pairs ``sample1 < sample2`` with a Bray-Curtis ``distance`` up to ``most`` (below 1)."""
     if not 0 <= most < 1:
         raise ValueError("most must be at least 0 and below 1")
-    return _near_pairs(_positive_cells(table, relative), most, None)
+    cells = _positive_cells(table, relative)
+    # a little further, so that sums in another order lose no pair
+    near = _near_rows(cells, most + _ROUNDING, None)
+    pairs = cut_lineage(near.select(F.least("one", "two").alias("sample1"), F.greatest("one", "two").alias("sample2")))
+    return braycurtis_pairs(cells, pairs, relative=False).where(F.col("distance") <= most)
 
 
 def nearest_samples(table: DataFrame, k: int = 5, relative: bool = True, steps: Sequence[float] = (0.25, 0.5, 0.75, 1.0)) -> DataFrame:
     """The ``k`` nearest other samples of each sample, ties by name: ``sample, rank, neighbour, distance``.
 
-    Pairs are looked for up to each distance of ``steps`` in turn, in the later ones only for the samples that have
-    not found ``k`` neighbours yet.  Samples that share no stratum are not neighbours.
+    Neighbours are at most as far as the last of ``steps``.  Samples that share no stratum are not neighbours.
     """
-    cells = _positive_cells(table, relative)
-    open_ = cut_lineage(cells.select("sample").distinct())
-    found = []
-    for i, most in enumerate(steps):
-        pairs = cut_lineage(_near_pairs(cells, most, open_ if i else None))
-        turned = pairs.select(F.col("sample2").alias("sample"), F.col("sample1").alias("neighbour"), "distance")
-        near = pairs.select(F.col("sample1").alias("sample"), F.col("sample2").alias("neighbour"), "distance").unionByName(turned)
-        near = near.join(open_, "sample", "left_semi")
-        order = Window.partitionBy("sample").orderBy("distance", "neighbour")
-        # a limit on the row number keeps k rows per sample and task before the shuffle
-        ranked = cut_lineage(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
-        last = i + 1 == len(steps)
-        done = ranked.where(F.col("rank") == k).select("sample")
-        found.append(ranked if last else ranked.join(done, "sample", "left_semi"))
-        if last:
-            break
-        open_ = cut_lineage(open_.join(done, "sample", "left_anti"))
-        if open_.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, found).select("sample", "rank", "neighbour", "distance")
+    near = _near_rows(_positive_cells(table, relative), steps[-1], k)
+    order = Window.partitionBy("sample").orderBy("distance", "neighbour")
+    near = near.select(F.col("one").alias("sample"), F.col("two").alias("neighbour"), "distance")
+    ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("sample", "rank", "neighbour", "distance")
 
 
 def braycurtis(table: DataFrame, relative: bool = True) -> DataFrame:
