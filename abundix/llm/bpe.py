@@ -8,7 +8,8 @@ A text is cut into words as the vocabulary's pattern does.  For a batch of new w
    bytes would leave them apart.  All pairs are tested together: the merges that made the two tokens are
    undone from the last to the first, and at no time may the pair at their border have a merge that comes
    earlier than the one just undone;
-3. the words with a failing pair, and only these, are merged one by one with a heap.
+3. the words with a failing pair, and only these, are merged from their bytes: the short ones all at once, one
+   merge of each word a round, the long ones one by one with a heap.
 
 The test is exact for vocabularies in which every token is made by one merge, from parts made by earlier
 merges (checked when the file is read; other vocabularies merge every word), and proposes only tokens that
@@ -21,7 +22,7 @@ rows are shuffled and a lost task is repeated with the same result.
 Defined cases: null text is empty and has no ids; an empty text has none; rows are encoded one by one, also
 when they share an id or have none; texts of any length are encoded whole; an empty table gives an empty one;
 other columns are ignored.  Null ids decode to an empty text, ids outside the vocabulary and null ones in a
-list to nothing, bytes that are no UTF-8 to replacement characters.
+list to nothing, bytes that are no UTF-8 to replacement characters.  Ids go to and from lists as flat arrays.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import heapq
 import json
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ from abundix.llm import textbytes
 STRETCH = 1 << 18
 KNOWN_WORDS = 400_000
 LONG_WORD = 1 << 10
+SHORT_WORD = 64
+DECODED_ROWS = 256
 FAR = np.int64(1) << np.int64(40)
 
 # The byte-level alphabet's printable bytes.
@@ -83,7 +86,7 @@ class Merges:
         order = np.argsort(keys, kind="stable")
         self._keys, self._ranks = np.append(keys[order], np.int64(1) << 62), np.append(order, FAR)
         self._pairs = {pair: rank for rank, pair in reversed(list(enumerate(parts)))}
-        self._made, self._byte_list = made, byte_ids
+        self._made, self._made_ids, self._byte_list = made, made_ids, byte_ids
         earlier = np.maximum(self.rank[left], self.rank[right]) < np.arange(len(made))
         self.speculates = bool(len(np.unique(made_ids)) == len(made) and earlier.all() and (self.rank[self.byte_ids] < 0).all())
         self._build_trie(spelled)
@@ -153,19 +156,68 @@ class Merges:
             best[at[whole]], size[at[whole]] = token[whole], depth
             more = at + depth < stop[at]
             at, node = at[more], node[more]
-        after = (np.arange(n) + size).tolist()
-        picks: list[int] = []
-        here = 0
-        while here < n:
-            picks.append(here)
-            here = after[here]
-        chosen = np.array(picks, dtype=np.int64)
+        picked = np.zeros(n, dtype=bool)
+        here, end = np.append(0, ends[:-1]), ends
+        for _ in range(SHORT_WORD):
+            inside = here < end
+            here, end = here[inside], end[inside]
+            picked[here] = True
+            here = here + size[here]
+        for low, high in zip(here.tolist(), end.tolist()):
+            steps = size[low:high].tolist()
+            at = 0
+            while at < high - low:
+                picked[low + at] = True
+                at += steps[at]
+        chosen = np.flatnonzero(picked)
         return best[chosen], np.searchsorted(ends, chosen, side="right")
 
     def merge(self, word: bytes) -> list[int]:
         """Exact merging of one word: always the pair of the lowest rank, the leftmost first."""
         ids = [self._byte_list[b] for b in word]
-        return self._merge_short(ids) if len(ids) <= 64 else self._merge_long(ids)
+        return self._merge_short(ids) if len(ids) <= SHORT_WORD else self._merge_long(ids)
+
+    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging of each word by itself: the tokens of all words, and each one's word, a word's in order."""
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        tokens, owners = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for i in np.flatnonzero(lengths > SHORT_WORD).tolist():
+            ids = self.merge(words[i])
+            tokens.append(np.array(ids, dtype=np.int64))
+            owners.append(np.full(len(ids), i))
+        for low in range(0, SHORT_WORD, 4):
+            band = np.flatnonzero((low < lengths) & (lengths <= low + 4))
+            if len(band):
+                inside = np.arange(low + 4) < lengths[band, None]
+                table = np.full(inside.shape, -1, dtype=np.int64)
+                table[inside] = self.byte_ids[np.frombuffer(b"".join([words[i] for i in band.tolist()]), dtype=np.uint8)]
+                for rows, ids in self._merge_table(table):
+                    whole = ids >= 0
+                    tokens.append(ids[whole])
+                    owners.append(np.repeat(band[rows], whole.sum(axis=1)))
+        return np.concatenate(tokens), np.concatenate(owners)
+
+    def _merge_table(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Merges all rows, filled up with -1, at once: each round merges one pair of each and is a column less."""
+        rows = np.arange(len(ids))
+        ranks = self._rank_of(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            here, at = np.arange(len(rows)), ranks.argmin(axis=1)
+            low = ranks[here, at]
+            ended = low == FAR
+            if ended.any():
+                yield rows[ended], ids[ended]
+                go = ~ended
+                rows, ids, ranks, at, low, here = rows[go], ids[go], ranks[go], at[go], low[go], here[: go.sum()]
+            ids[here, at] = self._made_ids[low]
+            ids, ranks = _without(ids, here, at + 1), _without(ranks, here, at)
+            if not ranks.shape[1]:
+                yield rows, ids
+                return
+            for first in (at - 1, at):
+                good = (first >= 0) & (first < ranks.shape[1])
+                r, f = here[good], first[good]
+                ranks[r, f] = self._rank_of(ids[r, f], ids[r, f + 1])
 
     def _merge_short(self, ids: list[int]) -> list[int]:
         rank_of, made, none = self._pairs.get, self._made, len(self._made)
@@ -202,6 +254,13 @@ class Merges:
         return [i for i in ids if i >= 0]
 
 
+def _without(table: np.ndarray, rows: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The table without one entry of each row."""
+    keep = np.ones(table.shape, dtype=bool)
+    keep[rows, column] = False
+    return table[keep].reshape(len(table), table.shape[1] - 1)
+
+
 class _Growing:
     """An array that is appended to."""
 
@@ -251,7 +310,7 @@ class Codec:
             made.append(vocab[a + b])
         letter_of = {b: c for c, b in letters.items()}
         self.merges = Merges(size, parts, made, [vocab[letter_of[b]] for b in range(256)], spelled)
-        self.spelled = [b""] * size
+        self.spelled = [b""] * (size + 1)  # the last stands for ids outside the vocabulary
         for i, text in spelled.items():
             self.spelled[i] = text
         for content, i in self._added.items():
@@ -306,33 +365,35 @@ class Codec:
                 out += words
         return out
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Tokens of words; each is encoded by itself."""
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words one after the other, and how many each has; each is encoded by itself."""
         spelled = [w.encode() for w in words]
-        if not self.merges.speculates:
-            return [self.merges.merge(w) for w in spelled]
-        ends = np.cumsum([len(w) for w in spelled])
-        tokens, word = self.merges.propose(np.frombuffer(b"".join(spelled), dtype=np.uint8), ends)
-        within = np.flatnonzero(word[1:] == word[:-1])
-        wrong = np.zeros(len(words), dtype=bool)
-        wrong[word[within[~self.merges.compatible(tokens[within], tokens[within + 1])]]] = True
-        bounds = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
-        flat = tokens.tolist()
-        out = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
-        for i in np.flatnonzero(wrong).tolist():
-            out[i] = self.merges.merge(spelled[i])
-        return out
+        if self.merges.speculates:
+            ends = np.cumsum([len(w) for w in spelled])
+            tokens, word = self.merges.propose(np.frombuffer(b"".join(spelled), dtype=np.uint8), ends)
+            within = np.flatnonzero(word[1:] == word[:-1])
+            wrong = np.zeros(len(words), dtype=bool)
+            wrong[word[within[~self.merges.compatible(tokens[within], tokens[within + 1])]]] = True
+            right = ~wrong[word]
+            tokens, word = tokens[right], word[right]
+        else:
+            wrong = np.ones(len(words), dtype=bool)
+            tokens = word = np.zeros(0, dtype=np.int64)
+        again = np.flatnonzero(wrong)
+        merged, owner = self.merges.merge_all([spelled[i] for i in again.tolist()])
+        word = np.concatenate([word, again[owner]])
+        order = np.argsort(word, kind="stable")
+        return np.concatenate([tokens, merged])[order], np.bincount(word, minlength=len(words))
 
     def _learn(self, words: list[str]) -> None:
         for low in range(0, len(words), 4096):
             part = words[low : low + 4096]
-            ids = self.encode_words(part)
-            count = np.array([len(i) for i in ids])
+            ids, count = self.encode_words(part)
             first = self._count.size
             self._number.update(zip(part, range(first, first + len(part))))
             self._begin.extend(self._ids.size + np.cumsum(count) - count)
             self._count.extend(count)
-            self._ids.extend(list(chain.from_iterable(ids)))
+            self._ids.extend(ids)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's begin, with the end of the last."""
@@ -378,8 +439,21 @@ class Codec:
         return out
 
     def decode(self, ids: list[int | None]) -> str:
-        spelled, size = self.spelled, len(self.spelled)
-        return b"".join([spelled[i] for i in ids if i is not None and 0 <= i < size]).decode("utf-8", "replace")
+        return self.decode_lists(pa.array([ids], pa.list_(pa.int32())))[0]
+
+    def decode_lists(self, ids: pa.ListArray) -> list[str]:
+        """The text of each list."""
+        none, spelled = len(self.spelled) - 1, self.spelled.__getitem__
+        out = []
+        for first in range(0, len(ids), DECODED_ROWS):
+            part = ids[first : first + DECODED_ROWS]
+            flat = part.flatten().cast(pa.int64()).fill_null(none).to_numpy(zero_copy_only=False)
+            known = np.where((flat >= 0) & (flat < none), flat, none)
+            low = 0
+            for high in np.cumsum(part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist():
+                out.append(b"".join(map(spelled, known[low:high].tolist())).decode("utf-8", "replace"))
+                low = high
+        return out
 
 
 _CODECS: dict[str, Codec] = {}
@@ -417,7 +491,6 @@ def decoder(path: str) -> Callable[[Column], Column]:
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        out = [codec(path).decode(row or []) for row in ids.to_pylist()]
-        return pa.array(out, pa.string())
+        return pa.array(codec(path).decode_lists(ids), pa.string())
 
     return decode

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -59,6 +60,39 @@ def test_short_and_long_merging_agree(codec):
         assert codec.merges._merge_short(list(ids)) == codec.merges._merge_long(list(ids))
 
 
+def test_words_merged_together_are_merged_as_alone(codec):
+    r = random.Random(7)
+    lengths = [*range(1, 70), 64, 65, 200, 3000] * 5
+    words = ["".join(r.choice("aaabthenr éß日") for _ in range(n)).encode()[: max(n, 1)] for n in lengths]
+    tokens, owners = codec.merges.merge_all(words)
+    assert [tokens[owners == i].tolist() for i in range(len(words))] == [codec.merges.merge(w) for w in words]
+    assert [len(x) for x in codec.merges.merge_all([])] == [0, 0]
+
+
+def test_short_words_are_not_merged_one_by_one(library, monkeypatch):
+    r = random.Random(8)
+    text = " ".join("".join(r.choice("aehinorst") for _ in range(r.randint(1, 12))) for _ in range(20_000))
+    fresh = bpe.Codec(PATH)
+    alone = []
+    monkeypatch.setattr(fresh.merges, "merge", lambda word: alone.append(word))
+    assert fresh.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert not alone
+
+
+def test_lists_are_decoded_from_their_flat_ids(codec):
+    rows = [[72, None, 70_000, -1, 50_257], None, [], [162], [72, 73], None, [2**31 - 1], [15_496, 995]]
+    want = ["" if row is None else codec.decode(row) for row in rows]
+    assert want[:5] == ["i", "", "", "\ufffd", "ij"] and want[7] == "Hello world"
+    ids = pa.array(rows, pa.list_(pa.int32()))
+    for low in range(len(rows)):
+        assert codec.decode_lists(ids[low:]) == want[low:] and codec.decode_lists(ids[:low]) == want[:low]
+    empty = pa.ListArray.from_arrays(pa.array([0, 2, 3]), pa.array([72, 73, 74]), mask=pa.array([True, False]))
+    assert codec.decode_lists(empty) == ["", codec.decode([74])]
+    assert codec.decode_lists(pa.array([[], None])) == ["", ""]
+    many = pa.array(rows * 200, pa.list_(pa.int32()))
+    assert codec.decode_lists(many) == want * 200
+
+
 def test_memory_for_words_is_bounded(library, monkeypatch):
     monkeypatch.setattr(bpe, "KNOWN_WORDS", 50)
     monkeypatch.setattr(bpe, "STRETCH", 64)
