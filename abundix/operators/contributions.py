@@ -10,6 +10,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -164,14 +165,20 @@ def braycurtis_pairs(table: DataFrame, pairs: DataFrame, relative: bool = True)
     return known.join(shared, ["sample1", "sample2"], "left").select("sample1", "sample2", distance.alias("distance"))
 
 
-#: Distances are found with sums in another order than they are worked out with.
-_ROUNDING = 1e-9
-#: Blocks that the samples are cut into, and the most samples and cells of a block.
-_NEAR_BLOCKS = 32
-_NEAR_SAMPLES = 8192
-_NEAR_CELLS = 1 << 20
-#: Sums of minima that a task holds at once.
-_NEAR_STRIP = 1 << 22
+#: Blocks that the samples are cut into if that leaves them large enough, and the most samples and cells of a block.
+_NEAR_BLOCKS = 8
+_NEAR_SAMPLES = 1 << 16
+_NEAR_CELLS = 1 << 21
+#: Samples that a sample is held against at once, and those of its block that its first bound comes from.
+_NEAR_STRIP = 1 << 15
+_NEAR_FIRST = 1 << 14
+#: Share of the sum a pair needs that the cells left out of its estimate may make up.
+_NEAR_LEFT_OUT = 0.1
+#: Pairs, and numbers of a table of samples and strata, that are worked out at once.
+_NEAR_PAIRS = 1 << 13
+_NEAR_TABLE = 1 << 20
+#: Sums are held against limits with so much to spare for rounding.
+_SPARE = 1 - 1e-9
 
 
 def _positive_cells(table: DataFrame, relative: bool) -> DataFrame:
@@ -179,126 +186,327 @@ def _positive_cells(table: DataFrame, relative: bool) -> DataFrame:
     return cut_lineage(contribution_scaling(cells, "totalsum") if relative else cells)
 
 
-def _pack(cells: pa.Table) -> pa.Table:
-    """The samples of a block by name, its strata, and its cells by stratum and sample as numbers."""
-    sample, samples = pd.factorize(cells["sample"].to_pandas(), sort=True)
-    stratum, strata = pd.factorize(cells["stratum"].to_pandas(), sort=True)
-    value = cells["value"].to_numpy()
-    totals = np.bincount(sample, weights=value, minlength=len(samples))
-    order = np.lexsort((sample, stratum))
-    order = order[stratum[order] >= 0]  # a cell without a stratum only counts for the total
-    block = {
-        "samples": pa.array(samples), "totals": pa.array(totals), "strata": pa.array(strata, cells["stratum"].type),
-        "sample": pa.array(sample[order].astype("int32")), "stratum": pa.array(stratum[order].astype("int32")),
-        "value": pa.array(value[order]),
-    }
-    lists = {name: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for name, v in block.items()}
-    return pa.table({"_block": pa.array([cells["_block"][0].as_py()], pa.int32()), **lists})
-
-
 class _Block:
-    """A packed block in a task."""
-
-    def __init__(self, rows: pa.Table, at: int):
-        self.number = rows["_block"][at].as_py()
-        for name in ("samples", "totals", "strata", "sample", "value"):
-            setattr(self, name, rows[name][at].values.to_numpy(zero_copy_only=False))
-        stratum = rows["stratum"][at].values.to_numpy(zero_copy_only=False)
-        self.ends = np.searchsorted(stratum, np.arange(len(self.strata) + 1))
-
-
-def _strips(left: _Block, right: _Block):
-    """The distances of the samples of two blocks, some rows at a time; infinite for pairs that share nothing."""
-    at = pd.Index(right.strata).get_indexer(left.strata)
-    shared = [(i, j) for i, j in enumerate(at) if j >= 0]
-    size = max(1, _NEAR_STRIP // max(1, len(right.samples)))
-    for start in range(0, len(left.samples), size):
-        rows = np.arange(start, min(start + size, len(left.samples)))
-        sums = np.zeros((len(rows), len(right.samples)))
-        for i, j in shared:
-            low, high = left.ends[i] + np.searchsorted(left.sample[left.ends[i]:left.ends[i + 1]], (start, start + size))
-            mine, other = slice(low, high), slice(right.ends[j], right.ends[j + 1])
-            if low < high:
-                sums[np.ix_(left.sample[mine] - start, right.sample[other])] += np.minimum.outer(left.value[mine], right.value[other])
-        distance = np.where(sums > 0, 1 - 2 * sums / (left.totals[rows, None] + right.totals[None, :]), np.inf)
-        if left is right:
-            distance[np.arange(len(rows)), rows] = np.inf
-        yield start, distance
-
-
-def _first(group: np.ndarray, other: np.ndarray, distance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``k`` least distances of each group, of equals those that come first by name."""
+    """Samples with their totals, the distance up to which others count as near, and their cells by stratum."""
+
+    lists = ("samples", "rank", "totals", "bound", "ends", "strata", "stratum", "value")
+
+    def __init__(self, *lists: np.ndarray):
+        for name, values in zip(self.lists, lists):
+            setattr(self, name, values)
+        self.finite = bool(np.isfinite(self.totals).all())
+        # the cells of a sample, largest first
+        self.owner = np.repeat(np.arange(len(self.samples)), np.diff(self.ends))
+        self.largest = np.lexsort((-self.value, self.owner))
+
+    @classmethod
+    def of_samples(cls, rows: pa.Table, most: float) -> _Block:
+        owner = np.repeat(np.arange(rows.num_rows), pc.list_value_length(rows["_cells"]).to_numpy())
+        cells = pc.list_flatten(rows["_cells"]).combine_chunks()
+        stratum, strata = pd.factorize(cells.field("stratum").to_pandas(), sort=True)
+        value = cells.field("value").to_numpy(zero_copy_only=False)
+        order = np.lexsort((stratum, owner))
+        owner, stratum, value = owner[order], stratum[order], value[order]
+        totals = np.bincount(owner, weights=value, minlength=rows.num_rows)
+        known = stratum >= 0  # a cell without a stratum only counts for the total
+        names = rows["sample"].to_pandas().to_numpy()
+        _, rank = np.unique(names, return_inverse=True)
+        ends = np.concatenate(([0], np.cumsum(np.bincount(owner[known], minlength=rows.num_rows))))
+        bound = np.full(rows.num_rows, float(most))
+        block = cls(names, rank, totals, bound, ends, np.asarray(strata), stratum[known], value[known])
+        return block.ordered(np.argsort(totals, kind="stable"))
+
+    @classmethod
+    def of_row(cls, rows: pa.RecordBatch, side: str, at: int) -> _Block:
+        lists = [rows.column(side + name)[at].values.to_numpy(zero_copy_only=False) for name in cls.lists]
+        lists[3] = lists[3].copy()  # bounds become narrower
+        return cls(*lists)
+
+    def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
+        lists = [pa.array(getattr(self, name), schema.field(name).type.value_type) for name in self.lists]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values) for values in lists]
+        return pa.record_batch([pa.array([number], pa.int32()), *lists], schema=schema)
+
+    def cells_of(self, samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the samples' cells, and which of the samples each belongs to."""
+        counts = self.ends[samples + 1] - self.ends[samples]
+        of = np.repeat(np.arange(len(samples)), counts)
+        return np.arange(len(of)) + (self.ends[samples] - (np.cumsum(counts) - counts))[of], of
+
+    def ordered(self, order: np.ndarray) -> _Block:
+        """The same samples in another order."""
+        cells, of = self.cells_of(order)
+        ends = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=len(order)))))
+        parts = (self.samples, self.rank, self.totals, self.bound)
+        return _Block(*[part[order] for part in parts], ends, self.strata, self.stratum[cells], self.value[cells])
+
+
+class _Strip:
+    """Some samples of a block, their values by stratum as small whole numbers of ``unit``, rounded up.
+
+    Sums of minima of such numbers are too large by less than one unit per common stratum, and are worked out for
+    all samples of the strip at once.  No sum with a sample of ``others`` exceeds the largest number of the type.
+    """
+
+    def __init__(self, block: _Block, start: int, stop: int, others: _Block):
+        self.block, self.start, self.stop = block, start, stop
+        width, cells = stop - start, slice(block.ends[start], block.ends[stop])
+        totals = block.totals[start:stop]
+        self.low, self.high = totals.min(), totals.max()
+        self.loose = not (np.isfinite(self.high) and others.finite)
+        if self.loose:
+            return
+        longest = int(min(np.diff(block.ends[start:stop + 1]).max(), np.diff(others.ends).max()))
+        self.kind = next(kind for kind in (np.uint8, np.uint16, np.uint32) if longest <= np.iinfo(kind).max // 2)
+        self.top = int(np.iinfo(self.kind).max)
+        self.unit = min(self.high, others.totals.max()) / (self.top - 1 - longest)
+        stratum, column = block.stratum[cells], block.owner[cells] - start
+        level = np.clip(np.ceil(block.value[cells] / self.unit), 1, self.top).astype(self.kind)
+        self.most = int(level.max(initial=1))
+        counts = np.bincount(stratum, minlength=len(block.strata))
+        self.rows: list = [None] * len(counts)
+        self.held = counts > 0
+        # strata of many samples are whole rows, at most 64 numbers per cell; others are lists
+        dense = counts * 64 >= width
+        self.whole = np.zeros(len(counts), bool) | (dense & self.held)
+        place = np.cumsum(self.whole) - 1
+        wide = -(-width // 8) * 8  # so that sums can be looked through eight at a time
+        matrix = np.zeros((int(self.whole.sum()), wide), self.kind)
+        inside = self.whole[stratum]
+        matrix[place[stratum[inside]], column[inside]] = level[inside]
+        for s in np.flatnonzero(self.whole):
+            self.rows[s] = matrix[place[s]]
+        rest = np.flatnonzero(~inside)
+        rest = rest[np.argsort(stratum[rest], kind="stable")]
+        few, begin = np.unique(stratum[rest], return_index=True)
+        for s, part in zip(few, np.split(rest, begin[1:])):
+            self.rows[s] = (column[part], level[part])
+        self.levels = None
+        if self.kind is np.uint8:
+            # whole rows of one number: minima of two rows are much faster than those of a row and a number
+            self.levels = list(np.repeat(np.arange(self.most + 1, dtype=self.kind)[:, None], wide, axis=1))
+        self.sums, self.minima, self.enough = np.empty(wide, self.kind), np.empty(wide, self.kind), np.empty(wide, bool)
+
+    def estimate(self, strata: list[int], levels: list[int]) -> np.ndarray:
+        """Sums of the minima with every sample of the strip, in units and not too small."""
+        sums, minima, rows, constant = self.sums, self.minima, self.rows, self.levels
+        sums.fill(0)
+        for s, v in zip(strata, levels):
+            row = rows[s]
+            if type(row) is tuple:
+                sums[row[0]] += np.minimum(row[1], self.kind(v))
+            else:
+                np.minimum(row, constant[v] if constant is not None else self.kind(v), minima)
+                np.add(sums, minima, sums)
+        return sums
+
+    def at_least(self, least: int) -> np.ndarray:
+        """Samples whose last estimate is not below a number above 0, which are few."""
+        np.greater_equal(self.sums, least, self.enough)
+        near = np.flatnonzero(self.enough.view(np.uint64))[:, None] * 8 + np.arange(8)
+        return near[self.enough[near]]
+
+
+class _Held:
+    """The samples of one block held against those of another."""
+
+    def __init__(self, left: _Block, right: _Block):
+        self.left, self.right = left, right
+        to = pd.Index(right.strata).get_indexer(left.strata)
+        self.to = to[left.stratum]
+        kept = left.largest[self.to[left.largest] >= 0]
+        self.owner, self.stratum, self.value = left.owner[kept], self.to[kept], left.value[kept]
+
+    def distances(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Of samples on the left to samples on the right, in order of the left; infinite for pairs that share nothing."""
+        left, right, width = self.left, self.right, len(self.right.strata)
+        samples, place = np.unique(one, return_inverse=True)
+        sums, step = np.zeros(len(one)), max(1, _NEAR_TABLE // max(1, width))
+        for start in range(0, len(samples), step):
+            table = np.zeros((min(step, len(samples) - start), width))
+            cells, of = left.cells_of(samples[start:start + step])
+            held = self.to[cells] >= 0
+            table[of[held], self.to[cells[held]]] = left.value[cells[held]]
+            low, high = np.searchsorted(place, (start, start + step))
+            cells, of = right.cells_of(two[low:high])
+            shared = np.minimum(table[place[low:high][of] - start, right.stratum[cells]], right.value[cells])
+            sums[low:high] = np.bincount(of, shared, high - low)
+        with np.errstate(invalid="ignore"):
+            return np.where(sums > 0, 1 - 2 * sums / (left.totals[one] + right.totals[two]), np.inf)
+
+    def rows(self, strip: _Strip, first: int, last: int, need: np.ndarray):
+        """Estimates for samples on the left that need the sum ``need`` with a sample of the strip.
+
+        Yields the sample, the least estimate in units that is enough for it, and the weight of its smallest cells, which
+        the estimate leaves out.
+        """
+        low, high = np.searchsorted(self.owner, (first, last))
+        owner, stratum, value = self.owner[low:high] - first, self.stratum[low:high], self.value[low:high]
+        held = strip.held[stratum]
+        owner, stratum, value = owner[held], stratum[held], value[held]
+        ends = np.searchsorted(owner, np.arange(last - first + 1))
+        so_far = np.concatenate(([0.0], np.cumsum(value)))
+        left_out = so_far[ends[owner + 1]] - so_far[:-1] <= _NEAR_LEFT_OUT * need[owner]
+        weight = np.bincount(owner[left_out], value[left_out], minlength=last - first)
+        stop = ends[1:] - np.bincount(owner[left_out], minlength=last - first)
+        least = np.maximum(np.ceil((need - weight) / strip.unit), 1)
+        found = (stop > ends[:-1]) & (need <= self.left.totals[first:last]) & (need <= strip.high) & (least <= strip.top)
+        level = np.clip(np.ceil(value / strip.unit), 1, strip.most).astype(int).tolist()
+        stratum, start, stop = stratum.tolist(), ends.tolist(), stop.tolist()
+        for i in np.flatnonzero(found).tolist():
+            strip.estimate(stratum[start[i]:stop[i]], level[start[i]:stop[i]])
+            yield first + i, int(least[i]), weight[i]
+
+    def likely(self, strip: _Strip):
+        """Samples on the left, each with samples of the strip whose estimate is enough for one of the two."""
+        left, right, span = self.left, self.right, slice(strip.start, strip.stop)
+        if strip.loose:
+            yield from ((i, np.arange(strip.stop - strip.start)) for i in range(len(left.samples)))
+            return
+        mine, theirs = ((1 - bound) / 2 * _SPARE for bound in (left.bound, right.bound[span]))
+        totals = right.totals[span]
+        need = np.minimum(mine, theirs.min()) * (left.totals + strip.low)
+        for i, least, weight in self.rows(strip, 0, len(left.samples), need):
+            at = strip.at_least(least)
+            if len(at):
+                share = np.minimum(mine[i], theirs[at]) * (left.totals[i] + totals[at])
+                yield i, at[strip.sums[at] * strip.unit + weight >= share]
+
+    def pairs(self, strip: _Strip) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Samples on the left, samples of the strip that are near for one of the two, and distances.
+
+        A pair is near if the sum of minima reaches a share of its totals.  Only pairs whose estimate does are worked out.
+        """
+        left, right, found, waiting = self.left, self.right, [], []
+
+        def work_out():
+            one = np.repeat([i for i, _ in waiting], [len(at) for _, at in waiting])
+            two = np.concatenate([at for _, at in waiting])
+            distance = self.distances(one, two)
+            near = distance <= np.maximum(left.bound[one], right.bound[two])
+            found.append((one[near], two[near], distance[near]))
+            waiting.clear()
+
+        count = 0
+        for i, at in self.likely(strip):
+            at = at + strip.start
+            waiting.append((i, at[at > i] if left is right else at))
+            count += len(waiting[-1][1])
+            if count >= _NEAR_PAIRS:
+                work_out()
+                count = 0
+        if count:
+            work_out()
+        if not found:
+            return np.empty(0, int), np.empty(0, int), np.empty(0)
+        return tuple(np.concatenate(column) for column in zip(*found))
+
+
+def _first(group: np.ndarray, other: np.ndarray, distance: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the ``k`` least distances of each group, of equals those that come first by ``other``."""
     order = np.lexsort((other, distance, group))
     group = group[order]
-    kept = np.arange(len(group)) - np.searchsorted(group, group) < k
-    return group[kept], other[order][kept], distance[order][kept]
-
-
-def _nearest(distance: np.ndarray, k: int, most: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, column and distance of the ``k`` nearest columns of every row."""
-    near = distance <= most
-    if distance.shape[1] > k:
-        near &= distance <= np.partition(distance, k - 1, axis=1)[:, k - 1:k]
-    row, column = np.nonzero(near)
-    return _first(row, column, distance[row, column], k)
+    return order[np.arange(len(group)) - np.searchsorted(group, group) < k]
+
+
+def _narrow(block: _Block, sample: np.ndarray, distance: np.ndarray, k: int) -> None:
+    """Samples that have found ``k`` others need none further off; pairs are in the order of :func:`_first`."""
+    last = np.flatnonzero(np.arange(len(sample)) - np.searchsorted(sample, sample) == k - 1)
+    block.bound[sample[last]] = np.minimum(block.bound[sample[last]], distance[last])
+
+
+def _bounded(block: _Block, k: int, width: int) -> _Block:
+    """Samples with a bound to their ``k`` nearest from the likeliest of some samples with like totals."""
+    held = _Held(block, block)
+    if block.finite:
+        for start in range(0, len(block.samples), width):
+            stop = min(start + width, len(block.samples))
+            strip = _Strip(block, start, stop, block)
+            scale = 1 / block.totals[start:stop]
+            one, two = [], []
+            for i, _, _ in held.rows(strip, start, stop, np.zeros(stop - start)):
+                share = strip.sums[:stop - start] / (block.totals[i] + block.totals[start:stop])
+                share[i - start] = -1
+                likely = np.argpartition(share, -2 * k)[-2 * k:] if len(share) > 2 * k else np.arange(len(share))
+                two.append(likely[likely != i - start] + start)
+                one.append(np.full(len(two[-1]), i))
+            if one:
+                one, two = np.concatenate(one), np.concatenate(two)
+                distance = held.distances(one, two)
+                kept = _first(one, two, distance, k)
+                _narrow(block, one[kept], distance[kept], k)
+    # samples with like bounds are next to each other
+    return block.ordered(np.lexsort((block.totals, block.bound)))
 
 
 def _near_rows(cells: DataFrame, most: float, k: int | None) -> DataFrame:
     """``(one, two, distance)``: each pair up to ``most`` once, or with ``k`` each sample's nearest of every block.
 
     All pairs of samples are compared, so the work grows with the square of the samples; what a task holds does
-    not.  Samples are hashed to blocks, a block becomes one row of arrays, and a task takes two blocks.  There it goes
-    through the strata that both have, adding up the minima of the samples that have them.
+    not, and the rows of arrays that the blocks become are read anew for each pair of blocks, not shuffled.  A block
+    holds samples with like totals.  In a task, a sample meets some thousands of others at once by sums of small whole
+    numbers that are never too small, and only pairs that could be near by them are worked out from the cells.
     """
     cells = cells.where(F.col("sample").isNotNull()).select("stratum", "sample", F.col("value").cast("double").alias("value"))
-    seen = cells.agg(F.count_distinct("sample").alias("samples"), F.count(F.lit(1)).alias("cells")).first()
+    cell = F.struct("stratum", "value")
+    samples = cut_lineage(cells.groupBy("sample").agg(F.sum("value").alias("_total"), F.collect_list(cell).alias("_cells")))
+    seen = samples.agg(F.count(F.lit(1)).alias("samples"), F.sum(F.size("_cells")).alias("cells")).first()
     size = min(_NEAR_SAMPLES, max(1, -(-seen["samples"] // _NEAR_BLOCKS)))
-    blocks = max(1, -(-seen["samples"] // size), -(-seen["cells"] // _NEAR_CELLS))
-    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-seen["samples"] // size), -(-(seen["cells"] or 0) // _NEAR_CELLS))
+    strip, first = _NEAR_STRIP, _NEAR_FIRST
+    name, stratum = (cells.schema[c].dataType.simpleString() for c in ("sample", "stratum"))
+    kinds = (name, "int", "double", "double", "int", stratum, "int", "double")
+    arrays = ", ".join(f"{column} array<{kind}>" for column, kind in zip(_Block.lists, kinds))
+    packing = f"_block int, {arrays}"
     arrow = to_arrow_type(cells.schema["sample"].dataType)
     schema = pa.schema([("one", arrow), ("two", arrow), ("distance", pa.float64())])
-    name, stratum = (cells.schema[c].dataType.simpleString() for c in ("sample", "stratum"))
-    arrays = f"samples array<{name}>, totals array<double>, strata array<{stratum}>, sample array<int>, stratum array<int>, value array<double>"
-    packed = cells.withColumn("_block", F.pmod(F.xxhash64("sample"), F.lit(blocks)).cast("int"))
-    packed = cut_lineage(packed.groupBy("_block").applyInArrow(_pack, f"_block int, {arrays}"))
-
-    def compare(rows: pa.Table) -> pa.Table:
-        parts = [_Block(rows, i) for i in range(rows.num_rows)]
-        left, right = parts[0], parts[-1]
-        if left is right and rows["_low"][0] != rows["_high"][0]:
-            return schema.empty_table()  # the other block holds nothing
-        found = []
-        for start, distance in _strips(left, right):
+    inner = (arrow, pa.int32(), pa.float64(), pa.float64(), pa.int32(), to_arrow_type(cells.schema["stratum"].dataType), pa.int32(), pa.float64())
+    packed_schema = pa.schema([("_block", pa.int32()), *[(n, pa.list_(t)) for n, t in zip(_Block.lists, inner)]])
+
+    def pack(batches):
+        rows = list(batches)
+        rows = pa.Table.from_batches(rows) if rows else None
+        if rows is not None and rows.num_rows:
+            block = _Block.of_samples(rows, most)
+            if k is not None:
+                block = _bounded(block, k, first)
+            yield block.row(rows["_block"][0].as_py(), packed_schema)
+
+    def found(left: _Block, right: _Block):
+        held, sides, count = _Held(left, right), ([], []), len(right.samples)
+        width = -(-count // -(-count // strip))
+        for start in range(0, count, width):
+            one, two, distance = held.pairs(_Strip(right, start, min(start + width, count), left))
             if k is None:
-                if left is right:
-                    # the pairs of one block are found from both sides
-                    distance[np.arange(len(distance))[:, None] + start >= np.arange(distance.shape[1])] = np.inf
-                one, two = np.nonzero(distance <= most)
-                found.append((0, one + start, two, distance[one, two]))
+                yield left.samples[one], right.samples[two], distance
                 continue
-            one, two, near = _nearest(distance, k, most)
-            found.append((0, one + start, two, near))
-            if left is not right:
-                two, one, near = _nearest(np.ascontiguousarray(distance.T), k, most)
-                found.append((1, two, one + start, near))
-        out = []
-        for turned, (mine, other) in enumerate(((left, right), (right, left))):
-            some = [part[1:] for part in found if part[0] == turned]
-            if some:
-                one, two, near = (np.concatenate(column) for column in zip(*some))
-                if k is not None:
-                    one, two, near = _first(one, two, near, k)
-                out.append((mine.samples[one], other.samples[two], near))
-        columns = [np.concatenate(column) for column in zip(*out)]
-        return pa.table(columns, schema=schema)
-
-    # a fixed number of partitions: two blocks are few bytes but long work, and would be merged into few tasks
-    both = (
-        packed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .withColumns({"_low": F.least("_block", "_other"), "_high": F.greatest("_block", "_other")})
-        .repartition(tasks, "_low", "_high")
-    )
-    return both.groupBy("_low", "_high").applyInArrow(compare, f"one {name}, two {name}, distance double")
+            for side, (mine, i, other, j) in enumerate(((left, one, right, two), (right, two, left, one))):
+                near = distance <= mine.bound[i]
+                sides[side].append((i[near], j[near], distance[near]))
+                i, j, near = (np.concatenate(column) for column in zip(*sides[side]))
+                kept = _first(i, other.rank[j], near, k)
+                sides[side][:] = [(i[kept], j[kept], near[kept])]
+                _narrow(mine, i[kept], near[kept], k)
+        for side, mine, other in zip(sides, (left, right), (right, left)):
+            for i, j, near in side:
+                yield mine.samples[i], other.samples[j], near
+
+    def compare(batches):
+        left = number = None
+        for rows in batches:
+            for at in range(rows.num_rows):
+                low, high = (rows.column(f"{side}_block")[at].as_py() for side in "lr")
+                if low != number:
+                    left, number = _Block.of_row(rows, "l", at), low
+                for columns in found(left, left if low == high else _Block.of_row(rows, "r", at)):
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    dealt = samples.repartitionByRange(blocks, "_total", F.xxhash64("sample")).withColumn("_block", F.spark_partition_id())
+    packed = cut_lineage(dealt.select("_block", "sample", "_cells").mapInArrow(pack, packing))
+    left, right = (packed.select(*[F.col(c).alias(side + c) for c in packed.columns]) for side in "lr")
+    # no condition but the order of the blocks: their rows are read where they are held against each other
+    both = left.hint("shuffle_replicate_nl").join(right, F.col("l_block") <= F.col("r_block"))
+    return both.mapInArrow(compare, f"one {name}, two {name}, distance double")
 
 
 def similar_samples(table: DataFrame, most: float, relative: bool = True) -> DataFrame:
@@ -306,10 +514,9 @@ def similar_samples(table: DataFrame, most: float, relative: bool = True) -> Dat
     if not 0 <= most < 1:
         raise ValueError("most must be at least 0 and below 1")
     cells = _positive_cells(table, relative)
-    # a little further, so that sums in another order lose no pair
-    near = _near_rows(cells, most + _ROUNDING, None)
-    pairs = cut_lineage(near.select(F.least("one", "two").alias("sample1"), F.greatest("one", "two").alias("sample2")))
-    return braycurtis_pairs(cells, pairs, relative=False).where(F.col("distance") <= most)
+    near = _near_rows(cells, most, None)
+    near = cut_lineage(near.select(F.least("one", "two").alias("sample1"), F.greatest("one", "two").alias("sample2"), "distance"))
+    return braycurtis_pairs(cells, near, relative=False).where(F.col("distance") <= most)
 
 
 def nearest_samples(table: DataFrame, k: int = 5, relative: bool = True, steps: Sequence[float] = (0.25, 0.5, 0.75, 1.0)) -> DataFrame:

@@ -100,3 +100,30 @@ def test_near_samples_by_blocks_and_strips(frame, monkeypatch, strip):
     assert {(r.sample1, r.sample2): r.distance for r in got} == pytest.approx(want) and len(got) == len(want)
     ranks = {(r.sample, r.rank): r.neighbour for r in c.nearest_samples(df, 2, relative=False).collect()}
     assert ranks == {(s, i): b for s, found in near.items() for i, (_, b) in enumerate(sorted(found)[:2], 1)}
+
+
+def test_near_samples_read_blocks_without_shuffling_them(frame, monkeypatch):
+    """Blocks are not dealt out to pairs of blocks, and estimates in whole numbers lose no pair."""
+    monkeypatch.setattr(c, "_NEAR_STRIP", 8)
+    monkeypatch.setattr(c, "_NEAR_FIRST", 5)
+    # values of all sizes, a sample of very many strata, one with nothing in common, equal ones and endless ones
+    cells = {f"s{i:02d}": {f"t{(i * j * j) % 23}": 10.0 ** ((i + 5 * j) % 7 - 3) + i for j in range(1, 9)} for i in range(30)}
+    cells["wide"] = {f"t{i}": 1 + i % 3 for i in range(300)}
+    cells |= {"alone": {"own": 4.0}, "s00b": cells["s00"], "s07b": cells["s07"], "s09": {"t1": 2.0, "t2": float("inf")}}
+    rows = [(t, s, float(v)) for s, held in cells.items() for t, v in held.items()]
+    near = {s: [] for s in cells}
+    for a in cells:
+        for b in cells:
+            shared = sum(min(v, cells[b].get(t, 0)) for t, v in cells[a].items())
+            if a != b and shared:
+                near[a].append((1 - 2 * shared / (sum(cells[a].values()) + sum(cells[b].values())), b))
+    df = frame(rows, "stratum string, sample string, value double")
+    got = c.similar_samples(df, 0.6, relative=False)
+    want = {(a, b): d for a, found in near.items() for d, b in found if a < b and d <= 0.6}
+    pairs = {(r.sample1, r.sample2): r.distance for r in got.collect()}
+    assert pairs == pytest.approx(want) and got.count() == len(want)
+    nearest = c.nearest_samples(df, 3, relative=False)
+    assert {(r.sample, r.rank): r.distance for r in nearest.collect()} == pytest.approx(
+        {(s, i): d for s, found in near.items() for i, (d, _) in enumerate(sorted(found)[:3], 1)}
+    )
+    assert "CartesianProduct" in plan(nearest)
