@@ -172,6 +172,8 @@ _NEAR_CELLS = 1 << 21
 #: Samples that a sample is held against at once, and those of its block that its first bound comes from.
 _NEAR_STRIP = 1 << 15
 _NEAR_FIRST = 1 << 14
+#: Pairs that are worked out again by joins.
+_NEAR_JOINED = 1 << 16
 #: Share of the sum a pair needs that the cells left out of its estimate may make up.
 _NEAR_LEFT_OUT = 0.1
 #: Pairs, and numbers of a table of samples and strata, that are worked out at once.
@@ -516,6 +518,9 @@ def similar_samples(table: DataFrame, most: float, relative: bool = True) -> Dat
     cells = _positive_cells(table, relative)
     near = _near_rows(cells, most, None)
     near = cut_lineage(near.select(F.least("one", "two").alias("sample1"), F.greatest("one", "two").alias("sample2"), "distance"))
+    if near.count() > _NEAR_JOINED:
+        # joined with their cells, many pairs would unfold to a row per stratum
+        return near
     return braycurtis_pairs(cells, near, relative=False).where(F.col("distance") <= most)
 
 

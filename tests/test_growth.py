@@ -106,6 +106,7 @@ def test_near_samples_read_blocks_without_shuffling_them(frame, monkeypatch):
     """Blocks are not dealt out to pairs of blocks, and estimates in whole numbers lose no pair."""
     monkeypatch.setattr(c, "_NEAR_STRIP", 8)
     monkeypatch.setattr(c, "_NEAR_FIRST", 5)
+    monkeypatch.setattr(c, "_NEAR_JOINED", 0)
     # values of all sizes, a sample of very many strata, one with nothing in common, equal ones and endless ones
     cells = {f"s{i:02d}": {f"t{(i * j * j) % 23}": 10.0 ** ((i + 5 * j) % 7 - 3) + i for j in range(1, 9)} for i in range(30)}
     cells["wide"] = {f"t{i}": 1 + i % 3 for i in range(300)}
