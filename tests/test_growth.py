@@ -5,6 +5,7 @@ import re
 import pytest
 
 from abundix.operators import contributions as c, pathways as pw, scaling, tables as t
+from abundix.session import cut_lineage
 from abundix.sources.mappings import gene_pathways, pathway_members
 
 FEATURES = "code string, name string, stratum string, sample string, value double"
@@ -128,3 +129,20 @@ def test_near_samples_read_blocks_without_shuffling_them(frame, monkeypatch):
         {(s, i): d for s, found in near.items() for i, (d, _) in enumerate(sorted(found)[:3], 1)}
     )
     assert "CartesianProduct" in plan(nearest)
+
+
+def test_unfolded_scores_are_dealt_out_by_organism_only(frame):
+    scores = frame([(f"b{i % 3}", f"r{i}", float(i)) for i in range(12)] + [("b0", "r5", -1.0), (None, "r1", 2.0)], "bug string, reaction string, score double")
+    pairs = frame([(f"p{i % 4}", f"r{i}") for i in range(12)] + [("q", "r0"), ("q", "r1"), ("p3", None)], "pathway string, reaction string")
+    pairs = cut_lineage(pairs)  # so that its size is known
+    assert pw.unfolding_tasks(scores, pairs) == 4
+    plain = pw.select_pathways(scores, pairs, False)
+    dealt = pw.select_pathways(scores, pairs, False, tasks=7)
+    assert sorted(dealt.collect(), key=str) == sorted(plain.collect(), key=str)
+    abundance = pw.flat_pathway_abundance(dealt, pairs)
+    assert sorted(abundance.collect(), key=str) == sorted(pw.flat_pathway_abundance(plain, pairs).collect(), key=str)
+    some = abundance.where("pathway <> 'p1'")
+    present = pw.present_reactions(dealt, some, tasks=7)
+    assert sorted(present.collect()) == sorted(pw.present_reactions(plain, some).collect())
+    for df in (abundance, present):
+        assert not re.search(r"hashpartitioning\(bug#\d+, (pathway|reaction)", plan(df))
