@@ -146,3 +146,17 @@ def test_unfolded_scores_are_dealt_out_by_organism_only(frame):
     assert sorted(present.collect()) == sorted(pw.present_reactions(plain, some).collect())
     for df in (abundance, present):
         assert not re.search(r"hashpartitioning\(bug#\d+, (pathway|reaction)", plan(df))
+
+
+def test_lists_of_pathways_meet_an_organism_once(frame):
+    """Genes of the same pathways share a list; pathways and genes listed twice still count twice."""
+    pathways = frame(
+        [(p, None, b, "s", 1.0) for p in ("p", "q", "r") for b in (None, "b1")] + [("p", None, "b2", "s", 1.0)] * 2, FEATURES
+    )
+    genes = frame([(g, None, b, s, 2.0) for g in ("a", "c", "d") for b in ("b1", "b2") for s in ("s", "z")], FEATURES)
+    members = frame([("a", ["q", "p"]), ("c", ["p", "q"]), ("c", ["x"]), ("d", ["p", "p", None]), ("e", ["r"])], "gene string, pathways array<string>")
+    rows = t.unpack_pathways(pathways, genes, members).where("gene IS NOT NULL")
+    want = [("p", "b1", g) for g in "acdd"] + [("q", "b1", g) for g in "ac"] + 2 * [("p", "b2", g) for g in "acdd"]
+    assert sorted((r.pathway, r.bug, r.gene) for r in rows.collect()) == sorted(want)
+    joins = [line for line in plan(rows).splitlines() if "Join" in line]
+    assert joins and not any("pathway#" in line for line in joins if "_at" not in line)
